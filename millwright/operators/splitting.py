@@ -41,7 +41,7 @@ _DIGITS = 3  # hex digits per counting step: 4,096 groups
 _FULL = 32  # hex digits of one digest
 _LAST = "g"  # sorts after every hex digit
 
-_ALL, _CLASS, _KEY, _ROW = "__all", "__class", "__key_digest", "__row_digest"
+_CLASS, _DIGEST, _ROW_DIGEST = "__class", "__digest", "__row_digest"
 
 
 def train_quotas(counts: dict, test_size: float = TEST_SIZE) -> dict:
@@ -69,7 +69,11 @@ def train_quotas(counts: dict, test_size: float = TEST_SIZE) -> dict:
 
 @dataclass
 class _Cut:
-    """Where a class is divided: ``take`` of the ``size`` rows below ``prefix``."""
+    """Where a class is divided: ``take`` of the ``size`` rows at ``prefix`` are train.
+
+    ``prefix`` grows to the full key digest and, where rows that share it are
+    divided, on to the row digest.
+    """
 
     take: int
     size: int
@@ -79,16 +83,18 @@ class _Cut:
     def open(self) -> bool:
         return 0 < self.take < self.size
 
-    @property
-    def searching(self) -> bool:
-        return self.open and len(self.prefix) < 2 * _FULL
+    def searching(self, end: int) -> bool:
+        return self.open and len(self.prefix) < end
 
     def bounds(self) -> tuple[str, str]:
         """Largest (key digest, row digest) of a train row."""
         if self.take == 0:
             return "", ""
-        text = self.prefix if len(self.prefix) == 2 * _FULL else self.prefix + _LAST
-        return text[:_FULL], text[_FULL:]
+        by_key, by_row = self.prefix[:_FULL], self.prefix[_FULL:]
+        return (
+            by_key if len(by_key) == _FULL else by_key + _LAST,
+            by_row if len(by_row) == _FULL else by_row + _LAST,
+        )
 
 
 def stratified_split(
@@ -106,27 +112,17 @@ def stratified_split(
     pass a table rather than an expensive query.
     """
     require_columns(df, [label, *(key or [])])
-    digested = _with_digests(df, key, seed)
-    cuts = _find_cuts(digested, label, test_size, rank_rows)
-    return _assign(df, digested, cuts, label)
-
-
-def _with_digests(df: DataFrame, key: Sequence[str] | None, seed: int) -> DataFrame:
-    # the second digest orders rows that share a key; Spark computes it only
-    # where a query needs it
-    own = row_digest(df.columns, seed)
-    by_key = row_digest(key, seed) if key else own
-    return df.withColumns({_KEY: by_key, _ROW: own})
-
-
-def _digits(position: int) -> Column:
-    """The next digits of the digest pair from ``position`` on."""
-    column, start = (_KEY, position) if position < _FULL else (_ROW, position - _FULL)
-    return F.substring(F.col(column), start + 1, _step(position))
-
-
-def _step(position: int) -> int:
-    return min(_DIGITS, _FULL - position % _FULL)
+    digested = df.withColumn(_DIGEST, row_digest(key or df.columns, seed))
+    cuts = _first_cuts(digested, label, test_size)
+    _search(cuts, digested, label, _DIGEST, 0, rank_rows)
+    row_digests = None
+    if key and any(cut.open for cut in cuts.values()):
+        # rows that share a key are divided by their other columns
+        row_digests = row_digest(df.columns, seed)
+        shared = _rows_at(cuts, digested, label, _DIGEST, 0, _FULL)
+        shared = shared.withColumn(_ROW_DIGEST, row_digests)
+        _search(cuts, shared, label, _ROW_DIGEST, _FULL, rank_rows)
+    return _assign(df, digested, row_digests, cuts, label)
 
 
 def _cut_table(df: DataFrame, label: str, rows: list[tuple], fields: dict) -> DataFrame:
@@ -136,9 +132,10 @@ def _cut_table(df: DataFrame, label: str, rows: list[tuple], fields: dict) -> Da
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
-def _find_cuts(df: DataFrame, label: str, test_size: float, rank_rows: int) -> dict:
+def _first_cuts(df: DataFrame, label: str, test_size: float) -> dict:
+    """Quota per class, and the group of first digits it ends in."""
     counted = materialize(
-        df.groupBy(F.col(label).alias(_CLASS), _digits(0).alias("digits")).agg(
+        df.groupBy(F.col(label).alias(_CLASS), F.substring(_DIGEST, 1, _DIGITS).alias("digits")).agg(
             F.count(F.lit(1)).alias("size")
         ),
         "split-counts",
@@ -153,44 +150,51 @@ def _find_cuts(df: DataFrame, label: str, test_size: float, rank_rows: int) -> d
         raise ValueError(f"{label} has more than {MAX_CLASSES} values; not a class label")
     quotas = train_quotas(classes, test_size)
     cuts = {c: _Cut(quotas[c], n) for c, n in classes.items()}
-    _narrow(cuts, counted, df, label)
-    while waiting := sum(cut.size for cut in cuts.values() if cut.searching):
-        if waiting <= rank_rows:
-            _finish(cuts, df, label)
-        else:
-            inside = _below_cut(df, cuts, label)
-            _narrow(cuts, _count_inside(inside, label, _position(cuts)), df, label)
+    _narrow(cuts, counted, df, label, _FULL)
     return cuts
 
 
-def _position(cuts: dict) -> int:
-    """Digits known so far; the cuts still searched advance together."""
-    return max(len(cut.prefix) for cut in cuts.values() if cut.searching)
+def _search(
+    cuts: dict, df: DataFrame, label: str, digest: str, offset: int, rank_rows: int
+) -> None:
+    """Find each open cut's full digest, digit group by digit group.
 
-
-def _count_inside(df: DataFrame, label: str, position: int) -> DataFrame:
-    """Group sizes by the next digits, and whether a group is all one digest."""
-    digest = F.concat(_KEY, _ROW)
-    return df.groupBy(F.col(label).alias(_CLASS), _digits(position).alias("digits")).agg(
-        F.count(F.lit(1)).alias("size"), F.min(digest).alias("low"), F.max(digest).alias("high")
-    )
+    ``offset`` is where this digest starts in the prefixes.  As soon as the
+    groups that hold a cut are small together, their digests are ranked.
+    """
+    end = offset + _FULL
+    while waiting := [cut for cut in cuts.values() if cut.searching(end)]:
+        known = max(len(cut.prefix) for cut in waiting) - offset
+        inside = _rows_at(cuts, df, label, digest, offset, known)
+        step = min(_DIGITS, _FULL - known)
+        if sum(cut.size for cut in waiting) <= rank_rows:
+            step = _FULL - known
+        digits = F.substring(F.col(digest), known + 1, step)
+        counted = inside.groupBy(F.col(label).alias(_CLASS), digits.alias("digits")).agg(
+            F.count(F.lit(1)).alias("size"), F.min(digest).alias("low"), F.max(digest).alias("high")
+        )
+        _narrow(cuts, counted, df, label, end)
 
 
-def _below_cut(df: DataFrame, cuts: dict, label: str) -> DataFrame:
-    """Rows of the group each open cut lies in."""
-    rows = [(c, cut.prefix) for c, cut in cuts.items() if cut.searching]
+def _rows_at(
+    cuts: dict, df: DataFrame, label: str, digest: str, offset: int, known: int
+) -> DataFrame:
+    """Rows whose first ``known`` digits are those of their class's open cut."""
+    rows = [
+        (c, cut.prefix[offset:])
+        for c, cut in cuts.items()
+        if cut.open and len(cut.prefix) == offset + known
+    ]
     wanted = _cut_table(df, label, rows, {"__prefix": T.StringType()})
-    position = _position(cuts)
-    head = F.substring(F.col(_KEY), 1, min(position, _FULL))
-    if position > _FULL:
-        head = F.concat(F.col(_KEY), F.substring(F.col(_ROW), 1, position - _FULL))
-    same = (F.col(label) == F.col(_CLASS)) & (head == F.col("__prefix"))
-    return df.join(wanted, same, "left_semi")
+    head = F.substring(F.col(digest), 1, known)
+    return df.join(
+        wanted, (F.col(label) == F.col(_CLASS)) & (head == F.col("__prefix")), "left_semi"
+    )
 
 
-def _narrow(cuts: dict, counted: DataFrame, df: DataFrame, label: str) -> None:
-    """Move every open cut into its group of the next digits."""
-    rows = [(c, cut.take) for c, cut in cuts.items() if cut.searching]
+def _narrow(cuts: dict, counted: DataFrame, df: DataFrame, label: str, end: int) -> None:
+    """Move every searched cut into its group of the next digits."""
+    rows = [(c, cut.take) for c, cut in cuts.items() if cut.searching(end)]
     if not rows:
         return
     wanted = _cut_table(df, label, rows, {"take": T.LongType()})
@@ -203,37 +207,26 @@ def _narrow(cuts: dict, counted: DataFrame, df: DataFrame, label: str) -> None:
     for row in found.collect():
         cut = cuts[row[_CLASS]]
         cut.prefix += row["digits"]
-        if "low" in row and row["low"] == row["high"]:
-            cut.prefix = row["low"]  # copies of one row: nothing left to search
-        cut.take, cut.size = row["take"] - row["before"], row["size"]
-
-
-def _finish(cuts: dict, df: DataFrame, label: str) -> None:
-    """Rank the distinct digests of the last, small groups."""
-    rows = [(c, cut.take) for c, cut in cuts.items() if cut.searching]
-    upto = W.partitionBy(_CLASS).orderBy(_KEY, _ROW).rowsBetween(W.unboundedPreceding, 0)
-    groups = (
-        _below_cut(df, cuts, label)
-        .groupBy(F.col(label).alias(_CLASS), _KEY, _ROW)
-        .agg(F.count(F.lit(1)).alias("size"))
-        .join(_cut_table(df, label, rows, {"take": T.LongType()}), _CLASS)
-        .withColumn("before", F.sum("size").over(upto) - F.col("size"))
-        .where((F.col("before") < F.col("take")) & (F.col("take") <= F.col("before") + F.col("size")))
-    )
-    for row in groups.collect():
-        cut = cuts[row[_CLASS]]
-        cut.prefix = row[_KEY] + row[_ROW]
         cut.take, cut.size = row["take"] - row["before"], row["size"]
+        if "low" in row and row["low"] == row["high"]:
+            # one digest only, e.g. copies of a row: nothing left to search
+            cut.prefix = cut.prefix[: end - _FULL] + row["low"]
 
 
-def _assign(df: DataFrame, digested: DataFrame, cuts: dict, label: str) -> DataFrame:
+def _assign(
+    df: DataFrame, digested: DataFrame, row_digests: Column | None, cuts: dict, label: str
+) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in df.columns]
+    if row_digests is not None:
+        digested = digested.withColumn(_ROW_DIGEST, row_digests)
     rows = [(c, *cut.bounds()) for c, cut in cuts.items()]
-    bounds = _cut_table(df, label, rows, {"__key_cut": T.StringType(), "__row_cut": T.StringType()})
+    bounds = _cut_table(df, label, rows, {"__at": T.StringType(), "__row_at": T.StringType()})
     placed = digested.join(bounds, F.col(label) == F.col(_CLASS))
-    is_train = (F.col(_KEY) < F.col("__key_cut")) | (
-        (F.col(_KEY) == F.col("__key_cut")) & (F.col(_ROW) <= F.col("__row_cut"))
-    )
+    is_train = F.col(_DIGEST) <= F.col("__at")
+    if row_digests is not None:
+        is_train = (F.col(_DIGEST) < F.col("__at")) | (
+            (F.col(_DIGEST) == F.col("__at")) & (F.col(_ROW_DIGEST) <= F.col("__row_at"))
+        )
     side = F.when(is_train, "train").otherwise("test").alias(SPLIT)
     divided = [(c, *cut.bounds(), cut.take) for c, cut in cuts.items() if cut.open]
     if not divided:
@@ -241,13 +234,11 @@ def _assign(df: DataFrame, digested: DataFrame, cuts: dict, label: str) -> DataF
 
     copies = _cut_table(
         df, label, divided,
-        {"__key_at": T.StringType(), "__row_at": T.StringType(), "__take": T.LongType()},
-    )
-    at_cut = (
-        (F.col(label) == copies[_CLASS])
-        & (F.col(_KEY) == F.col("__key_at"))
-        & (F.col(_ROW) == F.col("__row_at"))
+        {"__copy_at": T.StringType(), "__copy_row_at": T.StringType(), "__take": T.LongType()},
     )
+    at_cut = (F.col(label) == copies[_CLASS]) & (F.col(_DIGEST) == F.col("__copy_at"))
+    if row_digests is not None:
+        at_cut = at_cut & (F.col(_ROW_DIGEST) == F.col("__copy_row_at"))
     clear = placed.drop(_CLASS).join(copies, at_cut, "left_anti").select(*columns, side)
     return clear.unionByName(_divide_copies(digested.join(copies, at_cut), columns, label))
 

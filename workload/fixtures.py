@@ -6,6 +6,7 @@ Each has a Spark form and a SQL form with the same rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +89,12 @@ def base_and_batch(
     return base.select(kept), batch.select(kept)
 
 
+def copies_keyed(base: DataFrame) -> DataFrame:
+    """Adds ``copy_key``, unique per row, copies of a reading included."""
+    copy_no = F.row_number().over(W.partitionBy(KEY).orderBy(KEY))  # two copies at most
+    return base.withColumn("copy_key", F.col(KEY) * 10 + copy_no)
+
+
 def gapped_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings with absent values in two sensors."""
     return readings(spark, sf_dir).withColumns({

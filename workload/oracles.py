@@ -205,9 +205,13 @@ ORACLES: dict[str, str] = {
     ),
     "split_leakage": with_sql(
         "f1k", base_and_batch_sql(keyed=True),
-        f"seen as (select distinct {fx.COLUMNS_SQL} from base)",
-        select="""select cast(count(*) as bigint) - (select count(*) from seen) shared_rows,
-  cast(count(*) as bigint) - (select count(*) from seen) affected_rows from seen""",
+        f"""copies as (select *, {fx.KEY} * 10
+    + row_number() over (partition by {fx.KEY} order by {fx.KEY}) copy_key from base)""",
+        split_sql("copies", TARGET, "copy_key"),
+        f"""shared as (select {fx.KEY}, {fx.COLUMNS_SQL}, count(*) n from parts
+    group by {fx.KEY}, {fx.COLUMNS_SQL} having min(split) <> max(split))""",
+        select="""select cast(count(*) as bigint) shared_rows,
+  cast(coalesce(sum(n), 0) as bigint) affected_rows from shared""",
     ),
     "prepare_presplit": _SPLIT_ROWS,
     "prepare_merge": with_sql(

@@ -191,11 +191,10 @@ def split_distribution(spark, sf_dir):
 
 @query
 def split_leakage(spark, sf_dir):
+    """Copies of a reading under keys of their own can land on both sides."""
     base, _ = fx.base_and_batch(spark, sf_dir, keyed=True)
-    rows = materialize(base, "base")
-    return splitting.split_leakage(
-        splitting.stratified_split(rows.drop(fx.KEY).dropDuplicates())
-    )
+    rows = materialize(fx.copies_keyed(base), "copies")
+    return splitting.split_leakage(splitting.stratified_split(rows, key=["copy_key"]).drop("copy_key"))
 
 
 @query
