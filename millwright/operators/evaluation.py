@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions import conditions
 from millwright.schema import TARGET, require_columns
-from millwright.sources.scratch import materialize
+from millwright.sources.scratch import discard, written
 
 # Metric names in report order.
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
@@ -94,16 +94,18 @@ def evaluate(
     threshold: float = 0.5,
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
-    """One row with the five metrics of :data:`METRICS`.
+    """One row with the five metrics of :data:`METRICS`, computed at once.
 
     ROC-AUC is exact, with tied scores counting one half; it is NULL when only
     one class occurs.  Raises if a label is not 0/1 or a score is missing.
     """
-    counts = materialize(score_counts(scored, label, score), "score-counts")
+    spark = scored.sparkSession
+    counts, path = written(score_counts(scored, label, score), "score-counts")
     size = counts.agg(
         F.count(F.lit(1)).alias("scores"), _total(F.col("unusable")).alias("unusable")
     ).first()
     if size.unusable:
+        discard(spark, path)
         raise ValueError(f"{size.unusable} rows without a 0/1 label or without a score")
     ranked = _negatives_below(counts, size.scores, window_rows)
     # pairs won, doubled: each positive against the negatives below and tied
@@ -114,12 +116,14 @@ def evaluate(
     sums = ranked.agg(
         *[c.alias(n) for n, c in confusion.items()], F.sum(pairs).alias("doubled_wins")
     )
+    one_row = spark.createDataFrame([tuple(sums.first())], sums.schema)
+    discard(spark, path)
     n_pairs = (F.col("tp") + F.col("fn")).cast("decimal(19,0)") * (
         F.col("fp") + F.col("tn")
     ).cast("decimal(19,0)")
     auc = F.try_divide(F.col("doubled_wins").cast("double"), (2 * n_pairs).cast("double"))
     columns = _threshold_columns() | {"roc_auc": auc}
-    return sums.select(*[c.alias(n) for n, c in columns.items()])
+    return one_row.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def roc_auc(

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from millwright.functions.digests import row_digest
 from millwright.schema import TARGET, require_columns
 from millwright.sources.readings import SPLIT
-from millwright.sources.scratch import materialize
+from millwright.sources.scratch import discard, written
 
 # Share of test rows and seed.
 TEST_SIZE = 0.2
@@ -134,7 +134,7 @@ def _cut_table(df: DataFrame, label: str, rows: list[tuple], fields: dict) -> Da
 
 def _first_cuts(df: DataFrame, label: str, test_size: float) -> dict:
     """Quota per class, and the group of first digits it ends in."""
-    counted = materialize(
+    counted, path = written(
         df.groupBy(F.col(label).alias(_CLASS), F.substring(_DIGEST, 1, _DIGITS).alias("digits")).agg(
             F.count(F.lit(1)).alias("size")
         ),
@@ -151,6 +151,7 @@ def _first_cuts(df: DataFrame, label: str, test_size: float) -> dict:
     quotas = train_quotas(classes, test_size)
     cuts = {c: _Cut(quotas[c], n) for c, n in classes.items()}
     _narrow(cuts, counted, df, label, _FULL)
+    discard(df.sparkSession, path)
     return cuts
 
 

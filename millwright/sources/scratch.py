@@ -41,20 +41,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back."""
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once; the table read back, and its path for :func:`discard`."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table that :func:`materialize` wrote and nothing reads now."""
-    spark = df.sparkSession
-    root = scratch_root(spark)
-    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
-    for folder in folders:
-        if root.split(":", 1)[-1].strip("/") in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and read it back."""
+    return written(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table made by :func:`written` that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -83,8 +83,12 @@ def base_and_batch(
     rows = keyed_readings(spark, sf_dir) if keyed else readings(spark, sf_dir)
     key = KEY if keyed else "src_key"
     digit = F.col(key) % 10
-    base = rows.where(digit < 8).unionByName(rows.where(digit == 0))
-    batch = rows.where(digit >= 7).unionByName(rows.where(digit == 9))
+
+    def doubled(part: DataFrame, at: int) -> DataFrame:
+        copies = F.when(digit == at, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        return part.withColumn("copy_no", F.explode(copies))
+
+    base, batch = doubled(rows.where(digit < 8), 0), doubled(rows.where(digit >= 7), 9)
     kept = [KEY, *COLUMNS] if keyed else COLUMNS
     return base.select(kept), batch.select(kept)
 

@@ -112,23 +112,42 @@ _FLAGS = ", ".join(
     for n in ("trained_s", "has_existing_s", "compare_s", "force_s", "data_updated_s")
 )
 
-_SPLIT_GAIN = (
-    "f1",
-    f"""u as (select 'engine_rpm' feature, cast(floor(engine_rpm / 3.5E3) as integer) bin, {TARGET} y from f1
-    union all select 'lub_oil_pressure', cast(floor(lub_oil_pressure / 2.0E0) as integer), {TARGET} from f1
-    union all select 'fuel_pressure', cast(floor(fuel_pressure * 2.5E2) as integer), {TARGET} from f1)""",
-    """h as (select feature, bin, 0.5E0 * count(*) - sum(y) g, 0.25E0 * count(*) h
-    from u group by feature, bin)""",
-    """c as (select feature, bin,
-    sum(g) over (partition by feature order by bin rows unbounded preceding) gl,
-    sum(h) over (partition by feature order by bin rows unbounded preceding) hl,
-    sum(g) over (partition by feature) gt, sum(h) over (partition by feature) ht from h)""",
-    "t as (select *, gt - gl gr, ht - hl hr from c)",
-    """z as (select feature, bin, hl, hr, ht, greatest(abs(gl) - 0.5E0, 0.0E0) tl,
-    greatest(abs(gr) - 0.5E0, 0.0E0) tr, greatest(abs(gt) - 0.5E0, 0.0E0) tp from t)""",
-    """gains as (select feature, bin, hl, hr,
-    tl * tl / (hl + 7.0E0) + tr * tr / (hr + 7.0E0) - tp * tp / (ht + 7.0E0) gain from z)""",
-)
+_BINNED = f"""binned as (select cast(floor(engine_rpm / 3.5E3) as integer) b1,
+    cast(floor(lub_oil_pressure / 2.0E0) as integer) b2,
+    cast(floor(fuel_pressure * 2.5E2) as integer) b3, {TARGET} y from f1)"""
+
+
+def _gains(name: str, rows: str) -> tuple[str, ...]:
+    """CTEs ending in ``name``: every valid cut per node of ``rows`` (node, b1..b3, y)."""
+    n = name
+    return (
+        f"""{n}_u as (select node, 'engine_rpm' feature, b1 bin, y from {rows}
+    union all select node, 'lub_oil_pressure', b2, y from {rows}
+    union all select node, 'fuel_pressure', b3, y from {rows})""",
+        f"""{n}_h as (select node, feature, bin, 0.5E0 * count(*) - sum(y) g, 0.25E0 * count(*) h
+    from {n}_u group by node, feature, bin)""",
+        f"""{n}_c as (select node, feature, bin,
+    sum(g) over (partition by node, feature order by bin rows unbounded preceding) gl,
+    sum(h) over (partition by node, feature order by bin rows unbounded preceding) hl,
+    sum(g) over (partition by node, feature) gt, sum(h) over (partition by node, feature) ht
+    from {n}_h)""",
+        f"{n}_t as (select *, gt - gl gr, ht - hl hr from {n}_c)",
+        f"""{n}_z as (select *, greatest(abs(gl) - 0.5E0, 0.0E0) tl,
+    greatest(abs(gr) - 0.5E0, 0.0E0) tr, greatest(abs(gt) - 0.5E0, 0.0E0) tp from {n}_t)""",
+        f"""{n}_g as (select node, feature, bin, gl, hl, gr, hr, tl, tr,
+    tl * tl / (hl + 7.0E0) + tr * tr / (hr + 7.0E0) - tp * tp / (ht + 7.0E0) gain from {n}_z)""",
+        f"{n} as (select * from {n}_g where hl >= 1.0E1 and hr >= 1.0E1 and gain > 0.5E0)",
+    )
+
+
+def _best(name: str, gains: str) -> str:
+    return f"""{name} as (select node, feature, bin, gain,
+    0.01E0 * case when gl < 0 then tl else -tl end / (hl + 7.0E0) left_value,
+    0.01E0 * case when gr < 0 then tr else -tr end / (hr + 7.0E0) right_value
+    from {gains} qualify row_number() over (partition by node order by gain desc, feature, bin) = 1)"""
+
+
+_SPLIT_GAIN = ("f1", _BINNED, "at_root as (select 0 node, * from binned)", *_gains("gains", "at_root"))
 
 _MERGED = f"select {fx.COLUMNS_SQL} from base union select {fx.COLUMNS_SQL} from batch"
 
@@ -264,10 +283,22 @@ ORACLES: dict[str, str] = {
 from scored s join advice_lines a on s.prediction = a.prediction""",
     ),
     "stream_score": with_sql("f1k", _scored("f1k"), select="select * from scored"),
-    "split_gain": with_sql(
-        *_SPLIT_GAIN,
-        select="""select feature, bin, gain from gains
-where hl >= 1.0E1 and hr >= 1.0E1 and gain > 0.5E0""",
+    "split_gain": with_sql(*_SPLIT_GAIN, select="select feature, bin, gain from gains"),
+    "first_tree": with_sql(
+        *_SPLIT_GAIN, _best("root", "gains"),
+        """below as (select case when case feature when 'engine_rpm' then b1
+    when 'lub_oil_pressure' then b2 else b3 end <= bin then 1 else 2 end node, b1, b2, b3, y
+    from binned cross join (select feature, bin from root))""",
+        *_gains("child_gains", "below"), _best("children", "child_gains"),
+        select="select * from root union all select * from children",
+    ),
+    "score_tree_model": with_sql(
+        "f1",
+        """p as (select *, 1.0E0 / (1.0E0 + exp(-(0.25E0
+    + case when engine_rpm >= 4.0E4 then 0.75E0 else -0.5E0 end
+    + case when lub_oil_pressure >= 25.0E0 then -1.25E0 else 1.0E0 end))) chance from f1)""",
+        select="""select * exclude (chance), floor(chance * 1.0E3) / 1.0E3 probability,
+  case when chance > 0.5E0 then 1 else 0 end prediction from p""",
     ),
 }
 ORACLES["new_rows_distinct_base"] = ORACLES["new_rows"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import product
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millwright.operators import advice, boosting, evaluation, merging, quality, splitting, trees
@@ -322,18 +322,60 @@ def stream_score(spark, sf_dir):
 # ---- models ------------------------------------------------------------------
 
 
+_BINS = {
+    "engine_rpm": "floor(engine_rpm / 3.5E3)",
+    "lub_oil_pressure": "floor(lub_oil_pressure / 2.0E0)",
+    "fuel_pressure": "floor(fuel_pressure * 2.5E2)",
+}
+
+
 @query
 def split_gain(spark, sf_dir):
-    bins = {
-        "engine_rpm": F.expr("floor(engine_rpm / 3.5E3)"),
-        "lub_oil_pressure": F.expr("floor(lub_oil_pressure / 2.0E0)"),
-        "fuel_pressure": F.expr("floor(fuel_pressure * 2.5E2)"),
-    }
-    histogram = boosting.root_histogram(fx.readings(spark, sf_dir), bins, TARGET)
+    bins = {name: F.expr(text) for name, text in _BINS.items()}
+    histogram = boosting.half_histogram(fx.readings(spark, sf_dir), bins, TARGET)
     gains = boosting.split_gains(histogram, ["feature"], boosting.BoostParams())
     return gains.where(F.col("gain").isNotNull()).select("feature", "bin", "gain")
 
 
+@query
+def first_tree(spark, sf_dir):
+    """Best cut and leaf values of the root and of its two children."""
+    params = boosting.BoostParams()
+    bins = {name: F.expr(text) for name, text in _BINS.items()}
+
+    def best_cuts(rows: DataFrame) -> DataFrame:
+        histogram = boosting.half_histogram(rows, bins, TARGET, by=["node"])
+        gains = boosting.split_gains(histogram, ["node", "feature"], params)
+        top = Window.partitionBy("node").orderBy(F.desc("gain"), "feature", "bin")
+        ranked = gains.where(F.col("gain").isNotNull()).withColumn("place", F.row_number().over(top))
+        return ranked.where(F.col("place") == 1).select(
+            "node", "feature", "bin", "gain",
+            F.expr(boosting.leaf_value("gl", "hl", params)).alias("left_value"),
+            F.expr(boosting.leaf_value("gr", "hr", params)).alias("right_value"),
+        )
+
+    rows = fx.readings(spark, sf_dir)
+    root = best_cuts(rows.withColumn("node", F.lit(0)))
+    cut = root.first()
+    at = F.when(bins[cut.feature] <= cut.bin, 1).otherwise(2)
+    return root.unionByName(best_cuts(rows.withColumn("node", at)))
+
+
+@query
+def score_tree_model(spark, sf_dir):
+    """Two given stumps over every reading; probabilities to three places."""
+    tree = boosting.Tree
+    model = boosting.NewtonModel(list(FEATURES), 0.25, 1, [
+        tree([0, -1, -1], [0, 0, 0], [4.0e4, 0.0, 0.0], [0.0, -0.5, 0.75]),
+        tree([1, -1, -1], [0, 0, 0], [25.0, 0.0, 0.0], [0.0, 1.0, -1.25]),
+    ])
+    scored = model.transform(fx.readings(spark, sf_dir))
+    return scored.withColumns({
+        "prediction": F.when(F.col("probability") > 0.5, 1).otherwise(0),
+        "probability": F.expr("floor(probability * 1.0E3) / 1.0E3"),
+    })
+
+
 @query
 def train_gbt(spark, sf_dir):
     train, _ = fx.train_test(spark, sf_dir)
