@@ -28,6 +28,7 @@ def prepare(
     mode: str = "presplit",
     inbox: str | None = None,
     inbox_schema: T.StructType | None = None,
+    archive: str | None = None,
     label: str = TARGET,
     key: Sequence[str] | None = None,
     publish: bool = False,
@@ -39,8 +40,9 @@ def prepare(
 
     ``presplit`` reads the published split.  ``merge`` first merges the files
     waiting in ``inbox``; if there were any, the new split is published even
-    with ``publish`` off.  ``merge`` without new files and ``resplit`` split the
-    current rows; ``dedupe`` drops duplicate rows first (a merge always does).
+    with ``publish`` off, and merged files move to ``archive`` if one is named.
+    ``merge`` without new files and ``resplit`` split the current rows;
+    ``dedupe`` drops duplicate rows first (a merge always does).
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is not one of {MODES}")
@@ -50,7 +52,7 @@ def prepare(
     if mode == "merge":
         if inbox is None:
             raise ValueError("mode 'merge' needs an inbox")
-        merged = ingest(store, inbox, inbox_schema) > 0
+        merged = ingest(store, inbox, inbox_schema, archive) > 0
     current = store.current()
     if current is None:
         raise LookupError(f"no rows below {store.root}")

@@ -10,7 +10,8 @@ Layout below ``root``::
 A version is a list of segments.  Merging a batch into a table that is known to
 be free of duplicates adds one segment with the new rows only, so the cost of
 writing follows the batch and not the table.  The log row is written last: data
-without a log row is invisible and is overwritten by the retry.
+without a log row is invisible and is overwritten by the retry.  One writer at
+a time; readers are never disturbed.
 """
 
 from __future__ import annotations

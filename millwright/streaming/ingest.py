@@ -17,14 +17,16 @@ def read_csv_stream(
     inbox: str,
     schema: T.StructType | None = None,
     archive: str | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """A stream of reading files, typed as :func:`read_csv` types a table.
 
     ``schema`` lists the file's columns in order (default: the standard
     headers); sensor columns are parsed by the rules for readings, the others
     by their declared type.  A file with another header stops the stream
-    instead of swapping columns.  With ``archive``, files of committed batches
-    are moved there.
+    instead of swapping columns.  With ``archive``, the files of a committed
+    batch are moved there when the next batch is planned.  ``max_files`` bounds
+    a batch.
     """
     declared = schema or header_schema()
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields])
@@ -33,6 +35,8 @@ def read_csv_stream(
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     types = {f.name: f.dataType.simpleString() for f in declared.fields}
     return parse_text_columns(reader.csv(inbox), types)
 
@@ -43,6 +47,7 @@ def ingest(
     schema: T.StructType | None = None,
     archive: str | None = None,
     checkpoint: str | None = None,
+    max_files: int | None = None,
 ) -> int:
     """Merge all files that are waiting; returns how many batches were merged.
 
@@ -65,7 +70,7 @@ def ingest(
             batch.unpersist()
 
     query = (
-        read_csv_stream(store.spark, inbox, schema, archive)
+        read_csv_stream(store.spark, inbox, schema, archive, max_files)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

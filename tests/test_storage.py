@@ -135,3 +135,12 @@ def test_typed_extra_columns(spark, folder):
                            *[T.StructField(h, T.StringType()) for h in HEADER.split(",")]])
     assert files.read_csv(spark, path, {"id": "bigint"}).first().id == 9007199254740993
     assert dict(read_csv_stream(spark, f"{folder}/in", schema).dtypes)["id"] == "bigint"
+
+
+def test_bounded_batches_and_archive(spark, folder):
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    for n in range(3):
+        put(inbox, f"{n}.csv", line(float(n), n % 2))
+    done = ingest(store, inbox, archive=f"{folder}/done", max_files=1)
+    assert done == 3 and bag(store.read()) == bag(table(spark, [0, 1, 2]))
+    assert len(store.current().segments) == 3
