@@ -63,13 +63,19 @@ def brute_newton(x, y, params, edges):
     return 1 / (1 + np.exp(-margin))
 
 
-def test_newton_equals_plain_arrays(spark, rows):
+@pytest.mark.parametrize("extra", [0, 3])
+def test_newton_equals_plain_arrays(spark, rows, extra):
+    """With three more columns the bins of a row take two words."""
     params = bo.BoostParams(n_trees=2, max_depth=3, learning_rate=0.3, row_sample=1.0,
                             column_sample=1.0, max_bins=16, min_child_weight=5.0)
-    model = bo.train_newton(rows, params=params, key=[fx.KEY])
+    features = [*FEATURES, *[f"extra{i}" for i in range(extra)]]
+    rows = rows.withColumns({
+        f"extra{i}": ((F.col(fx.KEY) * (i + 3)) % 11).cast("double") for i in range(extra)
+    })
+    model = bo.train_newton(rows, features, params=params, key=[fx.KEY])
     data = rows.toPandas()
-    edges = bo._bin_edges(rows.select(*FEATURES), FEATURES, 16)
-    want = brute_newton(data[list(FEATURES)].to_numpy(float), data[TARGET].to_numpy(float), params, edges)
+    edges = bo._bin_edges(rows.select(*features), features, 16)
+    want = brute_newton(data[features].to_numpy(float), data[TARGET].to_numpy(float), params, edges)
     got = dict(model.transform(rows).select(fx.KEY, "probability").collect())
     assert np.allclose([got[k] for k in data[fx.KEY]], want, atol=1e-9)
 

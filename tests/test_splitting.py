@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millwright.functions.digests import row_digest
 from millwright.operators.splitting import split_leakage, stratified_split, train_quotas
 
 
@@ -101,3 +102,11 @@ def test_assignment_does_not_shuffle_rows(spark):
     physical = plan.split("== Physical Plan ==")[1]
     assert "BroadcastHashJoin" in physical
     assert "hashpartitioning" not in physical and "rangepartitioning" not in physical
+
+
+def test_digest_tells_gaps_apart(spark):
+    df = spark.createDataFrame(
+        [(None, 1.0), (1.0, None), (None, None), (0.0, 1.0), (float("nan"), 1.0)], "a double, b double"
+    )
+    digests = [r[0] for r in df.select(row_digest(["a", "b"], 42)).collect()]
+    assert len(set(digests)) == 5 and {len(d) for d in digests} == {32}
