@@ -13,7 +13,7 @@ from millwright.llm.line_dedup import line_dedup
 from millwright.llm.mixing import words_taken
 from millwright.llm.packing import pack_documents
 from millwright.llm.quality import apply_policy, ledger
-from millwright.llm.secrets import scan_secrets
+from millwright.llm.secret_scan import scan_secrets
 from millwright.llm.text import table
 from millwright.llm.url_filter import judge_urls
 from millwright.llm.warc import archived
