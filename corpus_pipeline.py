@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millwright.llm.line_dedup import line_dedup
 from millwright.llm.mixing import mixed
+from millwright.llm.near_dedup import without_near_copies
 from millwright.llm.packing import pack_documents
 from millwright.llm.quality import kept_documents
 from millwright.llm.queries import VOCABULARY
@@ -31,6 +32,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return done.select(*docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each group of near copies."""
+    return without_near_copies(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source at its share of the words, in whole passes and one partial pass."""
     return mixed(docs)
@@ -42,7 +48,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", quality), ("line_dedup", lines),
+    ("quality_rules", quality), ("line_dedup", lines), ("near_dedup", near_copies),
     ("mix_sources", mixing), ("packing", packing),
 ]
 #: Tokens and hashed sketches are not SQL's; the tests hold the stages against brute force.

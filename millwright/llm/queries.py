@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from millwright.llm.exact_dedup import exact_dedup
 from millwright.llm.line_dedup import line_dedup
 from millwright.llm.mixing import words_taken
+from millwright.llm.near_dedup import near_dedup
 from millwright.llm.packing import pack_documents
 from millwright.llm.quality import apply_policy, ledger
 from millwright.llm.secret_scan import scan_secrets
+from millwright.llm.suffix_dedup import repeated_passages
 from millwright.llm.text import table
 from millwright.llm.url_filter import judge_urls
 from millwright.llm.warc import archived
@@ -41,6 +43,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "source", "n_lines", "n_removed", "text")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), largest=True)
 
@@ -67,7 +77,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_mix_sources, op2_quality_rules, op3_line_dedup, op6_exact_dedup, op7_warc, op8_secret_scan,
-        op9_packing, op10_url_filter,
+        op1_mix_sources, op2_quality_rules, op3_line_dedup, op4_suffix_dedup, op5_near_dedup, op6_exact_dedup, op7_warc,
+        op8_secret_scan, op9_packing, op10_url_filter,
     )
 }
