@@ -26,7 +26,7 @@ from millwright.llm.text import WORD, word_count
 from millwright.sources.scratch import discard, materialize, written
 
 #: Documents that a key range holds on average, if they were of one source.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 2_000
 
 
 @dataclass(frozen=True)
