@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millwright.llm.text import worker_cache
 from millwright.sources.scratch import materialize
 
 CAPACITY = 2048
@@ -71,14 +72,12 @@ class WordTokens:
         ]
 
 
-_LOADED: dict[str, WordTokens] = {}
-
-
 def word_tokens(path: str) -> Encoder:
     """The encoder of a vocabulary file; a worker loads it once."""
-    if path not in _LOADED:
-        _LOADED[path] = WordTokens(path)
-    return _LOADED[path].encode
+    loaded = worker_cache("tokens")
+    if path not in loaded:
+        loaded[path] = WordTokens(path)
+    return loaded[path].encode
 
 
 def _texts(column: pa.Array, size: int = 1 << 22) -> Iterator[list[str]]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,3 +25,9 @@ def word_count(text: Column) -> Column:
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session, the least number of tasks to spread work over."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as the Python worker, so its later tasks find it filled."""
+    holder = sys.modules.setdefault("_millwright_llm_worker", types.ModuleType("_millwright_llm_worker"))
+    return holder.__dict__.setdefault(name, {})

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
+#: Keys of the trie that no label or segment is equal to.
+PATHS, ENDS = 0, 1
 #: Bytes of a pickled trie that may be broadcast.
 MAX_TRIE_BYTES = 256 << 20
 
@@ -42,59 +44,52 @@ RULES = (
 )
 
 
-@dataclass
-class _Segment:
-    """``below``: by whole next segment.  ``ends``: rules whose path ends inside the next one."""
-
-    below: dict[str, _Segment] = field(default_factory=dict)
-    ends: dict[str, UrlRule] = field(default_factory=dict)
-
-
-@dataclass
-class _Label:
-    below: dict[str, _Label] = field(default_factory=dict)
-    paths: _Segment | None = None
-
-
-class RuleTrie:
-    """Of rules with the same host and path, a block wins over an allow."""
-
-    def __init__(self, rules: tuple[UrlRule, ...]):
-        self.root = _Label()
-        for rule in rules:
-            if rule.verdict not in (ALLOW, BLOCK):
-                raise ValueError(f"unknown verdict {rule.verdict!r}")
-            label = self.root
-            for part in reversed(lower_ascii(rule.host).split(".")):
-                label = label.below.setdefault(part, _Label())
-            label.paths = label.paths or _Segment()
-            segment = label.paths
-            *whole, last = rule.path.split("/")
-            for part in whole:
-                segment = segment.below.setdefault(part, _Segment())
-            if segment.ends.get(last, rule).verdict != BLOCK or rule.verdict == BLOCK:
-                segment.ends[last] = rule
-
-    def find(self, host: str, path: str) -> UrlRule | None:
-        """The rule of the longest host, then of the longest path; none fits: None."""
-        found, label = None, self.root
-        for part in reversed(host.split(".")):
-            label = label.below.get(part)
-            if label is None:
-                break
-            if label.paths is not None:
-                found = _longest(label.paths, path) or found
-        return found
+def rule_trie(rules: tuple[UrlRule, ...]) -> dict:
+    """Nested dicts: by host label from the last on, then under ``PATHS`` by path segment.
+
+    A segment node keeps under ``ENDS`` the rules whose path ends inside the next
+    segment, by the part of it that they have.  Of rules with the same host and path
+    a block wins over an allow.
+    """
+    root: dict = {}
+    for rule in rules:
+        if rule.verdict not in (ALLOW, BLOCK):
+            raise ValueError(f"unknown verdict {rule.verdict!r}")
+        node = root
+        for label in reversed(lower_ascii(rule.host).split(".")):
+            node = node.setdefault(label, {})
+        node = node.setdefault(PATHS, {})
+        *whole, last = rule.path.split("/")
+        for segment in whole:
+            node = node.setdefault(segment, {})
+        ends = node.setdefault(ENDS, {})
+        if last not in ends or rule.verdict == BLOCK:
+            ends[last] = (rule.text(), rule.verdict)
+    return root
+
+
+def find_rule(root: dict, host: str, path: str) -> tuple[str, str] | None:
+    """Text and verdict of the rule of the longest host, then of the longest path."""
+    found, node = None, root
+    for label in reversed(host.split(".")):
+        node = node.get(label)
+        if node is None:
+            break
+        if PATHS in node:
+            found = _longest(node[PATHS], path) or found
+    return found
 
 
-def _longest(segment: _Segment, path: str) -> UrlRule | None:
+def _longest(node: dict, path: str) -> tuple[str, str] | None:
     found = None
-    for part in path.split("/"):
-        fitting = [end for end in segment.ends if part.startswith(end)]
-        if fitting:
-            found = segment.ends[max(fitting, key=len)]
-        segment = segment.below.get(part)
-        if segment is None:
+    for segment in path.split("/"):
+        ends = node.get(ENDS, {})
+        for n in range(len(segment), -1, -1) if ends else ():
+            if segment[:n] in ends:
+                found = ends[segment[:n]]
+                break
+        node = node.get(segment)
+        if node is None:
             break
     return found
 
@@ -123,20 +118,20 @@ def judge_urls(
     url, or one without ``://``, has an empty host and path, which no rule fits.
     """
     spark = pages.sparkSession
-    trie = RuleTrie(tuple(rules))
+    trie = rule_trie(tuple(rules))
     if len(pickle.dumps(trie)) > MAX_TRIE_BYTES:
         raise ValueError("the rules are too many for a broadcast trie")
     shared = spark.sparkContext.broadcast(trie)
     id_type = pages.schema[page_id].dataType.simpleString()
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = shared.value.find
+        root = shared.value
         for batch in batches:
             rows = []
             for value in batch.column(1).to_pylist():
                 host, path = split_url(value)
-                rule = find(host, path)
-                rows.append((host, path, rule and rule.text(), rule.verdict if rule else otherwise))
+                rule, verdict = find_rule(root, host, path) or (None, otherwise)
+                rows.append((host, path, rule, verdict))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, pa.string()) for c in columns]],
