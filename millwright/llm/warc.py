@@ -148,13 +148,12 @@ def _records(data: bytes, member: int, whole: bool = True) -> Iterator[Record |
             record = _parse(data, at, member)
         except Failed as failure:
             found = None
-            for version in VERSION.finditer(data, at + 1):
-                if data[version.start() - 1 : version.start()] == b"\n":
-                    try:
-                        found = _parse(data, version.start(), member)
-                        break
-                    except Failed:
-                        continue
+            for version in VERSION.finditer(data, at + 1):  # after lost bytes not at a line's start
+                try:
+                    found = _parse(data, version.start(), member)
+                    break
+                except Failed:
+                    continue
             end = len(data) if found is None else found.start
             yield Gap(member, at, end, str(failure) if whole or found else "the member breaks off")
             if found is None:
@@ -221,7 +220,7 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         yield Gap(-1, broken, len(data), reason)
 
 
-_START = re.compile(rb"\x1f\x8b\x08|(?<=\n)WARC/1\.[01]\r\n")
+_START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
 def _next_start(data: bytes, at: int) -> int:
