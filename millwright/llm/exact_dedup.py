@@ -27,7 +27,7 @@ from millwright.sources.scratch import materialize
 
 FAN_IN = 8
 #: Documents per partition that the number of rounds is chosen for.
-RUN_ROWS = 200_000
+RUN_ROWS = 25_000
 NO_ID = np.iinfo(np.int64).min
 
 #: keep, row: the row that stays; length: bytes of the text, a second check of equality.
@@ -48,16 +48,13 @@ def merge_runs(runs: list[np.ndarray], largest: bool) -> np.ndarray:
     group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(rows))))
     if (rows["length"] != rows["length"][first][group]).any():
         raise ValueError("texts of different length have one digest")
-    best = np.lexsort((rows["row"], -rows["keep"] if largest else _null_last(rows["keep"]), group))
+    nameless = rows["keep"] == NO_ID  # after any id
+    best = np.lexsort((rows["row"], -rows["keep"] if largest else rows["keep"], nameless, group))
     merged = rows[best][first]
     merged["count"] = np.add.reduceat(rows["count"], first)
     return merged
 
 
-def _null_last(ids: np.ndarray) -> np.ndarray:
-    return np.where(ids == NO_ID, np.iinfo(np.int64).max, ids)
-
-
 def _place(digests: np.ndarray, levels: int) -> np.ndarray:
     """The partition, of FAN_IN ** levels, whose range of the digest space holds each digest."""
     head = digests.view(np.uint8).reshape(-1, 32)[:, :4].copy().view(">u4").ravel().astype(np.uint64)
