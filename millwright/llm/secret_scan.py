@@ -114,7 +114,10 @@ def _cost(count: Column) -> Column:
 
 
 def random_spans(run: Column, symbols: CharClass) -> Column:
-    """array<struct<start,end>> of a string: its windows of high entropy, those that touch joined."""
+    """array<struct<start,end>> of a string: its windows of high entropy, those that touch joined.
+
+    A string shorter than the window has none.
+    """
     spans = "array<struct<start:int,end:int>>"
     width = symbols.window
     entering = F.transform(F.split(run, ""), lambda c: F.ascii(c))
@@ -146,7 +149,7 @@ def random_spans(run: Column, symbols: CharClass) -> Column:
         last = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
         return F.when(s["end"] >= 0, F.concat(s["spans"], last)).otherwise(s["spans"])
 
-    return F.aggregate(steps, state, step, finish)
+    return F.when(F.length(run) >= width, F.aggregate(steps, state, step, finish)).otherwise(F.array().cast(spans))
 
 
 def entropy_spans(text: Column, symbols: CharClass, allowed: tuple[str, ...] = ALLOWED) -> Column:
