@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,13 +40,15 @@ from millwright.sources.scratch import discard, fresh_path, materialize
 
 WIDTH = 50
 GRAM = 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of text per range: a fifteenth of them start a named gram.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 4 << 20
+#: Bytes of text whose grams are hashed at a time.
+BLOCK_BYTES = 64 << 10
 #: Spark's own bound on buckets is higher; a bucket holds as many slices as it must.
 MAX_BUCKETS = 10_000
 #: A gram that more slices than this share is compared window by window.
-HOT_SLICES = 32
+HOT_SLICES = 256
 NO_ID = np.iinfo(np.int64).max
 IDS, SHARED, GONE = 0, 1, 2
 
@@ -73,29 +76,44 @@ def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
     return ((h >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
 
 
+def _named_grams(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of texts end to end: where a named gram is, its hash, the first window that names it and how many do."""
+    window = width - gram + 1
+    grams = _combined(_BYTE[text], gram, _mix) | _U(1)
+    least = _combined(grams, window, np.minimum)
+    valid = np.zeros(len(least) + 1, np.int8)  # windows that end in the text where they start
+    np.add.at(valid, starts, 1)
+    np.add.at(valid, ends - width + 1, -1)
+    least[np.cumsum(valid[:-1], dtype=np.int8) == 0] = 0
+    edge = np.zeros(window - 1, np.uint64)
+    least = np.concatenate([edge, least, edge])
+    top = ~_combined(~least, window, np.minimum)
+    at = np.flatnonzero(top == grams)
+    names = sliding_window_view(least, window)[at] == grams[at, None]
+    return at, grams[at], at - window + 1 + names.argmax(axis=1), names.sum(axis=1)
+
+
 class Slice:
     """The texts of a slice, end to end, and the grams that their windows name."""
 
     def __init__(self, texts: list[bytes], width: int, gram: int, ranges: int):
-        self.width, self.gram, self.ranges = width, gram, ranges
+        self.width, self.ranges, self.most = width, ranges, width + width - gram
         self.text = np.frombuffer(b"".join(texts), np.uint8)
         self.ends = np.cumsum([len(t) for t in texts])
         self.starts = self.ends - [len(t) for t in texts]
-        window = width - gram + 1
-        grams = _combined(_BYTE[self.text], gram, _mix) | _U(1)
-        least = _combined(grams, window, np.minimum)
-        valid = np.zeros(len(least) + 1, np.int64)  # windows that end in the text where they start
-        np.add.at(valid, self.starts, 1)
-        np.add.at(valid, self.ends - width + 1, -1)
-        least[np.cumsum(valid[:-1]) == 0] = 0
-        edge = np.zeros(window - 1, np.uint64)
-        self.least = np.concatenate([edge, least, edge])
-        top = ~_combined(~self.least, window, np.minimum)
-        self.at = np.flatnonzero(top == grams)
-        self.hash = grams[self.at]
-        self.doc = np.searchsorted(self.ends, self.at, side="right")
+        found, first = [], 0
+        while first < len(texts):  # some texts at a time, to stay in the cache
+            end = max(first + 1, int(np.searchsorted(self.ends, self.starts[first] + BLOCK_BYTES)))
+            base = self.starts[first]
+            at, h, start, many = _named_grams(
+                self.text[base : self.ends[end - 1]], self.starts[first:end] - base, self.ends[first:end] - base, width, gram)
+            found.append((at + base, h, start + base, many))
+            first = end
+        at, self.hash, self.first, self.many = map(np.concatenate, zip(*found, strict=True))
+        self.doc = np.searchsorted(self.ends, at, side="right")
+        h = _mix(self.hash, self.hash)  # the smallest hashes of windows are small
         #: range and the low forty bits of the hash
-        self.key = _range_of(self.hash, ranges) << 40 | (self.hash & _U((1 << 40) - 1)).astype(np.int64)
+        self.key = _range_of(h, ranges) << 40 | (h & _U((1 << 40) - 1)).astype(np.int64)
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct keys in order, and whether two texts of this slice have them."""
@@ -106,17 +124,6 @@ class Slice:
             return key, np.zeros(0, bool)
         return key[first], np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
 
-    def stretches(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For the named grams ``chosen``: where the first window that names each starts, and how many do."""
-        window = self.width - self.gram + 1
-        first, many = np.zeros(len(chosen), np.int64), np.zeros(len(chosen), np.int64)
-        for i in range(0, len(chosen), 1 << 16):
-            at = self.at[chosen[i : i + (1 << 16)]]
-            named = self.least[at[:, None] + np.arange(window)] == self.hash[chosen[i : i + (1 << 16)], None]
-            first[i : i + len(at)] = at - window + 1 + named.argmax(axis=1)
-            many[i : i + len(at)] = named.sum(axis=1)
-        return first, many
-
 
 @dataclass
 class Stretches:
@@ -136,13 +143,12 @@ class Stretches:
 
 def _content(text: np.ndarray, first: np.ndarray, length: np.ndarray, most: int) -> np.ndarray:
     """The bytes of each stretch, padded, as rows of eight-byte words."""
-    padded = np.concatenate([text, np.zeros(most, np.uint8)])
-    rows = np.zeros((len(first), -(-most // 8) * 8), np.uint8)
-    for i in range(0, len(first), 1 << 15):
-        part = padded[first[i : i + (1 << 15), None] + np.arange(most)]
-        part[np.arange(most) >= length[i : i + (1 << 15), None]] = 0
-        rows[i : i + len(part), :most] = part
-    return rows.view(np.uint64)
+    words = -(-most // 8)
+    padded = np.concatenate([text, np.zeros(8 * words, np.uint8)])
+    inside = (np.arange(8 * words) < np.arange(most + 1)[:, None]).astype(np.uint8) * np.uint8(255)
+    rows = sliding_window_view(padded, 8 * words)[first].view(np.uint64)
+    rows &= inside.view(np.uint64)[length]
+    return rows
 
 
 def _alike(words: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +172,7 @@ def _stretches(piece: Slice, ids: np.ndarray, shared: np.ndarray, hot: np.ndarra
     keys, _ = piece.keys()
     mark = np.searchsorted(keys, piece.key)
     chosen = np.flatnonzero(shared[mark]) if len(keys) else np.zeros(0, np.int64)
-    first, many = piece.stretches(chosen)
+    first, many = piece.first[chosen], piece.many[chosen]
     doc, range_ = piece.doc[chosen], piece.key[chosen] >> 40
     single = hot[mark[chosen]] if len(keys) else np.zeros(0, bool)
     if single.any():  # one stretch per window, ranged by its content
@@ -180,8 +186,7 @@ def _stretches(piece: Slice, ids: np.ndarray, shared: np.ndarray, hot: np.ndarra
         many = np.concatenate([many[~single], np.ones(len(windows), np.int64)])
         doc = np.concatenate([doc[~single], np.repeat(doc[single], n)])
         range_ = np.concatenate([range_[~single], _range_of(h, piece.ranges)])
-    most = piece.width + piece.width - piece.gram
-    order, new = _alike(_content(piece.text, first, many + piece.width - 1, most), many, range_)
+    order, new = _alike(_content(piece.text, first, many + piece.width - 1, piece.most), many, range_)
     begin = np.flatnonzero(new)
     of = np.zeros(len(first), np.int64)
     of[order] = np.cumsum(new) - 1
@@ -419,8 +424,8 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, tex
     other.  A row without an id comes after every other.  Other columns are not
     read.  A task holds some slices' or ranges' MB, and at least one whole text.
     """
-    if not 24 <= width <= 2 * gram + 63 or width - gram + 1 > 64:
-        raise ValueError("a window must have at least 24 bytes, and name one of 64 grams at most")
+    if not gram + 12 <= width <= gram + 63 or width < 32:
+        raise ValueError("a window must have at least 32 bytes, and name one of 13 to 64 grams")
     spark = docs.sparkSession
     none = hashlib.sha256(b"").hexdigest()
     rows = docs.select(

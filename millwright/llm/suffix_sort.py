@@ -1,7 +1,7 @@
 """Deep-shallow sorting of bounded suffixes, inside one task.
 
 Suffixes are compared on their first ``width`` bytes.  A multikey quicksort whose
-characters are eight bytes wide orders them to a shallow depth, three characters.
+characters are eight bytes wide orders them to a shallow depth, four characters.
 What is still equal there shares a long prefix, and comparing that again and again
 is what makes plain sorting slow; each such group goes into a blind trie, which
 branches on single bytes and compares a string in full only once.
@@ -14,7 +14,7 @@ import bisect
 import numpy as np
 
 CHARACTER = 8
-SHALLOW = 3 * CHARACTER
+SHALLOW = 4 * CHARACTER
 
 
 def characters(text: np.ndarray) -> np.ndarray:
@@ -146,28 +146,50 @@ def _refine(order: np.ndarray, new: np.ndarray, words: np.ndarray, at: np.ndarra
 def _deep(
     order: np.ndarray, new: np.ndarray, words: np.ndarray, text: np.ndarray, at: np.ndarray, width: int
 ) -> None:
-    """Order the groups that share their first ``SHALLOW`` bytes, in place; those of one string are done."""
+    """Order the groups that share their first ``SHALLOW`` bytes, in place.
+
+    Groups of one string are done; two different strings only need comparing; the
+    others are put into blind tries.
+    """
     places = _open(new)
     if not len(places) or width <= SHALLOW:
         return
+    items = order[places]
+    begin = at[items]
     first = np.flatnonzero(new[places])
-    group = np.cumsum(new[places]) - 1
-    begin = at[order[places]]
+    ends = np.append(first[1:], len(places))
+    group = np.repeat(np.arange(len(first)), ends - first)
+    depths = [*range(SHALLOW, width - CHARACTER + 1, CHARACTER), width - CHARACTER]
     differs = np.zeros(len(places), bool)
-    for depth in [*range(SHALLOW, width - CHARACTER + 1, CHARACTER), width - CHARACTER]:
+    for depth in depths:
         word = words[begin + depth]
         differs |= word != word[first][group]
     mixed = np.zeros(len(first), bool)
     mixed[group[differs]] = True
-    ends = np.append(first[1:], len(places))
-    raw = text.tobytes() if mixed.any() else b""
-    for g in np.flatnonzero(mixed):
-        inside = places[first[g] : ends[g]]
+
+    pairs = first[mixed & (ends - first == 2)]
+    left, right = begin[pairs], begin[pairs + 1]
+    swap, undecided = np.zeros(len(pairs), bool), np.ones(len(pairs), bool)
+    for depth in depths:
+        a, b = words[left + depth], words[right + depth]
+        swap |= undecided & (a > b)
+        undecided &= a == b
+    turned = pairs[swap]
+    items[turned], items[turned + 1] = items[turned + 1], items[turned]
+    fresh = new[places]
+    fresh[pairs + 1] = True
+
+    more = np.flatnonzero(mixed & (ends - first > 2))
+    raw = text.tobytes() if len(more) else b""
+    for a, b in zip(first[more].tolist(), ends[more].tolist(), strict=True):
         trie = BlindTrie(width - SHALLOW)
-        for item in order[inside].tolist():
-            start = int(at[item])
+        for item, start in zip(items[a:b].tolist(), begin[a:b].tolist(), strict=True):
             trie.insert(raw[start + SHALLOW : start + width], item)
-        leaves = trie.leaves()
-        order[inside] = np.concatenate([np.array(x, order.dtype) for x in leaves])
-        new[inside] = False
-        new[inside[np.cumsum([0] + [len(x) for x in leaves[:-1]])]] = True
+        place = a
+        for leaf in trie.leaves():
+            items[place : place + len(leaf)] = leaf
+            fresh[place : place + len(leaf)] = False
+            fresh[place] = True
+            place += len(leaf)
+    order[places] = items
+    new[places] = fresh
