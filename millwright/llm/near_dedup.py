@@ -8,14 +8,14 @@ small set, which would leave buckets empty, puts every shingle into every bucket
 under another multiplier.  Sizes near the border get both sketches, so that two
 sets that may be linked always share one kind.
 
-Four registers are a band, and classes that agree in a band are candidates.  Not
-all pairs of a band's group are compared: each group has a hub, and the others are
-compared with it.  Those that are linked become one component, and what is left
-are pairs between components in a group.  Some rounds with other hubs follow, then
-all pairs that are still between components; nothing that could join two
-components is left out.  A pair's Jaccard similarity is first estimated from the
-registers, corrected for registers that agree by chance; only pairs within five
-standard deviations of the threshold go on, and those are decided on the full sets.
+Four registers are a band, and classes that agree in a band are candidates.  Each
+band's group has a hub, its smallest id, and the others are compared with it; those
+that are linked become one component.  What is left are pairs between components of
+a group.  They are compared in blocks of members, inside a task, where only links
+that join components come out; nothing that could join two is left out.  A pair's
+Jaccard similarity is first estimated from the registers, corrected for registers
+that agree by chance; only what is within five standard deviations of the threshold
+goes on, and is decided on the full sets.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm.components import components
+from millwright.llm.text import worker_cache
 from millwright.sources.scratch import materialize
 
 SHINGLE_WORDS = 5
@@ -42,9 +43,11 @@ EMPTY = 0xFFFF
 #: Sets of at least so many shingles are dealt to the buckets (one bucket of 128 in 3,000 stays empty).
 DEALT_FROM = 1024
 DEVIATIONS = 5
-HUB_ROUNDS = 3
+LEAST_ESTIMATE = PERCENT / 100 - DEVIATIONS * (PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS) ** 0.5
 #: Members compared with one copy of a hub's sketch or set.
 MEMBERS_PER_HUB = 512
+#: Members of a block of an open group.
+BLOCK_MEMBERS = 256
 CACHED_WORDS = 500_000
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1 << 62, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -52,15 +55,15 @@ _MULTIPLIERS = np.random.default_rng(20240229).integers(1 << 62, 1 << 63, REGIST
 # ---- sets and sketches ----------------------------------------------------
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_WORDS = _WordHashes()
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    known = worker_cache("word hashes")
+    if len(known) > CACHED_WORDS:
+        known.clear()
+    try:
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    except KeyError:
+        known.update((w, xxhash.xxh3_64_intdigest(w)) for w in set(words).difference(known))
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -73,7 +76,7 @@ def shingle_set(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    w = _word_hashes(words)
     size = min(size, len(w))
     h = np.full(len(w) - size + 1, size, np.uint64)
     for i in range(size):
@@ -178,15 +181,13 @@ def estimated_jaccard(a: np.ndarray, b: np.ndarray, n: int, m: int, buckets: int
 
 def _may_link(hub: tuple, member: tuple) -> bool:
     """Whether the estimate is not far below the threshold for one kind of sketch that both have."""
-    share = PERCENT / 100
-    least = share - DEVIATIONS * (share * (1 - share) / REGISTERS) ** 0.5
     (n, *hub_kinds), (m, *member_kinds) = hub, member
     if min(n, m) * 100 < max(n, m) * PERCENT:
         return False
     for kind, (a, b) in enumerate(zip(hub_kinds, member_kinds, strict=True)):
         if a is not None and b is not None:
             a, b = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
-            if estimated_jaccard(a, b, n, m, REGISTERS if kind else 1) >= least:
+            if estimated_jaccard(a, b, n, m, REGISTERS if kind else 1) >= LEAST_ESTIMATE:
                 return True
     return False
 
@@ -237,32 +238,137 @@ def _chosen(pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, tuple],
     return rows.mapInArrow(choose, "a long, b long")
 
 
-def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(bucket, id, comp) of the groups that have more than one component."""
-    if labels is None:
-        return members.withColumn("comp", F.col("id"))
-    known = members.join(labels, F.col("id") == F.col("node"), "left").select(
-        "bucket", "id", F.coalesce("root", "id").alias("comp"))
-    several = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    return known.join(several.select("bucket"), "bucket", "left_semi")
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """A group's members against its smallest id."""
+    hubs = members.groupBy("bucket").agg(F.min("id").alias("a"))
+    return members.join(hubs, "bucket").where("a != id").select("a", F.col("id").alias("b")).distinct()
+
 
+# ---- groups that have more than one component ---------------------------------
 
-def _hub_pairs(open_: DataFrame, round_: int) -> DataFrame:
-    """A group's members against its hub: first its smallest id, then one by hash."""
-    order = F.col("id") if round_ == 0 else F.xxhash64("id", F.lit(round_))
-    hubs = open_.groupBy("bucket").agg(F.min_by(F.struct("id", "comp"), order).alias("hub"))
-    joined = open_.join(hubs, "bucket").where("comp != hub.comp")
-    return joined.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
+def _open_blocks(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, i, k, id, comp): which blocks of an open group's members are compared.
 
-def _all_pairs(open_: DataFrame) -> DataFrame:
-    """What is left: members outside a group's largest component against all members of other components."""
-    sizes = open_.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-    marked = materialize(open_.join(largest, "bucket"), "near-open")
-    minor = marked.where("comp != main").select("bucket", F.col("id").alias("x"), F.col("comp").alias("x_comp"))
-    pairs = minor.join(marked, "bucket").where("x_comp != comp and (comp = main or x < id)")
-    return pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    A group's largest component is its main one.  The other members are dealt to
+    minor blocks, numbered first, and the main ones to blocks after them; block i, a
+    minor one, is compared with itself and every later block k.  So the members of
+    the main component go out once per minor block and never meet each other.
+    """
+    known = members.join(labels, F.col("id") == F.col("node"), "left").select(
+        "bucket", "id", F.coalesce("root", "id").alias("comp"))
+    sizes = known.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    groups = sizes.groupBy("bucket").agg(
+        F.count("*").alias("comps"), F.max_by("comp", F.struct("size", "comp")).alias("main"),
+        F.max("size").alias("main_size"), F.sum("size").alias("all_size")).where("comps > 1")
+    blocks = lambda size: F.ceil(size / BLOCK_MEMBERS).cast("int")
+    groups = groups.select(
+        F.col("bucket").alias("__group"), "main", blocks(F.col("all_size") - F.col("main_size")).alias("minors"),
+        blocks(F.col("main_size")).alias("mains"))
+    placed = known.join(groups, F.col("bucket") == F.col("__group")).withColumn("is_main", F.col("comp") == F.col("main"))
+    dealt = F.when(F.col("is_main"), F.col("minors") + F.pmod(F.xxhash64("id"), "mains")).otherwise(
+        F.pmod(F.xxhash64("id"), "minors")).cast("int")
+    pair = lambda i, k: F.struct(i.cast("int").alias("i"), k.cast("int").alias("k"))
+    block = F.col("block")
+    before = F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda i: pair(i, block))
+    earlier = F.filter(before, lambda p: p["i"] < block)
+    onward = F.transform(F.sequence(block, F.col("minors") + F.col("mains") - 1), lambda k: pair(block, k))
+    pairs = F.when(F.col("is_main"), before).otherwise(F.concat(earlier, onward))
+    return placed.withColumn("block", dealt).select("bucket", "id", "comp", F.inline(pairs))
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows in runs of equal leading columns, from batches that are sorted by them."""
+    key, rows = None, []
+    for batch in batches:
+        heads = zip(*(batch.column(i).to_pylist() for i in range(keys)), strict=True)
+        tails = zip(*(batch.column(i) for i in range(keys, batch.num_columns)), strict=True)
+        for head, tail in zip(heads, tails, strict=True):
+            if head != key:
+                if rows:
+                    yield key, rows
+                key, rows = head, []
+            rows.append(tuple(value.as_py() for value in tail))
+    if rows:
+        yield key, rows
+
+
+def _in_blocks(rows: DataFrame, payload: DataFrame, work: Callable, schema: str, fields: list[str]) -> DataFrame:
+    """``work`` on the rows of each (bucket, i, k) with their payload; it gives tuples of ``fields``."""
+    columns = [c for c in payload.columns if c != "id"]
+    held = rows.join(payload.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"))
+    dealt = held.select("bucket", "i", "k", "id", "comp", *columns).repartition("bucket", "i", "k").sortWithinPartitions(
+        "bucket", "i", "k")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for key, group in _grouped(batches, 3):
+            found += work(key, group)
+            if len(found) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=fields)
+                found = []
+        columns = list(zip(*found, strict=True)) or [()] * len(fields)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=fields)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _likely(key: tuple, group: list[tuple]) -> list[tuple]:
+    """The members that, by their sketches, may be linked with one of another component."""
+    comp = np.array([row[1] for row in group])
+    n = np.array([row[2] for row in group])
+    near = np.zeros((len(group), len(group)), bool)
+    for kind, buckets in ((3, 1), (4, REGISTERS)):
+        at = np.flatnonzero([row[kind] is not None for row in group])
+        if len(at) > 1:
+            registers = np.frombuffer(b"".join(group[i][kind] for i in at), np.uint16).reshape(-1, REGISTERS)
+            agree = np.zeros((len(at), len(at)), np.int32)
+            used = np.zeros((len(at), len(at)), np.int32)
+            for column in registers.T:
+                there = (column != EMPTY)[:, None] | (column != EMPTY)
+                used += there
+                agree += (column[:, None] == column) & there
+            a, b = np.divmod(np.arange(len(at) ** 2), len(at))
+            chance = _chance(n[at][a], n[at][b], buckets).reshape(len(at), -1)
+            near[np.ix_(at, at)] |= (agree / np.maximum(used, 1) - chance) / (1 - chance) >= LEAST_ESTIMATE
+    near &= comp[:, None] != comp
+    near &= np.minimum(n[:, None], n) * 100 >= np.maximum(n[:, None], n) * PERCENT
+    return [(*key, group[i][0], group[i][1]) for i in np.flatnonzero(near.any(axis=1))]
+
+
+def _joining(key: tuple, group: list[tuple]) -> list[tuple]:
+    """Links on the full sets between components, no more than it takes to join them."""
+    sets = [np.frombuffer(row[2], np.uint64) for row in group]
+    n = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), n)
+    value, place, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = holders > 1
+    column = np.cumsum(shared) - 1
+    kept = shared[place]
+    owner, place = owner[kept], column[place[kept]]
+    both = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2 ** 24 are exact
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    for first in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(place, [first, first + 4096])
+        held = np.zeros((len(sets), 4096), np.float32)
+        held[owner[a:b], place[a:b] - first] = 1
+        both += held @ held.T
+    linked = both * 100 >= PERCENT * (n[:, None] + n - both)
+    root = {row[1]: row[1] for row in group}
+
+    def find(comp: int) -> int:
+        while root[comp] != comp:
+            root[comp] = comp = root[root[comp]]
+        return comp
+
+    found = []
+    for x, y in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+        a, b = find(group[x][1]), find(group[y][1])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            found.append((group[x][0], group[y][0]))
+    return found
 
 
 def _sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -287,25 +393,14 @@ def _links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataF
         return None
     sketches = classes.select("id", "n_shingles", "small", "dealt")
     sets = materialize(_sets(docs, members, doc_id, text), "near-sets")
-    labels, links, tested = None, None, None
-    for round_ in range(HUB_ROUNDS + 1):
-        open_ = materialize(_open_members(members, labels), "near-groups")
-        pairs = _hub_pairs(open_, round_) if round_ < HUB_ROUNDS else _all_pairs(open_)
-        if tested is not None:
-            either = tested.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y"))
-            new = (F.greatest("a", "b") == F.col("x")) & (F.least("a", "b") == F.col("y"))
-            pairs = pairs.join(either, new, "left_anti")
-        pairs = materialize(pairs, "near-pairs")
-        if pairs.isEmpty():
-            if round_ == HUB_ROUNDS:
-                break
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        likely = _chosen(pairs, sketches, _may_link)
-        found = materialize(_chosen(likely, sets, _linked), "near-links")
-        links = found if links is None else links.union(found)
-        labels = materialize(components(links), "near-labels")
-    return labels
+    links = _chosen(_chosen(_first_pairs(members), sketches, _may_link), sets, _linked)
+    labels = materialize(components(links), "near-labels")
+    blocks = _open_blocks(members, labels)
+    likely = _in_blocks(blocks, sketches, _likely, "bucket long, i long, k long, id long, comp long",
+                        ["bucket", "i", "k", "id", "comp"])
+    joining = _in_blocks(likely, sets, _joining, "a long, b long", ["a", "b"])
+    known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return materialize(components(known.union(joining)), "near-labels")
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
