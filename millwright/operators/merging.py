@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millwright.sources.scratch import materialize
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 _IN_BASE = "__in_base"
@@ -73,25 +75,28 @@ def new_rows(
     """Distinct rows of ``batch`` that ``base`` does not have.
 
     A large batch is resolved in one shuffle of both tables.  When the base is
-    known to be distinct and the measured size of the batch fits a broadcast,
-    the base is only scanned: it is reduced to its rows that occur in the batch
-    (at most as many as the batch has), and only those are shuffled.
+    known to be distinct, the distinct batch is written once; if its measured size
+    fits a broadcast, the base is only scanned for its rows that occur in it (at
+    most as many as the batch has), and those are taken out by a second broadcast.
     """
-    if base_is_distinct and size_in_bytes(batch) <= broadcast_bytes:
+    if base_is_distinct:
         empty_base, empty_batch = base.limit(0), batch.limit(0)
-        base = union_all(base, empty_batch)
-        base = _present_in(base, union_all(empty_base, batch).dropDuplicates())
+        rows = materialize(union_all(empty_base, batch).dropDuplicates(), "distinct-batch")
+        if size_in_bytes(rows) <= broadcast_bytes:
+            known = materialize(_matching(union_all(base, empty_batch), rows, "left_semi"), "known-rows")
+            return _matching(rows, known, "left_anti")
+        batch = rows
     fresh = _counted(base, batch).where(F.col(_IN_BASE) == 0)
     return fresh.drop(_IN_BASE, _IN_BATCH)
 
 
-def _present_in(base: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of ``base`` that occur in ``rows``, which is broadcast."""
-    renamed = rows.select(*[F.col(f"`{c}`").alias(f"__wanted_{c}") for c in base.columns])
+def _matching(rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
+    """``rows`` that occur in ``others`` (or do not), which is broadcast."""
+    renamed = others.select(*[F.col(f"`{c}`").alias(f"__wanted_{c}") for c in rows.columns])
     same = F.lit(True)
-    for name in base.columns:
+    for name in rows.columns:
         same = same & F.col(f"`{name}`").eqNullSafe(F.col(f"`__wanted_{name}`"))
-    return base.join(F.broadcast(renamed), same, "left_semi")
+    return rows.join(F.broadcast(renamed), same, how)
 
 
 def size_in_bytes(df: DataFrame) -> int:

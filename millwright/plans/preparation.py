@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.operators.splitting import SEED, TEST_SIZE, stratified_split
 from millwright.schema import TARGET
 from millwright.sources.store import DatasetStore
-from millwright.streaming.ingest import ingest
+from millwright.streaming.ingest import MAX_FILES, ingest
 
 MODES = ("presplit", "merge", "resplit")
 
@@ -19,8 +20,10 @@ MODES = ("presplit", "merge", "resplit")
 @dataclass
 class Prepared:
     rows: DataFrame  # with the split column
-    merged: bool  # did new rows arrive
+    merged: bool  # were batches merged since the split published before
     published: int | None  # version of the split written by this run
+    rejected: int = 0  # arriving rows that this run kept back, see DatasetStore.rejects
+    unclassed: int = 0  # stored rows without a class, which no split has
 
 
 def prepare(
@@ -35,31 +38,37 @@ def prepare(
     dedupe: bool = False,
     test_size: float = TEST_SIZE,
     seed: int = SEED,
+    max_files: int = MAX_FILES,
 ) -> Prepared:
     """Run one preparation.
 
     ``presplit`` reads the published split.  ``merge`` first merges the files
-    waiting in ``inbox``; if there were any, the new split is published even
-    with ``publish`` off, and merged files move to ``archive`` if one is named.
-    ``merge`` without new files and ``resplit`` split the current rows;
-    ``dedupe`` drops duplicate rows first (a merge always does).
+    waiting in ``inbox``, ``max_files`` at a time; if batches were merged since the
+    last published split, by this run or by one that ended before it published, the
+    new split is published even with ``publish`` off.  Merged files move to
+    ``archive`` if one is named.  ``merge`` without new files and ``resplit`` split
+    the current rows; ``dedupe`` drops duplicate rows first (a merge always does).
+    Stored rows without a class are counted and in no split.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is not one of {MODES}")
     if mode == "presplit":
         return Prepared(store.read_split(), merged=False, published=None)
-    merged = False
+    merged, rejected = False, 0
     if mode == "merge":
         if inbox is None:
             raise ValueError("mode 'merge' needs an inbox")
-        merged = ingest(store, inbox, inbox_schema, archive) > 0
+        rejected = ingest(store, inbox, inbox_schema, archive, max_files=max_files, label=label).rejected
+        merged = store.unpublished_merge()
     current = store.current()
     if current is None:
         raise LookupError(f"no rows below {store.root}")
     if dedupe and not current.is_distinct:
         current = store.create(store.read(current), dedupe=True, tag="dedupe")
-    rows = stratified_split(store.read(current), label, key, test_size, seed)
+    stored = store.read(current)
+    unclassed = stored.where(F.col(label).isNull()).count()
+    rows = stratified_split(stored.where(F.col(label).isNotNull()), label, key, test_size, seed)
     if not (merged or publish):
-        return Prepared(rows, merged, published=None)
+        return Prepared(rows, merged, None, rejected, unclassed)
     version = store.publish_split(rows)
-    return Prepared(store.read_split(version=version), merged, published=version)
+    return Prepared(store.read_split(version=version), merged, version, rejected, unclassed)

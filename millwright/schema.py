@@ -82,14 +82,6 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise MissingColumnsError(missing, available)
 
 
-def reading_schema(labelled: bool = True) -> T.StructType:
-    """Explicit schema of a readings table with canonical names."""
-    fields = [T.StructField(n, T.DoubleType()) for n in FEATURES]
-    if labelled:
-        fields.append(T.StructField(TARGET, T.IntegerType()))
-    return T.StructType(fields)
-
-
 def header_schema(labelled: bool = True) -> T.StructType:
     """All-text schema in file header names, as a CSV stream has to declare it."""
     names = [s.header for s in SENSORS] + ([TARGET_HEADER] if labelled else [])

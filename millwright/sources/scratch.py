@@ -11,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,7 +56,68 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return written(df, name)[0]
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a table made by :func:`written` that nothing reads any more."""
+class Scratch:
+    """Tables of one job; see :func:`scratch_tables`."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and read it back."""
+        path = fresh_path(self.spark, name)
+        self._paths.append(path)  # a failed write leaves files too
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def replace(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and delete the tables before it, which only it has read."""
+        before, self._paths = self._paths, []
+        try:
+            return self.write(df, name)
+        finally:
+            for path in before:
+                discard(self.spark, path)
+
+    def clear(self) -> None:
+        """Delete all tables written so far."""
+        while self._paths:
+            discard(self.spark, self._paths.pop())
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Scratch]:
+    """Tables that are deleted when the block ends, by an error too.
+
+    For intermediates only: what a lazy result still reads is for :func:`materialize`.
+    """
+    tables = Scratch(spark)
+    try:
+        yield tables
+    finally:
+        tables.clear()
+
+
+def _located(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    system, target = _located(spark, path)
+    system.delete(target, True)
+
+
+def size_on_disk(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path``."""
+    system, target = _located(spark, path)
+    return system.getContentSummary(target).getLength()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if there is no such folder."""
+    system, target = _located(spark, path)
+    if not system.exists(target):
+        return []
+    return [str(found.getPath()) for found in system.listStatus(target)]

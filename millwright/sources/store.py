@@ -3,20 +3,24 @@
 Layout below ``root``::
 
     rows/<segment>/        parquet, never changed once committed
+    rejects/tag=<tag>/     rows that a batch could not use, with their reason
     splits/v=<version>/    parquet partitioned by ``split``
     log/                   one JSON row per committed version
     split_log/             one JSON row per published split
 
 A version is a list of segments.  Merging a batch into a table that is known to
 be free of duplicates adds one segment with the new rows only, so the cost of
-writing follows the batch and not the table.  The log row is written last: data
-without a log row is invisible and is overwritten by the retry.  One writer at
-a time; readers are never disturbed.
+writing follows the batch and not the table.  Segments of similar size are
+compacted when there are several, so a row is written again once per size tier
+and not once per batch.  The log row is written last: data without a log row is
+invisible and is overwritten by the retry.  One writer at a time; readers are
+never disturbed until :meth:`DatasetStore.vacuum` deletes what old versions read.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -26,8 +30,14 @@ from pyspark.sql import types as T
 
 from millwright.operators.merging import merge_distinct, new_rows, union_all
 from millwright.sources.readings import SPLIT
+from millwright.sources.scratch import children, discard, size_on_disk
 
-MAX_SEGMENTS = 32
+#: Segments of one size tier that are compacted into one; a tier is this many times the one below.
+TIER_SEGMENTS = 8
+#: Segments below this size are one tier.
+TIER_BYTES = 1 << 20
+
+CREATE, MERGE, COMPACT = "create", "merge", "compact"
 
 _LOG = T.StructType([
     T.StructField("version", T.LongType()),
@@ -35,7 +45,9 @@ _LOG = T.StructType([
     T.StructField("row_schema", T.StringType()),
     T.StructField("is_distinct", T.BooleanType()),
     T.StructField("tag", T.StringType()),
+    T.StructField("kind", T.StringType()),
 ])
+_REJECTS = "file string, raw string, reason string, tag string"
 _SPLIT_LOG = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("data_version", T.LongType()),
@@ -98,42 +110,100 @@ class DatasetStore:
         """Commit ``rows`` as the next version, replacing the earlier contents."""
         if dedupe:
             rows = rows.dropDuplicates()
-        return self._commit_segment(rows, (), is_distinct=dedupe, tag=tag)
+        return self._commit_segment(rows, (), dedupe, tag, CREATE)
 
     def merge(self, batch: DataFrame, tag: str) -> Version:
         """Commit current rows and ``batch`` without duplicate rows.
 
         ``tag`` names the batch: merging the same tag again changes nothing, so
-        a retried micro-batch is harmless.
+        a retried micro-batch is harmless.  A batch of known rows commits its tag
+        and no segment.
         """
         current = self.current()
         if current is None:
-            return self.create(batch, dedupe=True, tag=tag)
+            return self._commit_segment(batch.dropDuplicates(), (), True, tag, MERGE)
         if self.has_merged(tag):
             return current
         base = self.read(current)
         if not current.is_distinct:
-            return self._commit_segment(merge_distinct(base, batch), (), True, tag)
+            return self._commit_segment(merge_distinct(base, batch), (), True, tag, MERGE)
         added = new_rows(base, batch, base_is_distinct=True)
-        if len(current.segments) >= MAX_SEGMENTS:
-            return self._commit_segment(union_all(base, added), (), True, tag)
-        return self._commit_segment(added, current.segments, True, tag)
+        version = self._commit_segment(added, current.segments, True, tag, MERGE)
+        return self.compact() or version
 
     def _commit_segment(
-        self, rows: DataFrame, kept: tuple[str, ...], is_distinct: bool, tag: str
+        self, rows: DataFrame, kept: tuple[str, ...], is_distinct: bool, tag: str, kind: str
     ) -> Version:
         current = self.current()
         number = 0 if current is None else current.number + 1
         segment = f"{number:08d}-{tag}"
-        rows.write.mode("overwrite").parquet(f"{self.root}/rows/{segment}")
+        path = f"{self.root}/rows/{segment}"
+        rows.write.mode("overwrite").parquet(path)
         schema = _nullable(rows.schema)
-        segments = (*kept, segment)
+        if kept and self.spark.read.schema(schema).parquet(path).isEmpty():
+            discard(self.spark, path)
+            schema, segments = current.schema, kept
+        else:
+            segments = (*kept, segment)
         append_log(
             self.spark, f"{self.root}/log", _LOG,
-            (number, list(segments), schema.json(), is_distinct, tag),
+            (number, list(segments), schema.json(), is_distinct, tag, kind),
         )
         return Version(number, segments, schema, is_distinct, tag)
 
+    def compact(self, tier_segments: int = TIER_SEGMENTS) -> Version | None:
+        """Commit a version in which a tier's small segments are one; None if no tier has enough.
+
+        Only the segments of that tier are read and written.
+        """
+        current = self.current()
+        tiers: dict[int, list[str]] = {}
+        for segment in current.segments:
+            size = size_on_disk(self.spark, f"{self.root}/rows/{segment}")
+            tiers.setdefault(int(math.log(max(size, TIER_BYTES) / TIER_BYTES, tier_segments)), []).append(segment)
+        full = [t for t in sorted(tiers) if len(tiers[t]) >= tier_segments]
+        if not full:
+            return None
+        merged = tiers[full[0]]
+        rows = self.spark.read.schema(current.schema).parquet(*[f"{self.root}/rows/{s}" for s in merged])
+        kept = tuple(s for s in current.segments if s not in set(merged))
+        return self._commit_segment(rows, kept, current.is_distinct, "compact", COMPACT)
+
+    def vacuum(self, keep_versions: int = 2, keep_splits: int = 2) -> int:
+        """Delete segments and splits that only older versions use; returns how many.
+
+        The logs stay.  Do not run it while an older version is being read.
+        """
+        if keep_versions < 1 or keep_splits < 1:
+            raise ValueError("the current version must stay")
+        last = self.versions().orderBy(F.desc("version")).limit(keep_versions).collect()
+        used = {segment for row in last for segment in row.segments}
+        stale = [p for p in children(self.spark, f"{self.root}/rows") if p.rsplit("/", 1)[1] not in used]
+        newest = self.current_split()
+        for path in children(self.spark, f"{self.root}/splits") if newest is not None else ():
+            if int(path.rsplit("=", 1)[1]) <= newest - keep_splits:
+                stale.append(path)
+        for path in stale:
+            discard(self.spark, path)
+        return len(stale)
+
+    # ---- rejected rows ----------------------------------------------------
+
+    def reject(self, rows: DataFrame, tag: str) -> int:
+        """Keep the (file, raw, reason) of a batch's unusable rows; returns how many."""
+        path = f"{self.root}/rejects/tag={tag}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path).count()
+
+    def rejects(self) -> DataFrame:
+        """(file, raw, reason, tag) of all rows that no batch could use."""
+        try:
+            return self.spark.read.schema(_REJECTS).parquet(f"{self.root}/rejects")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _REJECTS)
+
     # ---- splits ---------------------------------------------------------
 
     def current_split(self) -> int | None:
@@ -155,6 +225,17 @@ class DatasetStore:
         )
         return number
 
+    def unpublished_merge(self) -> bool:
+        """Whether a batch was merged since the last published split."""
+        last = self.published_data_version()
+        merged = self.versions().where(F.col("kind") == MERGE)
+        return not merged.where(F.col("version") > (-1 if last is None else last)).isEmpty()
+
+    def published_data_version(self) -> int | None:
+        """The version of the rows behind the current split."""
+        log = read_log(self.spark, f"{self.root}/split_log", _SPLIT_LOG)
+        return log.agg(F.max_by("data_version", "version").alias("v")).first().v
+
     def read_split(self, part: str | None = None, version: int | None = None) -> DataFrame:
         """The current split; with ``part`` only that partition's files are read."""
         number = self.current_split() if version is None else version

@@ -1,16 +1,40 @@
-"""Incremental merge of arriving reading files into a dataset store."""
+"""Incremental merge of arriving reading files into a dataset store.
+
+The stream lists files; each batch reads its files itself, because files name
+their columns in a header of their own.  Files with the same header are one read,
+and the reads are joined by column name.  Rows that cannot be used are told apart
+before anything is committed and kept with their reason, so one bad file stops
+neither the batch nor the next ones.
+"""
 
 from __future__ import annotations
 
+import csv
 import hashlib
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millwright.schema import header_schema
-from millwright.sources.readings import parse_text_columns
+from millwright.schema import FEATURES, HEADERS, TARGET, header_schema
+from millwright.sources.readings import MISSING_TEXTS, parse_text_columns
+from millwright.sources.scratch import scratch_tables
 from millwright.sources.store import DatasetStore
 
+#: Files of a batch; their paths and header lines are on the driver.
+MAX_FILES = 100
+
+FILE, RAW, REASON = "__file", "__raw", "__reason"
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
+
+
+@dataclass(frozen=True)
+class Ingested:
+    batches: int  # merged by this run
+    rejected: int  # rows kept back by this run
+
 
 def read_csv_stream(
     spark: SparkSession,
@@ -19,26 +43,140 @@ def read_csv_stream(
     archive: str | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
-    """A stream of reading files, typed as :func:`read_csv` types a table.
+    """A stream of reading files of one known header, for scoring.
 
     ``schema`` lists the file's columns in order (default: the standard
     headers); sensor columns are parsed by the rules for readings, the others
     by their declared type.  A file with another header stops the stream
-    instead of swapping columns.  With ``archive``, the files of a committed
-    batch are moved there when the next batch is planned.  ``max_files`` bounds
-    a batch.
+    instead of swapping columns; :func:`ingest` takes any header.  With
+    ``archive``, the files of a committed batch are moved there when the next
+    batch is planned.  ``max_files`` bounds a batch.
     """
     declared = schema or header_schema()
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields])
     reader = (
         spark.readStream.schema(as_text).option("header", True).option("enforceSchema", False)
     )
+    for name, value in _source_options(archive, max_files).items():
+        reader = reader.option(name, value)
+    return parse_text_columns(reader.csv(inbox), _types(declared))
+
+
+def _source_options(archive: str | None, max_files: int | None) -> dict:
+    options = {}
     if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    types = {f.name: f.dataType.simpleString() for f in declared.fields}
-    return parse_text_columns(reader.csv(inbox), types)
+        options["maxFilesPerTrigger"] = max_files
+    return options
+
+
+def _types(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+# ---- files of a batch ---------------------------------------------------------
+
+
+def header_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each file that has one; a task per file reads no further."""
+    if not paths:
+        return {}
+    firsts = [
+        spark.read.text(path).limit(1).select(F.lit(path).alias("path"), F.col("value").alias("line"))
+        for path in paths
+    ]
+    return {r.path: r.line for r in reduce(DataFrame.union, firsts).collect()}
+
+
+def _columns(header: str) -> list[str] | None:
+    """Column names of a header line; None if they do not name each column once."""
+    names = [n.strip() for n in next(csv.reader([header.removeprefix("﻿")]))]
+    lowered = [HEADERS.get(n, n).lower() for n in names]
+    return names if all(names) and len(set(lowered)) == len(names) else None
+
+
+def _texts(spark: SparkSession, names: list[str], paths: list[str]) -> DataFrame:
+    """Files of one header as text cells, with file, raw line and, for a malformed row, a reason."""
+    fields = [T.StructField(n, T.StringType()) for n in names]
+    rows = (
+        spark.read.schema(T.StructType([*fields, T.StructField(RAW, T.StringType())]))
+        .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
+        .csv(paths)
+    )
+    cells = F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names]))
+    reason = F.when(F.col(RAW).isNotNull(), F.lit("wrong number of cells"))
+    return rows.withColumns({
+        FILE: F.col("_metadata.file_name"), REASON: reason, RAW: F.coalesce(F.col(RAW), cells),
+    })
+
+
+def _unreadable_file(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
+    lines = spark.read.text(paths).where((F.trim("value") != "") & (F.col("value") != header))
+    return lines.select(
+        F.col("value").alias(RAW), F.col("_metadata.file_name").alias(FILE),
+        F.lit("the header does not name each column once").alias(REASON))
+
+
+def _present(name: str) -> Column:
+    text = F.trim(F.col(f"`{name}`"))
+    return text.isNotNull() & ~text.isin(*MISSING_TEXTS)
+
+
+def _judged(texts: DataFrame, types: dict[str, str], label: str | None) -> DataFrame:
+    """Typed columns, with the reasons why a row cannot be used joined in one text."""
+    to_name = {h: n for h, n in HEADERS.items() if h in texts.columns}
+    named = texts.withColumnsRenamed(to_name)
+    wanted = {HEADERS.get(n, n): kind for n, kind in types.items()}
+    checked = [
+        n for n in named.columns
+        if n in FEATURES or n == TARGET or (n in wanted and wanted[n] != "string")
+    ]
+    held = named.withColumns({f"__given_{n}": _present(n) for n in checked})
+    typed = parse_text_columns(held, wanted)
+    reasons = [F.col(REASON)] + [
+        F.when(F.col(f"__given_{n}") & F.col(f"`{n}`").isNull(), F.lit(f"unreadable {n}"))
+        for n in checked
+    ]
+    if label:
+        if label in typed.columns:
+            value = F.col(f"`{label}`")
+            reasons.append(F.when(value.isNull() & ~F.col(f"__given_{label}"), F.lit(f"no {label}")))
+            reasons.append(F.when(~value.isin(0, 1), F.lit(f"{label} is not 0 or 1")))
+        else:
+            reasons.append(F.lit(f"no {label}"))
+    whole = F.col(REASON).isNotNull()
+    text = F.when(whole, F.col(REASON)).otherwise(F.concat_ws("; ", *reasons))
+    return typed.withColumn(REASON, F.when(text != "", text)).drop(*[f"__given_{n}" for n in checked])
+
+
+def read_files(
+    spark: SparkSession, paths: list[str], schema: T.StructType | None = None, label: str | None = TARGET
+) -> DataFrame:
+    """Reading files with headers of their own as one table, columns taken by name.
+
+    A column that a file lacks is NULL in its rows, and one that is not declared
+    stays as text.  ``__reason`` is NULL for a usable row: one with as many cells
+    as the header, readable numbers and, where ``label`` is given, a 0/1 class.
+    ``__file`` and ``__raw`` say where a row is from and what it was.  Files
+    without a line give no rows.
+    """
+    types = _types(schema or header_schema(label is not None))
+    headers: dict[str, list[str]] = {}
+    for path, line in header_lines(spark, paths).items():
+        headers.setdefault(line, []).append(path)
+    parts = []
+    for line, files in sorted(headers.items()):
+        names = _columns(line)
+        parts.append(
+            _unreadable_file(spark, line, files) if names is None
+            else _judged(_texts(spark, names, files), types, label))
+    if not parts:
+        return spark.createDataFrame([], f"{FILE} string, {RAW} string, {REASON} string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+# ---- the job --------------------------------------------------------------------
 
 
 def ingest(
@@ -47,34 +185,44 @@ def ingest(
     schema: T.StructType | None = None,
     archive: str | None = None,
     checkpoint: str | None = None,
-    max_files: int | None = None,
-) -> int:
-    """Merge all files that are waiting; returns how many batches were merged.
+    max_files: int | None = MAX_FILES,
+    label: str | None = TARGET,
+) -> Ingested:
+    """Merge all files that are waiting, and keep back the rows that cannot be used.
 
     The checkpoint (default: next to the store) remembers the files, so each is
     merged once.  Duplicates are resolved against the stored rows rather than in
-    stream state, which without an event time could never be dropped.
+    stream state, which without an event time could never be dropped.  Rejected
+    rows are below the store in ``rejects`` with file, raw text and reason.
     """
     checkpoint = checkpoint or f"{store.root}/ingest_checkpoint"
     source = hashlib.sha256(f"{checkpoint}|{inbox}".encode()).hexdigest()[:12]
-    merged = []
+    merged, kept_back = [], []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # read several times below; lost blocks are read again from the files
-        batch = batch.persist()
-        try:
-            if not batch.isEmpty():
-                store.merge(batch, tag=f"{source}-{batch_id}")
+        tag = f"{source}-{batch_id}"
+        paths = sorted(r.path for r in batch.select("path").collect())
+        with scratch_tables(store.spark) as tables:
+            # read several times below; in the shared folder it outlives executors
+            rows = tables.write(read_files(store.spark, paths, schema, label), "batch")
+            rejected = store.reject(rows.where(F.col(REASON).isNotNull()).select(
+                F.col(FILE).alias("file"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason")), tag)
+            usable = rows.where(F.col(REASON).isNull()).drop(FILE, RAW, REASON)
+            if not usable.isEmpty():
+                store.merge(usable, tag)
                 merged.append(batch_id)
-        finally:
-            batch.unpersist()
+            kept_back.append(rejected)
 
+    reader = store.spark.readStream.format("binaryFile").schema(_LISTING)
+    for name, value in _source_options(archive, max_files).items():
+        reader = reader.option(name, value)
     query = (
-        read_csv_stream(store.spark, inbox, schema, archive, max_files)
+        reader.load(inbox).select("path")  # the contents are never loaded here
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return len(merged)
+    return Ingested(len(merged), sum(kept_back))
+

@@ -71,5 +71,7 @@ def test_small_batch_leaves_the_base_unshuffled(spark):
     batch = spark.range(990, 1010).select(F.col("id").cast("double").alias("a"))
     fresh = merging.new_rows(base, batch, base_is_distinct=True)
     assert fresh.count() == 10
-    plan = fresh._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi, BuildRight" in plan and "SortMergeJoin" not in plan
+    known = merging._matching(base, batch, "left_semi")
+    for step, kind in ((known, "LeftSemi"), (fresh, "LeftAnti")):
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert f"{kind}, BuildRight" in plan and "hashpartitioning" not in plan

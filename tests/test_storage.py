@@ -1,4 +1,5 @@
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
@@ -8,7 +9,7 @@ from millwright.plans.preparation import prepare
 from millwright.schema import FEATURES, SENSORS, TARGET
 from millwright.sources import readings as files
 from millwright.sources.store import DatasetStore
-from millwright.streaming.ingest import ingest, read_csv_stream
+from millwright.streaming.ingest import Ingested, header_lines, ingest, read_csv_stream
 
 HEADER = ",".join([s.header for s in SENSORS] + ["Engine Condition"])
 
@@ -69,11 +70,11 @@ def test_ingest_merges_each_file_once(spark, folder):
     store.create(table(spark, [1, 1, 2]))
     assert not store.current().is_distinct
     put(inbox, "a.csv", line("2", 0), line("3", 1), line("3", 1))
-    assert ingest(store, inbox) == 1
+    assert ingest(store, inbox) == Ingested(1, 0)
     assert bag(store.read()) == bag(table(spark, [1, 2, 3]))
-    assert ingest(store, inbox) == 0
+    assert ingest(store, inbox) == Ingested(0, 0)
     put(inbox, "b.csv", line("3", 1), line("4", 0))
-    assert ingest(store, inbox) == 1
+    assert ingest(store, inbox) == Ingested(1, 0)
     current = store.current()
     assert len(current.segments) == 2 and current.number == 2
     assert bag(store.read()) == bag(table(spark, [1, 2, 3, 4]))
@@ -91,14 +92,113 @@ def test_merging_a_tag_again_changes_nothing(spark, folder):
     assert store.read().count() == 4 and store.read().where("unit is null").count() == 2
 
 
-def test_many_segments_are_rewritten_as_one(spark, folder, monkeypatch):
-    monkeypatch.setattr("millwright.sources.store.MAX_SEGMENTS", 2)
+def segment_files(store):
+    return {s: sorted(Path(f"{store.root}/rows/{s}").glob("*.parquet")) for s in store.current().segments}
+
+
+def test_small_segments_are_compacted_and_large_ones_are_not(spark, folder, monkeypatch):
+    monkeypatch.setattr("millwright.sources.store.TIER_SEGMENTS", 3)
+    monkeypatch.setattr("millwright.sources.store.TIER_BYTES", 6_000)
+    monkeypatch.setattr(DatasetStore.compact, "__defaults__", (3,))
     store = DatasetStore(spark, f"{folder}/store")
-    store.create(table(spark, [1]), dedupe=True)
-    for n in (2, 3, 4):
+    store.create(table(spark, range(10_000)), dedupe=True)
+    large = segment_files(store)
+    for n in range(10_001, 10_006):
         store.merge(table(spark, [1, n]), f"t-{n}")
-    assert len(store.current().segments) < 3
-    assert bag(store.read()) == bag(table(spark, [1, 2, 3, 4]))
+    now = segment_files(store)
+    assert len(now) <= 3 and large.items() <= now.items()  # the large one is still the same files
+    assert bag(store.read()) == bag(table(spark, [*range(10_000), *range(10_001, 10_006)]))
+    assert store.versions().where("kind = 'compact'").count() >= 1
+
+
+def test_vacuum_deletes_what_only_old_versions_use(spark, folder):
+    store = DatasetStore(spark, f"{folder}/store")
+    for n in range(4):
+        store.create(table(spark, range(n + 1)), tag=f"c{n}")
+        store.publish_split(table(spark, range(n + 1)).selectExpr("*", "'train' split"))
+    old = store.versions().where("version = 2").first()
+    assert store.vacuum(keep_versions=2, keep_splits=1) == 2 + 3
+    assert store.read().count() == 4 and store.read_split().count() == 4
+    assert spark.read.parquet(f"{store.root}/rows/{old.segments[0]}").count() == 3
+    assert store.vacuum() == 0
+    with pytest.raises(ValueError):
+        store.vacuum(0)
+
+
+def test_a_batch_of_known_rows_adds_no_segment(spark, folder):
+    store = DatasetStore(spark, f"{folder}/store")
+    store.create(table(spark, [1, 2]), dedupe=True)
+    version = store.merge(table(spark, [2, 1, 1]), "t-0")
+    assert version.number == 1 and len(version.segments) == 1 and store.has_merged("t-0")
+    assert len(list(Path(f"{store.root}/rows").iterdir())) == 1
+
+
+# ---- headers and bad rows ---------------------------------------------------
+
+
+def test_files_are_taken_by_name(spark, folder):
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    put(inbox, "a.csv", line(1.0, 1))
+    put(inbox, "b.csv", "0,78.4,77.6,2.3,6.7,3.3,2", header=",".join(reversed(HEADER.split(","))))
+    put(inbox, "c.csv", "u7," + line(3.0, 1), header="Unit," + HEADER)
+    put(inbox, "d.csv", line(4.0, 0), header="\ufeff" + HEADER)
+    put(inbox, "e.csv", "5.0,1", header="Engine rpm,Engine Condition")
+    Path(f"{inbox}/empty.csv").touch()
+    assert ingest(store, inbox) == Ingested(1, 0)
+    rows = {r.engine_rpm: r for r in store.read().collect()}
+    assert sorted(rows) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert rows[2.0].coolant_temp == 78.4 and rows[3.0].Unit == "u7" and rows[1.0].Unit is None
+    assert rows[5.0].fuel_pressure is None and rows[5.0].engine_condition == 1
+    lines = header_lines(spark, [f"{inbox}/a.csv", f"{inbox}/empty.csv"])
+    assert list(lines.values()) == [HEADER]
+
+
+def test_bad_rows_are_kept_back_with_their_reason(spark, folder):
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    put(inbox, "a.csv", line(1.0, 1), line("fast", 0), line(3.0, "x"), line(4.0, ""), line(5.0, 2),
+        "6.0,3.3", line("NA", 0), line(8.0, 1) + ",9", line("slow", "y"))
+    put(inbox, "b.csv", "1,2", header="Engine rpm,engine_rpm")
+    assert ingest(store, inbox) == Ingested(1, 8)
+    assert sorted((r.engine_rpm or 0.0) for r in store.read().collect()) == [0.0, 1.0]
+    rejects = {r.raw: (r.file, r.reason) for r in store.rejects().collect()}
+    assert rejects[line("fast", 0)] == ("a.csv", "unreadable engine_rpm")
+    assert rejects[line(3.0, "x")][1] == "unreadable engine_condition"
+    assert rejects[line(5.0, 2)][1] == "engine_condition is not 0 or 1"
+    assert rejects["6.0,3.3"][1] == rejects[line(8.0, 1) + ",9"][1] == "wrong number of cells"
+    assert rejects[line("slow", "y")][1] == "unreadable engine_rpm; unreadable engine_condition"
+    assert rejects["1,2"] == ("b.csv", "the header does not name each column once")
+    assert sum(reason == "no engine_condition" for _, reason in rejects.values()) == 1
+
+
+def test_a_bad_file_does_not_stop_later_ones(spark, folder):
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    store.create(table(spark, range(20)))
+    put(inbox, "bad.csv", line(50.0, "broken"), line("", ""))
+    bad = prepare(store, "merge", inbox)
+    assert (bad.merged, bad.published, bad.rejected) == (False, None, 2)
+    put(inbox, "good.csv", line(51.0, 1), line(52.0, 0))
+    good = prepare(store, "merge", inbox)
+    assert (good.merged, good.published, good.rejected) == (True, 0, 0)
+    assert good.rows.count() == 22 and store.rejects().count() == 2
+
+
+def test_rows_without_a_class_are_in_no_split(spark, folder):
+    store = DatasetStore(spark, f"{folder}/store")
+    store.create(table(spark, range(20)).selectExpr("* except (engine_condition)", "if(engine_rpm > 0, engine_condition, null) engine_condition"))
+    done = prepare(store, "resplit")
+    assert done.unclassed == 1 and done.rows.count() == 19
+
+
+def test_an_interrupted_merge_is_published_by_the_next_run(spark, folder):
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    store.create(table(spark, range(20)))
+    put(inbox, "a.csv", line(30.0, 0), line(31.0, 1))
+    ingest(store, inbox)  # and the job dies before it publishes
+    again = prepare(store, "merge", inbox)
+    assert again.merged and again.published == 0 and again.rows.count() == 22
+    assert store.published_data_version() == store.current().number
+    idle = prepare(store, "merge", inbox)
+    assert not idle.merged and idle.published is None
 
 
 def test_stream_stops_on_another_header(spark, folder):
@@ -142,5 +242,5 @@ def test_bounded_batches_and_archive(spark, folder):
     for n in range(3):
         put(inbox, f"{n}.csv", line(float(n), n % 2))
     done = ingest(store, inbox, archive=f"{folder}/done", max_files=1)
-    assert done == 3 and bag(store.read()) == bag(table(spark, [0, 1, 2]))
+    assert done.batches == 3 and bag(store.read()) == bag(table(spark, [0, 1, 2]))
     assert len(store.current().segments) == 3
