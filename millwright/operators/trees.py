@@ -59,9 +59,10 @@ def gbt_pipeline(
     assembler = VectorAssembler(
         inputCols=list(features), outputCol=_VECTOR, handleInvalid="keep"
     )
-    return Pipeline(stages=[
-        assembler, GBTClassifier(featuresCol=_VECTOR, labelCol=label, **settings)
-    ])
+    # private names: a scored table can be scored again
+    trees = GBTClassifier(featuresCol=_VECTOR, labelCol=label, predictionCol="__class", **settings)
+    trees.setRawPredictionCol("__raw").setProbabilityCol("__chance")
+    return Pipeline(stages=[assembler, trees])
 
 
 def train_gbt(
@@ -77,14 +78,20 @@ def train_gbt(
     return gbt_pipeline(features, label, n_trees, **changes).fit(rows)
 
 
+def takes_gaps(model) -> bool:
+    """Whether a model scores rows with absent features."""
+    return getattr(model, "takes_gaps", False)
+
+
 def with_probability(model, df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
-    """Adds P(class 1); works on batch and streaming tables."""
+    """Adds P(class 1), or replaces an earlier one; works on batch and streaming tables."""
     require_columns(df, features)
     if not isinstance(model, PipelineModel):
         return model.transform(df)
-    kept = [F.col(f"`{c}`") for c in df.columns]
-    scored = model.transform(df)
-    return scored.select(*kept, vector_to_array(F.col("probability"))[1].alias(PROBABILITY))
+    kept = [F.col(f"`{c}`") for c in df.columns if c != PROBABILITY]
+    chance = model.stages[-1].getProbabilityCol()
+    scored = model.transform(df.drop(PROBABILITY))
+    return scored.select(*kept, vector_to_array(F.col(chance))[1].alias(PROBABILITY))
 
 
 def feature_importances(model: PipelineModel, features: Sequence[str] = FEATURES) -> dict:

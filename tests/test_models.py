@@ -10,6 +10,7 @@ from millwright.operators.evaluation import Flags
 from millwright.plans.training import evaluate_model, train_and_promote
 from millwright.schema import FEATURES, TARGET
 from millwright.sources.registry import ModelRegistry
+from millwright.sources.scratch import children, scratch_root
 from millwright.streaming.scoring import start_scoring
 from tests.conftest import SF_DIR
 from workload import fixtures as fx
@@ -95,11 +96,54 @@ def test_newton_round_trip_and_metrics(spark, rows, newton, folder):
     assert evaluate_model(newton, rows).first().roc_auc > 0.6
 
 
-def test_newton_margins_survive_the_rewrite(rows, monkeypatch):
-    params = bo.BoostParams(n_trees=3, max_depth=2, learning_rate=0.3)
-    kept = bo.train_newton(rows, params=params, key=[fx.KEY])
-    monkeypatch.setattr(bo, "_TREES_PER_WRITE", 1)
-    assert bo.train_newton(rows, params=params, key=[fx.KEY]) == kept
+@pytest.mark.parametrize("partitions", [1, 3, 7])
+def test_newton_without_a_key_does_not_depend_on_the_layout(rows, partitions):
+    edges = bo._bin_edges(rows, FEATURES, 32)
+    params = bo.BoostParams(n_trees=2, max_depth=3, learning_rate=0.3)
+    kept = bo.train_newton(rows, params=params, edges=edges)
+    assert bo.train_newton(rows.repartition(partitions), params=params, edges=edges) == kept
+
+
+def test_newton_learns_a_side_for_absent_values(spark, rows):
+    """Absent values of the deciding feature go where their class is."""
+    gapped = rows.withColumn("engine_rpm", F.when(F.col(TARGET) == 0, F.col(fx.KEY) % 1000 + 100.0)
+                             .when(F.col(fx.KEY) % 2 == 0, F.col(fx.KEY) % 1000 + 5_000.0))
+    params = bo.BoostParams(n_trees=1, max_depth=1, column_sample=0.2, row_sample=1.0, min_child_weight=1.0)
+    edges = [[500.0, 3_000.0]]
+    models = [bo.train_newton(gapped, ["engine_rpm"], params=params, edges=edges)]
+    flipped = gapped.withColumn(TARGET, 1 - F.col(TARGET))
+    models.append(bo.train_newton(flipped, ["engine_rpm"], params=params, edges=edges))
+    nan = gapped.withColumn("engine_rpm", F.coalesce("engine_rpm", F.lit(float("nan"))))
+    for model, data in zip(models, (nan, flipped), strict=True):
+        assert not model.trees[0].absent_left[0]
+        wrong = model.transform(data).where((F.col("probability") > F.lit(1 / (1 + math.exp(-model.start)))) != (F.col(TARGET) == 1))
+        assert wrong.isEmpty()
+    lower = gapped.withColumn("engine_rpm", -F.col("engine_rpm"))
+    assert bo.train_newton(lower, ["engine_rpm"], params=params, edges=[[-3_000.0]]).trees[0].absent_left[0]
+    assert evaluate_model(models[0], gapped, ["engine_rpm"]).first().unusable_test_rows == 0
+
+
+def test_newton_leaves_no_scratch_tables(spark, rows):
+    before = len(children(spark, scratch_root(spark)))
+    with pytest.raises(ValueError):
+        bo.train_newton(rows.where(F.col(TARGET) == 0), params=PARAMS)
+    bo.train_newton(rows, params=bo.BoostParams(n_trees=2, max_depth=2))
+    assert len(children(spark, scratch_root(spark))) == before
+
+
+def test_unusable_rows_are_counted(spark, rows):
+    gapped = rows.withColumn("engine_rpm", F.when(F.col(fx.KEY) % 3 != 0, F.col("engine_rpm")))
+    absent = gapped.where("engine_rpm is null").count()
+    model = trees.train_gbt(gapped, n_trees=1, maxDepth=2)
+    row = evaluate_model(model, gapped).first()
+    assert (row.test_rows, row.unusable_test_rows) == (gapped.count() - absent, absent)
+
+
+def test_a_scored_table_can_be_scored_again(rows):
+    model = trees.train_gbt(rows, n_trees=1, maxDepth=2)
+    once = trees.with_probability(model, rows.withColumn("prediction", F.lit(7)))
+    again = trees.with_probability(model, once)
+    assert again.columns == once.columns and again.exceptAll(once).isEmpty()
 
 
 def test_training_needs_both_classes(rows):
@@ -134,7 +178,14 @@ def test_promotion_run(spark, rows, newton, folder):
     better = train_and_promote(train, test, registry, trainer=lambda *_: newton)
     assert better.version == 1 and better.reason == "improved"
     version, model = registry.current()
-    assert version == 1 and model == newton
+    assert version == 1 and model == newton  # as it was trained
+    newer = train_and_promote(train, test, registry, trainer=stump, data_version=3)
+    assert not newer.data_updated  # no published model names the version it learned from
+    train_and_promote(train, test, registry, Flags(force=True), lambda *_: newton, data_version=3)
+    assert not train_and_promote(train, test, registry, trainer=stump, data_version=3).data_updated
+    updated = train_and_promote(train, test, registry, trainer=lambda *_: newton, data_version=4)
+    assert updated.data_updated and updated.publish and updated.reason == "forced without comparison"
+    assert registry.data_version() == 4 and registry.log().where("unusable_train_rows = 0").count() >= 2
     idle = train_and_promote(train, test, registry, Flags(train=False))
     assert not idle.publish and idle.model == newton and idle.new_metrics is None
 
