@@ -28,6 +28,15 @@ def all_inside(sensors: Sequence[Sensor]) -> Column:
     return test
 
 
+def any_refused(sensors: Sequence[Sensor]) -> Column:
+    """The opposite of :func:`all_inside` for absent values too, of plain comparisons as well."""
+    test = F.lit(False)
+    for sensor in sensors:
+        value = F.col(sensor.name)
+        test = test | value.isNull() | (value < sensor.low) | (value > sensor.high)
+    return test
+
+
 def violations(sensors: Sequence[Sensor]) -> Column:
     """Names of the sensors outside their accepted range or absent, comma-joined."""
     return F.concat_ws(",", *[F.when(~accepted(s), F.lit(s.name)) for s in sensors])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions import conditions
 from millwright.schema import TARGET, require_columns
-from millwright.sources.scratch import discard, written
+from millwright.sources.scratch import scratch_tables
 
 # Metric names in report order.
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
@@ -26,7 +26,6 @@ METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 IMPROVEMENT = 0.001
 
 WINDOW_ROWS = 1_000_000
-MAX_BUCKETS = 4_096
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -49,14 +48,32 @@ def _confusion(positives: Column, negatives: Column, flagged: Column) -> dict[st
     }
 
 
+def _unusable(label: str, score: str) -> Column:
+    """1 for a row without a 0/1 label or without a score, else 0."""
+    usable = F.col(label).isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(score)
+    return F.when(usable, 0).otherwise(1).cast("long")
+
+
+def _refuse(unusable: int) -> None:
+    if unusable:
+        raise ValueError(f"{unusable} rows without a 0/1 label or without a score")
+
+
 def confusion_counts(
     scored: DataFrame, label: str = TARGET, score: str = "probability", threshold: float = 0.5
 ) -> DataFrame:
-    """One row (tp, fp, fn, tn); a row is predicted positive when score > threshold."""
+    """One row (tp, fp, fn, tn); a row is predicted positive when score > threshold.
+
+    Raises if a label is not 0/1 or a score is missing, as :func:`evaluate` does.
+    """
     counts = _confusion(
         (F.col(label) == 1).cast("long"), (F.col(label) == 0).cast("long"), F.col(score) > threshold
     )
-    return scored.agg(*[c.alias(n) for n, c in counts.items()])
+    columns = [c.alias(n) for n, c in counts.items()]
+    sums = scored.agg(*columns, _total(_unusable(label, score)).alias("unusable"))
+    row = sums.first()
+    _refuse(row.unusable)
+    return scored.sparkSession.createDataFrame([tuple(row)], sums.schema).drop("unusable")
 
 
 def threshold_metrics(counts: DataFrame) -> DataFrame:
@@ -79,11 +96,10 @@ def score_counts(
 ) -> DataFrame:
     """(score, positives, negatives, unusable) per distinct score."""
     require_columns(scored, [label, score])
-    usable = F.col(label).isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(score)
     return scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("positives"),
         F.sum((F.col(label) == 0).cast("long")).alias("negatives"),
-        F.sum(F.when(usable, 0).otherwise(1).cast("long")).alias("unusable"),
+        F.sum(_unusable(label, score)).alias("unusable"),
     )
 
 
@@ -100,24 +116,22 @@ def evaluate(
     one class occurs.  Raises if a label is not 0/1 or a score is missing.
     """
     spark = scored.sparkSession
-    counts, path = written(score_counts(scored, label, score), "score-counts")
-    size = counts.agg(
-        F.count(F.lit(1)).alias("scores"), _total(F.col("unusable")).alias("unusable")
-    ).first()
-    if size.unusable:
-        discard(spark, path)
-        raise ValueError(f"{size.unusable} rows without a 0/1 label or without a score")
-    ranked = _negatives_below(counts, size.scores, window_rows)
-    # pairs won, doubled: each positive against the negatives below and tied
-    pairs = F.col("positives").cast("decimal(19,0)") * (
-        2 * F.col("below") + F.col("negatives")
-    ).cast("decimal(19,0)")
-    confusion = _confusion(F.col("positives"), F.col("negatives"), F.col("score") > threshold)
-    sums = ranked.agg(
-        *[c.alias(n) for n, c in confusion.items()], F.sum(pairs).alias("doubled_wins")
-    )
-    one_row = spark.createDataFrame([tuple(sums.first())], sums.schema)
-    discard(spark, path)
+    with scratch_tables(spark) as tables:
+        counts = tables.write(score_counts(scored, label, score), "score-counts")
+        size = counts.agg(
+            F.count(F.lit(1)).alias("scores"), _total(F.col("unusable")).alias("unusable")
+        ).first()
+        _refuse(size.unusable)
+        ranked = _negatives_below(counts, size.scores, window_rows)
+        # pairs won, doubled: each positive against the negatives below and tied
+        pairs = F.col("positives").cast("decimal(19,0)") * (
+            2 * F.col("below") + F.col("negatives")
+        ).cast("decimal(19,0)")
+        confusion = _confusion(F.col("positives"), F.col("negatives"), F.col("score") > threshold)
+        sums = ranked.agg(
+            *[c.alias(n) for n, c in confusion.items()], F.sum(pairs).alias("doubled_wins")
+        )
+        one_row = spark.createDataFrame([tuple(sums.first())], sums.schema)
     n_pairs = (F.col("tp") + F.col("fn")).cast("decimal(19,0)") * (
         F.col("fp") + F.col("tn")
     ).cast("decimal(19,0)")
@@ -143,7 +157,7 @@ def _negatives_below(counts: DataFrame, n_scores: int, window_rows: int) -> Data
     bucket edges are quantiles of the distinct scores, so the buckets are
     balanced however the scores are spread.
     """
-    n_buckets = min(MAX_BUCKETS, math.ceil(n_scores / window_rows))
+    n_buckets = math.ceil(n_scores / max(window_rows, math.isqrt(n_scores)))
     edges: list[float] = []
     if n_buckets > 1:
         steps = [i / n_buckets for i in range(1, n_buckets)]
@@ -157,7 +171,7 @@ def _negatives_below(counts: DataFrame, n_scores: int, window_rows: int) -> Data
     running = bucketed.withColumn("below", F.sum("negatives").over(upto) - F.col("negatives"))
     if not edges:
         return running
-    # at most MAX_BUCKETS rows: fit for one task and for a broadcast
+    # a row per bucket, of which there are no more than the root of the scores
     totals = bucketed.groupBy("bucket").agg(F.sum("negatives").alias("in_bucket"))
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
     offsets = totals.select(
@@ -183,6 +197,7 @@ def compare_metrics(existing: DataFrame, new: DataFrame) -> DataFrame:
         .withColumn("diff", diff)
         .withColumns({
             "symbol": conditions.change_symbol(F.col("diff")),
+            "diff_text": conditions.change_text(F.col("diff")),
             "existing_text": conditions.metric_text(F.col("existing_value")),
             "new_text": conditions.metric_text(F.col("new_value")),
             "improved": F.coalesce(F.col("diff") > IMPROVEMENT, F.lit(False)),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.functions import bounds
@@ -51,9 +51,10 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label: str = TARGET) -> DataFrame:
-    """Rows per class, largest first; rows without a class are not counted."""
+    """Rows per class with their place, largest first; rows without a class are not counted."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.orderBy(F.desc("rows"), label)
+    place = F.row_number().over(Window.orderBy(F.desc("rows"), label))  # one row per class
+    return counts.withColumn("place", place).orderBy("place")
 
 
 def split_distribution(df: DataFrame, label: str = TARGET, split: str = "split") -> DataFrame:
@@ -74,16 +75,21 @@ def accepted_rows(df: DataFrame, sensors: Sequence[Sensor] = SENSORS) -> DataFra
 
 
 def quarantined_rows(df: DataFrame, sensors: Sequence[Sensor] = SENSORS) -> DataFrame:
-    """The other rows, with the reason."""
-    return with_violations(df, sensors).where(F.col(VIOLATIONS) != "")
+    """The other rows, with the reason (the range test is pushed to the scan)."""
+    return with_violations(df.where(bounds.any_refused(sensors)), sensors)
 
 
-def trainable(df: DataFrame, features: Sequence[str] = FEATURES, label: str = TARGET) -> DataFrame:
-    """Rows a model can learn from: every feature a number, the class 0 or 1."""
+def learnable(features: Sequence[str] = FEATURES, label: str = TARGET) -> Column:
+    """Whether a model can learn from a row: the class 0 or 1, every feature a number."""
     test = F.col(label).isin(0, 1)
     for name in features:
         test = test & F.col(name).isNotNull() & ~F.isnan(name)
-    return df.where(test)
+    return test
+
+
+def trainable(df: DataFrame, features: Sequence[str] = FEATURES, label: str = TARGET) -> DataFrame:
+    """The rows that :func:`learnable` accepts."""
+    return df.where(learnable(features, label))
 
 
 def _per_sensor(df: DataFrame, tests: Sequence[tuple[str, object]], names: Sequence[str]) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from millwright.functions.digests import row_digest
 from millwright.schema import TARGET, require_columns
 from millwright.sources.readings import SPLIT
-from millwright.sources.scratch import discard, written
+from millwright.sources.scratch import scratch_tables
 
 # Share of test rows and seed.
 TEST_SIZE = 0.2
@@ -104,16 +104,18 @@ def stratified_split(
     test_size: float = TEST_SIZE,
     seed: int = SEED,
     rank_rows: int = RANK_ROWS,
+    max_classes: int = MAX_CLASSES,
 ) -> DataFrame:
     """``df`` with a ``split`` column of ``train`` and ``test``.
 
     ``key`` names the columns that order the rows (default: all).  Counting
     jobs run when this is called; ``df`` is scanned again for the result, so
-    pass a table rather than an expensive query.
+    pass a table rather than an expensive query.  More than ``max_classes``
+    classes raise: their quotas are a broadcast table.
     """
     require_columns(df, [label, *(key or [])])
     digested = df.withColumn(_DIGEST, row_digest(key or df.columns, seed))
-    cuts = _first_cuts(digested, label, test_size)
+    cuts = _first_cuts(digested, label, test_size, max_classes)
     _search(cuts, digested, label, _DIGEST, 0, rank_rows)
     row_digests = None
     if key and any(cut.open for cut in cuts.values()):
@@ -126,32 +128,30 @@ def stratified_split(
 
 
 def _cut_table(df: DataFrame, label: str, rows: list[tuple], fields: dict) -> DataFrame:
-    """Per-class values as a table; at most MAX_CLASSES rows, so it is broadcast."""
+    """Per-class values as a table; its rows are bounded, so it is broadcast."""
     fields = {_CLASS: df.schema[label].dataType} | fields
     schema = T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
-def _first_cuts(df: DataFrame, label: str, test_size: float) -> dict:
+def _first_cuts(df: DataFrame, label: str, test_size: float, max_classes: int) -> dict:
     """Quota per class, and the group of first digits it ends in."""
-    counted, path = written(
-        df.groupBy(F.col(label).alias(_CLASS), F.substring(_DIGEST, 1, _DIGITS).alias("digits")).agg(
-            F.count(F.lit(1)).alias("size")
-        ),
-        "split-counts",
-    )
-    totals = counted.groupBy(_CLASS).agg(F.sum("size").alias("size"))
-    classes = {r[_CLASS]: r["size"] for r in totals.limit(MAX_CLASSES + 1).collect()}
-    if not classes:
-        raise ValueError("nothing to split")
-    if None in classes:
-        raise ValueError(f"{classes[None]} rows have no {label}")
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values; not a class label")
-    quotas = train_quotas(classes, test_size)
-    cuts = {c: _Cut(quotas[c], n) for c, n in classes.items()}
-    _narrow(cuts, counted, df, label, _FULL)
-    discard(df.sparkSession, path)
+    with scratch_tables(df.sparkSession) as tables:
+        digits = F.substring(_DIGEST, 1, _DIGITS).alias("digits")
+        counted = tables.write(
+            df.groupBy(F.col(label).alias(_CLASS), digits).agg(F.count(F.lit(1)).alias("size")), "split-counts"
+        )
+        totals = counted.groupBy(_CLASS).agg(F.sum("size").alias("size"))
+        classes = {r[_CLASS]: r["size"] for r in totals.limit(max_classes + 1).collect()}
+        if not classes:
+            raise ValueError("nothing to split")
+        if None in classes:
+            raise ValueError(f"{classes[None]} rows have no {label}")
+        if len(classes) > max_classes:
+            raise ValueError(f"{label} has more than {max_classes} values; not a class label")
+        quotas = train_quotas(classes, test_size)
+        cuts = {c: _Cut(quotas[c], n) for c, n in classes.items()}
+        _narrow(cuts, counted, df, label, _FULL)
     return cuts
 
 
@@ -272,7 +272,7 @@ def _divide_copies(rows: DataFrame, columns: Sequence[Column], label: str) -> Da
     in_chunk = F.least(size, F.col("__copies") - F.col("__chunk") * size)
     return (
         chunks.withColumn("__rows", in_chunk)
-        .repartition("__chunk", SPLIT)
+        .repartition(label, "__chunk", SPLIT)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__rows").cast("int"))))
         .select(*columns, SPLIT)
     )

@@ -20,6 +20,10 @@ _LOG = T.StructType([
     T.StructField("kind", T.StringType()),
     T.StructField("reason", T.StringType()),
     *[T.StructField(m, T.DoubleType()) for m in METRICS],
+    T.StructField("test_rows", T.LongType()),
+    T.StructField("unusable_test_rows", T.LongType()),
+    T.StructField("unusable_train_rows", T.LongType()),
+    T.StructField("data_version", T.LongType()),
 ])
 
 
@@ -51,11 +55,21 @@ class ModelRegistry:
             return last[0].version, PipelineModel.load(path)
         return last[0].version, NewtonModel.load(self.spark, path)
 
-    def publish(self, model, metrics: dict, reason: str) -> int:
+    def data_version(self) -> int | None:
+        """The version of the rows that the last published model learned from."""
+        return self.log().agg(F.max_by("data_version", "version").alias("v")).first().v
+
+    def publish(
+        self, model, metrics: dict, reason: str,
+        unusable_train_rows: int | None = None, data_version: int | None = None,
+    ) -> int:
         last = self.log().agg(F.max("version").alias("v")).first().v
         version = 0 if last is None else last + 1
         kind = save_model(self.spark, model, self._path(version))
-        row = (version, kind, reason, *[metrics.get(m) for m in METRICS])
+        row = (
+            version, kind, reason, *[metrics.get(m) for m in METRICS], metrics.get("test_rows"),
+            metrics.get("unusable_test_rows"), unusable_train_rows, data_version,
+        )
         append_log(self.spark, f"{self.root}/model_log", _LOG, row)
         return version
 

@@ -56,6 +56,12 @@ def test_unusable_rows_are_an_error(spark, bad):
         ev.evaluate(scored(spark, [(1, 0.2), (0, 0.1), bad]))
 
 
+def test_confusion_counts_refuse_the_same_rows(spark):
+    rows = scored(spark, [(1, 0.9), (0, None), (0, float("nan")), (1, 0.2)])
+    with pytest.raises(ValueError, match="2 rows without a 0/1 label or without a score"):
+        ev.confusion_counts(rows)
+
+
 def test_confusion_and_metrics(spark):
     pairs = ties(200, seed=9)
     counts = ev.confusion_counts(scored(spark, pairs)).first()

@@ -50,6 +50,17 @@ def test_filter_reaches_the_scan(spark, folder):
     assert "GreaterThanOrEqual(engine_rpm,100.0)" in pushed
 
 
+
+def test_quarantine_filter_reaches_the_scan(spark, folder):
+    path = f"{folder}/r"
+    readings(spark, NORMAL).write.parquet(path)
+    refused = quality.quarantined_rows(spark.read.parquet(path).select("engine_rpm", *FEATURES[1:]))
+    plan = refused._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    pushed = plan.split("PushedFilters: ")[1].split("\n")[0]
+    assert "Or(" in pushed and "GreaterThan(engine_rpm" in pushed and "IsNull(coolant_temp)" in pushed
+
 def test_fill_defaults_and_score(spark):
     gap = changed()
     gap[0], gap[2] = None, float("nan")
@@ -85,7 +96,7 @@ def test_required_columns_match_case(spark):
 
 def test_profiles_and_distribution(spark):
     df = spark.createDataFrame([(1,), (1,), (0,), (None,)], "engine_condition int")
-    assert [tuple(r) for r in quality.label_distribution(df).collect()] == [(1, 2), (0, 1)]
+    assert [tuple(r) for r in quality.label_distribution(df).collect()] == [(1, 2, 1), (0, 1, 2)]
     assert tuple(quality.table_profile(df).first()) == (4, 1)
     assert quality.table_profile(df.limit(0)).first().row_count == 0
 

@@ -110,3 +110,19 @@ def test_digest_tells_gaps_apart(spark):
     )
     digests = [r[0] for r in df.select(row_digest(["a", "b"], 42)).collect()]
     assert len(set(digests)) == 5 and {len(d) for d in digests} == {32}
+
+
+def test_copies_of_many_classes_are_spread_over_tasks(spark):
+    """The first chunks of train copies of all classes do not meet in one task."""
+    rows = spark.range(40 * 50).selectExpr("id % 40 as y", "'same' as text")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        done = stratified_split(rows, "y").where("split = 'train'")
+        per_task = [r.n for r in done.groupBy(F.spark_partition_id().alias("p"), "y").count().groupBy("p").agg(
+            F.sum("count").alias("n")).collect()]
+        placed = done.select("y", F.spark_partition_id().alias("p")).distinct().groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(per_task) == 1600 and len(placed) > 1
+    assert max(r["count"] for r in placed) < 40
