@@ -93,6 +93,13 @@ def base_and_batch(
     return base.select(kept), batch.select(kept)
 
 
+def doubled_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keyed readings, a tenth of them twice."""
+    copies = F.when(F.col(KEY) % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = keyed_readings(spark, sf_dir).withColumn("copy_no", F.explode(copies))
+    return rows.select(KEY, *COLUMNS)
+
+
 def copies_keyed(base: DataFrame) -> DataFrame:
     """Adds ``copy_key``, unique per row, copies of a reading included."""
     copy_no = F.row_number().over(W.partitionBy(KEY).orderBy(KEY))  # two copies at most
@@ -115,6 +122,16 @@ def scorer_b() -> Column:
     return F.expr("floor(least(1.0E0, engine_rpm / 1.05E5) * 1.0E3) / 1.0E3")
 
 
+def scorer_c() -> Column:
+    """Five decimals, never a tie when rounded to four."""
+    return F.expr(SCORER_C_SQL)
+
+
+def scorer_gapped() -> Column:
+    """Scorer A, which has no value where the engine speed is absent."""
+    return F.when(F.col("engine_rpm").isNotNull(), scorer_a())
+
+
 def file_schema(keyed: bool = False) -> T.StructType:
     """Columns of the readings files the stream queries write, in order."""
     headers = {s.name: s.header for s in SENSORS} | {TARGET: "Engine Condition"}
@@ -144,6 +161,8 @@ GAPPED_SQL = """select src_key, case when src_key % 17 <> 0 then engine_rpm end
 from f1"""
 
 SCORER_A_SQL = "floor(least(1.0E0, engine_rpm / lub_oil_pressure / 4.0E3) * 1.0E3) / 1.0E3"
+_FOUR = "floor(least(0.9999E0, engine_rpm / lub_oil_pressure / 4.0E3) * 1.0E4)"
+SCORER_C_SQL = f"({_FOUR} * 1.0E1 + 3.0E0 + 4.0E0 * ({_FOUR} % 2)) / 1.0E5"
 SCORER_B_SQL = "floor(least(1.0E0, engine_rpm / 1.05E5) * 1.0E3) / 1.0E3"
 
 COLUMNS_SQL = ", ".join(COLUMNS)
@@ -159,6 +178,10 @@ def base_and_batch_sql(keyed: bool = False) -> str:
     union all select {kept} from {source} where {key} % 10 = 9)"""
 
 
+DOUBLED_SQL = f"""doubled as (select {KEY}, {', '.join(COLUMNS)} from f1k
+    union all select {KEY}, {', '.join(COLUMNS)} from f1k where {KEY} % 10 = 0)"""
+
+
 def split_sql(source: str, label: str, key: str) -> str:
     """CTE text defining ``parts``: the rows of ``source`` with their split."""
     return f"""cls as (select {label} y, count(*) n from {source} group by {label}),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from millwright.functions import conditions as texts
 from millwright.operators.evaluation import METRICS
 from millwright.schema import FEATURES, TARGET
 from workload import fixtures as fx
@@ -80,32 +79,37 @@ _CONFUSION_B = f"""conf as (select
     from (select {TARGET}, {fx.SCORER_B_SQL} s from f1))"""
 
 
-def _scored(source: str) -> str:
+def _scored(source: str, scorer: str = fx.SCORER_A_SQL) -> str:
     return f"""checked as (select *, {VIOLATIONS} violations from {source}),
   probs as (select *, violations = '' accepted,
-    case when violations = '' then {fx.SCORER_A_SQL} end probability from checked),
+    case when violations = '' then {scorer} end probability from checked),
   scored as (select *,
     case when probability > 0.5E0 then 1 when probability is not null then 0 end prediction,
     case when probability is not null
       then printf('%.2f%%', (1.0E0 - probability) * 100.0E0) end normal_percent,
     case when probability is not null
       then printf('%.2f%%', probability * 100.0E0) end maintenance_percent,
-    case when probability > 0.5E0 then '{texts.MAINTENANCE}'
-      when probability is not null then '{texts.NORMAL}' end condition from probs)"""
+    case when probability > 0.5E0 then 'Maintenance Required'
+      when probability is not null then 'Normal Operation' end condition from probs)"""
 
 
 _FILLED = "filled as (select src_key, " + ", ".join(
     f"coalesce({c}, {_SENSOR[c].default!r}E0) {c}" for c in FEATURES
 ) + f", {TARGET} from f5)"
 
-_ADVICE = "advice_lines as (select * from (values " + ", ".join(
-    f"({prediction}, {number}, '{status}', '{line}')"
-    for prediction, status, lines in (
-        (0, texts.HEALTHY_STATUS, texts.HEALTHY_ADVICE),
-        (1, texts.ACTION_STATUS, texts.ACTION_ADVICE),
-    )
-    for number, line in enumerate(lines, start=1)
-) + ") t(prediction, line_no, status, advice))"
+# The advice lines, as the operator has to give them.
+_ADVICE = """advice_lines as (select * from (values
+  (0, 1, 'Current Status: Healthy', 'Continue regular monitoring'),
+  (0, 2, 'Current Status: Healthy', 'Maintain current maintenance schedule'),
+  (0, 3, 'Current Status: Healthy', 'Monitor for any sudden changes in sensor readings'),
+  (0, 4, 'Current Status: Healthy', 'Schedule next routine inspection as planned'),
+  (1, 1, 'Immediate Actions Required:', 'Schedule comprehensive engine inspection'),
+  (1, 2, 'Immediate Actions Required:', 'Check lubrication system'),
+  (1, 3, 'Immediate Actions Required:', 'Inspect cooling system'),
+  (1, 4, 'Immediate Actions Required:', 'Review fuel delivery system'),
+  (1, 5, 'Immediate Actions Required:', 'Monitor engine closely until serviced'),
+  (1, 6, 'Immediate Actions Required:', 'Consider reducing operational load')
+  ) t(prediction, line_no, status, advice))"""
 
 _FLAGS = ", ".join(
     f"{n} as (select * from (values (false), (true)) t({n[:-2]}))"
@@ -149,6 +153,31 @@ def _best(name: str, gains: str) -> str:
 
 _SPLIT_GAIN = ("f1", _BINNED, "at_root as (select 0 node, * from binned)", *_gains("gains", "at_root"))
 
+_USABLE = "not (src_key % 43 = 0 or src_key % 31 = 0 or src_key % 37 = 0 or src_key % 41 = 0" \
+    " or (src_key % 23 <> 0 and src_key % 29 = 0))"
+
+
+def _gap_metrics(name: str, score: str, usable: str) -> str:
+    """The five metrics of a scorer over the usable rows of ``f5``, and the numbers of rows."""
+    return f"""{name}_c as (select {score} s, sum({TARGET}) pos, count(*) - sum({TARGET}) neg
+    from f5 where {usable} group by 1),
+  {name}_b as (select *, sum(neg) over (order by s rows unbounded preceding) - neg below from {name}_c),
+  {name}_t as (select sum(pos) p, sum(neg) n, sum(pos * (2 * below + neg)) wins,
+    coalesce(sum(pos) filter (where s > 0.5E0), 0) tp, coalesce(sum(neg) filter (where s > 0.5E0), 0) fp from {name}_b),
+  {name}_m as (select cast(tp + n - fp as double) / cast(p + n as double) accuracy,
+    cast(tp as double) / cast(tp + fp as double) "precision", cast(tp as double) / cast(p as double) recall,
+    cast(2 * tp as double) / cast(2 * tp + fp + p - tp as double) f1_score,
+    cast(wins as double) / cast(2 * p * n as double) roc_auc, cast(p + n as bigint) test_rows from {name}_t)"""
+
+
+_GAPS = with_sql(
+    "f1", "f5",
+    _gap_metrics("strict", fx.SCORER_A_SQL, "engine_rpm is not null and fuel_pressure is not null"),
+    _gap_metrics("filled", f"case when engine_rpm is null then 0.25E0 else {fx.SCORER_A_SQL} end", "true"),
+    select="""select *, (select count(*) from f5) - test_rows unusable_test_rows, 'left out' gaps from strict_m
+union all select *, (select count(*) from f5) - test_rows, 'scored' from filled_m""",
+)
+
 _MERGED = f"select {fx.COLUMNS_SQL} from base union select {fx.COLUMNS_SQL} from batch"
 
 ORACLES: dict[str, str] = {
@@ -164,7 +193,8 @@ ORACLES: dict[str, str] = {
     )),
     "table_profile": with_sql("f1", select="select count(*) row_count, 7 column_count from f1"),
     "label_distribution": with_sql(
-        "f1", select=f"select {TARGET}, count(*) as rows from f1 group by {TARGET}"
+        "f1", select=f"""select {TARGET}, count(*) as rows,
+  cast(row_number() over (order by count(*) desc, {TARGET}) as integer) place from f1 group by {TARGET}"""
     ),
     "accepted_rows": with_sql("f1", "f5", select="select * from f5 where " + " and ".join(
         f"{s.name} between {s.low!r} and {s.high!r}" for s in fx.SENSORS
@@ -207,12 +237,36 @@ ORACLES: dict[str, str] = {
     ),
     "merged_label_distribution": with_sql(
         "f1", base_and_batch_sql(), f"merged as ({_MERGED})",
-        select=f"select {TARGET}, count(*) as rows from merged group by {TARGET}",
+        select=f"""select {TARGET}, count(*) as rows,
+  cast(row_number() over (order by count(*) desc, {TARGET}) as integer) place from merged group by {TARGET}""",
     ),
     "new_rows": with_sql(
         "f1", base_and_batch_sql(), select="select * from batch except select * from base"
     ),
     "stream_ingest_merge": with_sql("f1", base_and_batch_sql(), select=_MERGED),
+    "stream_ingest_headers": with_sql("f1", select=f"""select distinct {fx.COLUMNS_SQL},
+  case when src_key % 3 = 2 then 'u' || (src_key % 7) end as "Unit" from f1"""),
+    "stream_ingest_quarantine": with_sql("f1", select=f"""select distinct {fx.COLUMNS_SQL.replace(
+        'engine_rpm', 'case when src_key % 23 <> 0 then engine_rpm end engine_rpm')}
+from f1 where {_USABLE}"""),
+    "stream_ingest_rejects": with_sql("f1", """reasons as (select *, case
+    when src_key % 43 = 0 then 'wrong number of cells'
+    else concat_ws('; ',
+      case when src_key % 23 <> 0 and src_key % 29 = 0 then 'unreadable engine_rpm' end,
+      case when src_key % 31 <> 0 and src_key % 37 <> 0 and src_key % 41 = 0 then 'unreadable engine_condition' end,
+      case when src_key % 31 = 0 then 'no engine_condition' end,
+      case when src_key % 31 <> 0 and src_key % 37 = 0 then 'engine_condition is not 0 or 1' end) end reason,
+    case when src_key % 43 = 0 then 0 when src_key % 31 = 0 then 0 when src_key % 37 = 0 then 1
+      when src_key % 41 = 0 then 2 else 3 + engine_condition end label_cell,
+    case when src_key % 23 = 0 then -1.0E0 when src_key % 29 = 0 then -2.0E0 else engine_rpm end rpm_cell from f1)""",
+        select="""select reason, count(*) as rows, count(distinct concat_ws(',', rpm_cell, lub_oil_pressure,
+  fuel_pressure, coolant_pressure, lub_oil_temp, coolant_temp, label_cell)) raws
+from reasons where reason <> '' group by reason"""),
+    "stream_ingest_archive": with_sql("f1", base_and_batch_sql(), select=_MERGED),
+    "evaluate_with_gaps": _GAPS,
+    "model_facts": with_sql(*_F1K_SPLIT, select="""select trainer, cast(250 as bigint) n_trees, count(*) scored_rows,
+  count(*) chances, 'forced without comparison' first_reason
+from parts cross join (values ('gbt'), ('newton')) t(trainer) where split = 'test' group by trainer"""),
     "stratified_split": with_sql(
         "ev as (select event_id, user_id, event_type, value from events)",
         split_sql("ev", "event_type", "event_id"),
@@ -223,9 +277,9 @@ ORACLES: dict[str, str] = {
         *_F1K_SPLIT, select=f"select split, {TARGET}, count(*) as rows from parts group by 1, 2"
     ),
     "split_leakage": with_sql(
-        "f1k", base_and_batch_sql(keyed=True),
+        "f1k", fx.DOUBLED_SQL,
         f"""copies as (select *, {fx.KEY} * 10
-    + row_number() over (partition by {fx.KEY} order by {fx.KEY}) copy_key from base)""",
+    + row_number() over (partition by {fx.KEY} order by {fx.KEY}) copy_key from doubled)""",
         split_sql("copies", TARGET, "copy_key"),
         f"""shared as (select {fx.KEY}, {fx.COLUMNS_SQL}, count(*) n from parts
     group by {fx.KEY}, {fx.COLUMNS_SQL} having min(split) <> max(split))""",
@@ -240,7 +294,7 @@ ORACLES: dict[str, str] = {
         select="select * from parts",
     ),
     "prepare_resplit": with_sql(
-        "f1k", base_and_batch_sql(keyed=True), split_sql("base", TARGET, fx.KEY),
+        "f1k", fx.DOUBLED_SQL, split_sql("doubled", TARGET, fx.KEY),
         select="select * from parts",
     ),
     "confusion_counts": with_sql("f1", _CONFUSION_B, select="select * from conf"),
@@ -256,12 +310,14 @@ ORACLES: dict[str, str] = {
     ),
     "evaluate_scores": with_sql("f1", *_metrics("ma", fx.SCORER_A_SQL), select=_long("ma")),
     "compare_models": with_sql(*_COMPARISON, select=f"""select metric, existing_value, new_value, diff,
-  case when diff > 0 then '{texts.ROSE}' when diff < 0 then '{texts.FELL}' else '{texts.SAME}' end symbol,
+  case when diff > 0 then '✓' when diff < 0 then '✗' else '=' end symbol,
   printf('%.4f', existing_value) existing_text, printf('%.4f', new_value) new_text,
+  case when diff >= 0 then '+' else '' end || printf('%.4f', diff) diff_text,
   diff > 0.001E0 improved from compared"""),
     "promotion_decision": with_sql(
         *_COMPARISON, _FLAGS,
-        "verdict as (select bool_or(diff > 0.001E0) improved from compared)",
+        """verdict as (select bool_or(diff > 0.001E0) improved from compared
+    union all select bool_or(-diff > 0.001E0) from compared)""",
         """settings as (select improved, trained, has_existing, "compare", "force", data_updated
     from verdict, trained_s, has_existing_s, compare_s, force_s, data_updated_s)""",
         """steps as (select *, "force" or data_updated forces,
@@ -273,7 +329,7 @@ ORACLES: dict[str, str] = {
     when compared then 'no improvement' when forces then 'forced without comparison'
     else 'not compared' end reason from steps""",
     ),
-    "score_batch": with_sql("f1", "f5", _scored("f5"), select="select * from scored"),
+    "score_batch": with_sql("f1", "f5", _scored("f5", fx.SCORER_C_SQL), select="select * from scored"),
     "score_with_defaults": with_sql(
         "f1", "f5", _FILLED, _scored("filled"), select="select * from scored"
     ),
@@ -302,3 +358,4 @@ from scored s join advice_lines a on s.prediction = a.prediction""",
     ),
 }
 ORACLES["new_rows_distinct_base"] = ORACLES["new_rows"]
+ORACLES["stream_ingest_incremental"] = ORACLES["stream_ingest_merge"]

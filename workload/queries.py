@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import product
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.operators import advice, boosting, evaluation, merging, quality, splitting, trees
@@ -24,9 +25,7 @@ from workload import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Small presets that keep the registered model queries short; jobs use the full one.
-GBT_TREES = 3
-BOOST = boosting.BoostParams(n_trees=3, max_depth=4, learning_rate=0.3)
+_MODELS: dict[tuple, object] = {}
 
 
 def query(function: Query) -> Query:
@@ -156,7 +155,14 @@ def new_rows(spark, sf_dir):
 @query
 def new_rows_distinct_base(spark, sf_dir):
     base, batch = fx.base_and_batch(spark, sf_dir)
-    return merging.new_rows(base.dropDuplicates(), batch, base_is_distinct=True)
+    stored = materialize(base.dropDuplicates(), "distinct-base")
+    return merging.new_rows(stored, batch, base_is_distinct=True)
+
+
+def _written_inbox(spark, rows: DataFrame) -> str:
+    inbox = fresh_path(spark, "inbox")
+    files.write_csv(rows, inbox)
+    return inbox
 
 
 @query
@@ -164,12 +170,95 @@ def stream_ingest_merge(spark, sf_dir):
     base, batch = fx.base_and_batch(spark, sf_dir)
     store = DatasetStore(spark, fresh_path(spark, "store"))
     store.create(base)
+    ingest(store, _written_inbox(spark, batch), fx.file_schema())
+    return store.read()
+
+
+@query
+def stream_ingest_incremental(spark, sf_dir):
+    """Into a table known to be distinct only the new rows are written."""
+    base, batch = fx.base_and_batch(spark, sf_dir)
+    store = DatasetStore(spark, fresh_path(spark, "store"))
+    store.create(base, dedupe=True)
+    ingest(store, _written_inbox(spark, batch), fx.file_schema())
+    return store.read()
+
+
+_HEADERS = [f.name for f in fx.file_schema().fields]
+
+
+def _part(rows: DataFrame, order: list[str], inbox: str, digit: int) -> None:
+    """One slice of a batch as files whose columns are ``order``."""
+    files.to_headers(rows.where(F.col("src_key") % 3 == digit)).select(*order).write.mode(
+        "append").option("header", True).csv(inbox)
+
+
+@query
+def stream_ingest_headers(spark, sf_dir):
+    """Files with the usual header, with another order, and with one more column."""
+    rows = fx.readings(spark, sf_dir).withColumn("Unit", F.concat(F.lit("u"), F.col("src_key") % 7))
     inbox = fresh_path(spark, "inbox")
-    files.write_csv(batch, inbox)
+    _part(rows, _HEADERS, inbox, 0)
+    _part(rows, _HEADERS[::-1], inbox, 1)
+    _part(rows, ["Unit", *_HEADERS], inbox, 2)
+    store = DatasetStore(spark, fresh_path(spark, "store"))
     ingest(store, inbox, fx.file_schema())
     return store.read()
 
 
+def _spoilt(spark, sf_dir) -> DataFrame:
+    """Readings as cells of text, some of which no reading has."""
+    rows = fx.readings(spark, sf_dir)
+    key = F.col("src_key")
+    return rows.select(
+        "src_key",
+        F.when(key % 23 == 0, F.lit("n/a")).when(key % 29 == 0, F.lit("fast")).otherwise(
+            F.col("engine_rpm").cast("string")).alias("Engine rpm"),
+        *[F.col(s.name).cast("string").alias(s.header) for s in fx.SENSORS[1:]],
+        F.when(key % 31 == 0, F.lit("")).when(key % 37 == 0, F.lit("2")).when(key % 41 == 0, F.lit("bad"))
+        .otherwise(F.col(TARGET).cast("string")).alias("Engine Condition"))
+
+
+def _ingest_spoilt(spark, sf_dir) -> DatasetStore:
+    """Bad labels, unreadable sensors, and files of rows that lack their last cell."""
+    rows, inbox = _spoilt(spark, sf_dir), fresh_path(spark, "inbox")
+    short = F.col("src_key") % 43 == 0
+    rows.where(~short).select(*_HEADERS).write.option("header", True).csv(inbox)
+    cells = F.concat_ws(",", *[F.col(h) for h in _HEADERS[:-1]])
+    lines = rows.where(short).select(cells.alias("line"))
+    header = spark.createDataFrame([(",".join(_HEADERS),)], "line string")
+    header.union(lines).coalesce(1).write.mode("append").text(inbox)  # one file, the header first
+    store = DatasetStore(spark, fresh_path(spark, "store"))
+    ingest(store, inbox, fx.file_schema())
+    return store
+
+
+@query
+def stream_ingest_quarantine(spark, sf_dir):
+    """The rows that a spoilt batch leaves usable."""
+    return _ingest_spoilt(spark, sf_dir).read()
+
+
+@query
+def stream_ingest_rejects(spark, sf_dir):
+    """The others, counted by reason."""
+    rejects = _ingest_spoilt(spark, sf_dir).rejects()
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("raw").alias("raws"))
+
+
+@query
+def stream_ingest_archive(spark, sf_dir):
+    """The files of a merged batch, as they are read in the archive when a later one has come."""
+    base, batch = fx.base_and_batch(spark, sf_dir)
+    store = DatasetStore(spark, fresh_path(spark, "store"))
+    inbox, archive = fresh_path(spark, "inbox"), fresh_path(spark, "archive")
+    for rows in (base, batch, base.limit(1), base.limit(1)):  # a batch is moved when the next ones are planned
+        files.to_headers(rows).write.mode("append").option("header", True).csv(inbox)
+        ingest(store, inbox, fx.file_schema(), archive)
+    moved = spark.read.option("header", True).option("recursiveFileLookup", True).csv(archive)
+    return files.parse_text_columns(moved).distinct()
+
+
 # ---- splitting ------------------------------------------------------------------
 
 
@@ -192,8 +281,7 @@ def split_distribution(spark, sf_dir):
 @query
 def split_leakage(spark, sf_dir):
     """Copies of a reading under keys of their own can land on both sides."""
-    base, _ = fx.base_and_batch(spark, sf_dir, keyed=True)
-    rows = materialize(fx.copies_keyed(base), "copies")
+    rows = materialize(fx.copies_keyed(fx.doubled_readings(spark, sf_dir)), "copies")
     return splitting.split_leakage(splitting.stratified_split(rows, key=["copy_key"]).drop("copy_key"))
 
 
@@ -216,9 +304,8 @@ def prepare_merge(spark, sf_dir):
 
 @query
 def prepare_resplit(spark, sf_dir):
-    base, _ = fx.base_and_batch(spark, sf_dir, keyed=True)
     store = DatasetStore(spark, fresh_path(spark, "store"))
-    store.create(base)
+    store.create(fx.doubled_readings(spark, sf_dir))
     return prepare(store, "resplit", key=[fx.KEY]).rows
 
 
@@ -258,27 +345,46 @@ def evaluate_scores(spark, sf_dir):
     return evaluation.metrics_long(evaluation.evaluate(_scored(spark, sf_dir, fx.scorer_a())))
 
 
+class _Given:
+    """A scorer in a model's place."""
+
+    def __init__(self, chance, takes_gaps: bool):
+        self.chance, self.takes_gaps = chance, takes_gaps
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("probability", self.chance)
+
+
+@query
+def evaluate_with_gaps(spark, sf_dir):
+    """Metrics, rows used and rows left out, without gaps and with a scorer that takes them."""
+    rows = fx.gapped_readings(spark, sf_dir)
+    strict = evaluate_model(_Given(fx.scorer_a(), False), rows).withColumn("gaps", F.lit("left out"))
+    filled = F.when(F.col("engine_rpm").isNull(), 0.25).otherwise(fx.scorer_a())
+    return strict.unionByName(evaluate_model(_Given(filled, True), rows).withColumn("gaps", F.lit("scored")))
+
+
 @query
 def compare_models(spark, sf_dir):
-    return _comparison(spark, sf_dir)
+    return _comparison(spark, sf_dir, fx.scorer_b(), fx.scorer_a())
 
 
-def _comparison(spark, sf_dir) -> DataFrame:
-    existing, new = (
-        evaluation.evaluate(_scored(spark, sf_dir, s)) for s in (fx.scorer_b(), fx.scorer_a())
-    )
+def _comparison(spark, sf_dir, *scorers) -> DataFrame:
+    existing, new = (evaluation.evaluate(_scored(spark, sf_dir, s)) for s in scorers)
     return evaluation.compare_metrics(existing, new)
 
 
 @query
 def promotion_decision(spark, sf_dir):
-    """The outcome of this comparison under every setting of the switches."""
+    """The outcome of a better and of a worse model under every setting of the switches."""
     names = ("trained", "has_existing", "compare", "force", "data_updated")
     settings = F.array(*[
         F.struct(*[F.lit(v).alias(n) for n, v in zip(names, values, strict=True)])
         for values in product((False, True), repeat=len(names))
     ])
-    improved = evaluation.any_improved(_comparison(spark, sf_dir))
+    scorers = fx.scorer_b(), fx.scorer_a()
+    improved = evaluation.any_improved(_comparison(spark, sf_dir, *scorers)).unionByName(
+        evaluation.any_improved(_comparison(spark, sf_dir, *reversed(scorers))))
     rows = improved.select("improved", F.inline(settings))
     publish, reason = evaluation.decision(
         F.col("trained"), F.col("has_existing"), F.col("compare"), F.col("improved"),
@@ -292,7 +398,7 @@ def promotion_decision(spark, sf_dir):
 
 @query
 def score_batch(spark, sf_dir):
-    return score(fx.gapped_readings(spark, sf_dir), fx.scorer_a(), fx.SENSORS)
+    return score(fx.gapped_readings(spark, sf_dir), fx.scorer_c(), fx.SENSORS)
 
 
 @query
@@ -322,43 +428,40 @@ def stream_score(spark, sf_dir):
 # ---- models ------------------------------------------------------------------
 
 
-_BINS = {
-    "engine_rpm": "floor(engine_rpm / 3.5E3)",
-    "lub_oil_pressure": "floor(lub_oil_pressure / 2.0E0)",
-    "fuel_pressure": "floor(fuel_pressure * 2.5E2)",
+# bins of a given width per feature, as many as a feature may have
+_EDGES = {
+    "engine_rpm": [3.5e3 * i for i in range(1, 250)],
+    "lub_oil_pressure": [2.0 * i for i in range(1, 250)],
+    "fuel_pressure": [i / 250 for i in range(1, 250)],
 }
 
 
 @query
 def split_gain(spark, sf_dir):
-    bins = {name: F.expr(text) for name, text in _BINS.items()}
-    histogram = boosting.half_histogram(fx.readings(spark, sf_dir), bins, TARGET)
-    gains = boosting.split_gains(histogram, ["feature"], boosting.BoostParams())
-    return gains.where(F.col("gain").isNotNull()).select("feature", "bin", "gain")
+    """Every cut of the first tree's root, by the trainer."""
+    names, params = list(_EDGES), boosting.BoostParams()
+    cuts = boosting.root_cuts(fx.readings(spark, sf_dir), names, TARGET, params, list(_EDGES.values()))
+    rows = [
+        (names[at], bin_, float(cuts.gain[0, at, bin_]))
+        for at, bin_ in zip(*np.nonzero(np.isfinite(cuts.gain[0])), strict=True)
+    ]
+    return spark.createDataFrame([(f, int(b), g) for f, b, g in rows], "feature string, bin int, gain double")
 
 
 @query
 def first_tree(spark, sf_dir):
-    """Best cut and leaf values of the root and of its two children."""
-    params = boosting.BoostParams()
-    bins = {name: F.expr(text) for name, text in _BINS.items()}
-
-    def best_cuts(rows: DataFrame) -> DataFrame:
-        histogram = boosting.half_histogram(rows, bins, TARGET, by=["node"])
-        gains = boosting.split_gains(histogram, ["node", "feature"], params)
-        top = Window.partitionBy("node").orderBy(F.desc("gain"), "feature", "bin")
-        ranked = gains.where(F.col("gain").isNotNull()).withColumn("place", F.row_number().over(top))
-        return ranked.where(F.col("place") == 1).select(
-            "node", "feature", "bin", "gain",
-            F.expr(boosting.leaf_value("gl", "hl", params)).alias("left_value"),
-            F.expr(boosting.leaf_value("gr", "hr", params)).alias("right_value"),
-        )
-
-    rows = fx.readings(spark, sf_dir)
-    root = best_cuts(rows.withColumn("node", F.lit(0)))
-    cut = root.first()
-    at = F.when(bins[cut.feature] <= cut.bin, 1).otherwise(2)
-    return root.unionByName(best_cuts(rows.withColumn("node", at)))
+    """The trainer's first tree from one half, two levels deep, on every row and column."""
+    params = boosting.BoostParams(n_trees=1, max_depth=2, row_sample=1.0, column_sample=1.0)
+    model = boosting.train_newton(
+        fx.readings(spark, sf_dir), list(_EDGES), params=params, edges=list(_EDGES.values()), start=0.0)
+    tree = model.trees[0]
+    rows = [
+        (node, model.features[tree.feature[node]], tree.cut[node], tree.gain[node],
+         tree.value[2 * node + 1], tree.value[2 * node + 2])
+        for node in range(3) if tree.feature[node] >= 0
+    ]
+    return spark.createDataFrame(
+        rows, "node int, feature string, bin int, gain double, left_value double, right_value double")
 
 
 @query
@@ -376,41 +479,52 @@ def score_tree_model(spark, sf_dir):
     })
 
 
+def _model(spark, sf_dir, trainer):
+    """A model of the full preset; the queries of a session share it."""
+    name = (spark.sparkContext.applicationId, sf_dir, trainer)
+    if name not in _MODELS:
+        train, _ = fx.train_test(spark, sf_dir)
+        _MODELS[name] = trainer(train)
+    return _MODELS[name]
+
+
+def _gbt(train):
+    return trees.train_gbt(train)
+
+
+def _newton(train):
+    return boosting.train_newton(train, key=[fx.KEY])
+
+
 @query
 def train_gbt(spark, sf_dir):
-    train, _ = fx.train_test(spark, sf_dir)
-    importances = trees.feature_importances(trees.train_gbt(train, n_trees=GBT_TREES))
+    importances = trees.feature_importances(_model(spark, sf_dir, _gbt))
     return spark.createDataFrame(list(importances.items()), "feature string, importance double")
 
 
 @query
 def score_gbt(spark, sf_dir):
-    train, test = fx.train_test(spark, sf_dir)
-    return score(test, trees.train_gbt(train, n_trees=GBT_TREES), fx.SENSORS)
+    return score(fx.train_test(spark, sf_dir)[1], _model(spark, sf_dir, _gbt), fx.SENSORS)
 
 
 @query
 def evaluate_gbt(spark, sf_dir):
-    train, test = fx.train_test(spark, sf_dir)
-    return evaluate_model(trees.train_gbt(train, n_trees=GBT_TREES), test)
+    return evaluate_model(_model(spark, sf_dir, _gbt), fx.train_test(spark, sf_dir)[1])
 
 
 @query
 def train_newton(spark, sf_dir):
-    train, _ = fx.train_test(spark, sf_dir)
-    return boosting.train_newton(train, params=BOOST, key=[fx.KEY]).tree_table(spark)
+    return _model(spark, sf_dir, _newton).tree_table(spark)
 
 
 @query
 def score_newton(spark, sf_dir):
-    train, test = fx.train_test(spark, sf_dir)
-    return score(test, boosting.train_newton(train, params=BOOST, key=[fx.KEY]), fx.SENSORS)
+    return score(fx.train_test(spark, sf_dir)[1], _model(spark, sf_dir, _newton), fx.SENSORS)
 
 
 @query
 def evaluate_newton(spark, sf_dir):
-    train, test = fx.train_test(spark, sf_dir)
-    return evaluate_model(boosting.train_newton(train, params=BOOST, key=[fx.KEY]), test)
+    return evaluate_model(_model(spark, sf_dir, _newton), fx.train_test(spark, sf_dir)[1])
 
 
 @query
@@ -419,12 +533,29 @@ def promote_model(spark, sf_dir):
     train, test = fx.train_test(spark, sf_dir)
     registry = ModelRegistry(spark, fresh_path(spark, "registry"))
 
-    def first(rows, features, label):
-        return trees.train_gbt(rows, features, label, n_trees=1, maxDepth=1)
+    def first(*_):
+        return _model(spark, sf_dir, _gbt)
 
-    def second(rows, features, label):
-        return boosting.train_newton(rows, features, label, BOOST, [fx.KEY])
+    def second(*_):
+        return _model(spark, sf_dir, _newton)
 
-    train_and_promote(train, test, registry, evaluation.Flags(force=True), first)
-    train_and_promote(train, test, registry, evaluation.Flags(), second)
+    train_and_promote(train, test, registry, evaluation.Flags(force=True), first, data_version=1)
+    train_and_promote(train, test, registry, evaluation.Flags(), second, data_version=2)
     return registry.log()
+
+
+@query
+def model_facts(spark, sf_dir):
+    """What holds for any fitted model: its trees, the rows it scores, chances between 0 and 1."""
+    rows = fx.train_test(spark, sf_dir)[1]
+    facts = []
+    for name, trainer in (("gbt", _gbt), ("newton", _newton)):
+        model = _model(spark, sf_dir, trainer)
+        n_trees = len(model.trees) if name == "newton" else model.stages[-1].getNumTrees
+        chance = F.col("probability").between(0, 1)
+        found = trees.with_probability(model, rows).select(
+            F.lit(name).alias("trainer"), F.lit(n_trees).cast("long").alias("n_trees"), chance.alias("chance"))
+        facts.append(found.groupBy("trainer", "n_trees").agg(
+            F.count(F.lit(1)).alias("scored_rows"), F.count_if("chance").alias("chances")))
+    first_reason = promote_model(spark, sf_dir).orderBy("version").first().reason
+    return facts[0].unionByName(facts[1]).withColumn("first_reason", F.lit(first_reason))
