@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.llm.text import WORD, word_count
-from millwright.sources.scratch import discard, materialize, written
+from millwright.sources.scratch import Scratch, materialize, scratch_tables
 
 #: Documents that a key range holds on average, if they were of one source.
 RANGE_ROWS = 2_000
@@ -84,11 +84,11 @@ def _targets(totals: DataFrame, mixture: Mixture) -> DataFrame:
     )
 
 
-def plan_mixture(rows: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
+def plan_mixture(rows: DataFrame, tables: Scratch, mixture: Mixture = Mixture()) -> DataFrame:
     """One row per source: source, source_size, target, epochs, cut_key, cut_words, cut_copies.
 
     ``rows`` has key, source and size and is read several times, so give a written
-    table.  The plan takes ``floor(target)`` words of each source exactly, but for
+    table.  ``tables`` hold what the result reads.  The plan takes ``floor(target)`` words of each source exactly, but for
     documents of equal key at the cut (repeated rows), which share the rest evenly
     and leave fewer than their number.  A null source is a source, ranked last.  An
     empty table or a source without words gives targets of 0.
@@ -96,11 +96,11 @@ def plan_mixture(rows: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     digits = max(1, math.ceil(math.log(max(rows.count(), 1) / RANGE_ROWS, 16)))
     ranges = rows.groupBy("source", F.substring("key", 1, digits).alias("range")).agg(
         F.sum("size").alias("words"))
-    ranges = materialize(ranges, "mix-ranges")
+    ranges = tables.write(ranges, "mix-ranges")
     targets = _targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")), mixture)
     budget = F.floor("target").cast("long")
     epochs = F.coalesce(F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))), F.lit(0)).cast("long")
-    plan = materialize(
+    plan = tables.write(
         targets.withColumn("epochs", epochs)
         .withColumn("rest", budget - F.col("epochs") * F.col("source_size")).coalesce(1),
         "mix-targets")
@@ -110,7 +110,7 @@ def plan_mixture(rows: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     last = summed.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).where(
         "rest > 0 and before < rest and rest <= before + words"
     ).select("s.source", "range", (F.col("rest") - F.col("before")).alias("wanted"))
-    last = materialize(last.coalesce(1), "mix-last")
+    last = tables.write(last.coalesce(1), "mix-last")
     inside = rows.alias("r").join(
         last.alias("l"),
         F.col("r.source").eqNullSafe(F.col("l.source")) & (F.substring("r.key", 1, digits) == F.col("l.range")),
@@ -147,7 +147,8 @@ def words_taken(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     ``taken`` counts the words that the mix takes of it, repeats included.
     """
     rows = materialize(sized(docs), "mix-rows")
-    plan = materialize(plan_mixture(rows, mixture).coalesce(1), "mix-plan")
+    with scratch_tables(docs.sparkSession) as tables:
+        plan = materialize(plan_mixture(rows, tables, mixture).coalesce(1), "mix-plan")
     whole, part = _last_pass(F.col("key"))
     return rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))).select(
         "doc_id", "r.source", "size", "source_size", "target",
@@ -161,10 +162,9 @@ def mixed(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     budget allows; its ``n_chars``, if there is such a column, follows its text.
     Documents without words are in no mix.
     """
-    spark = docs.sparkSession
-    rows, path = written(sized(docs), "mix-rows")
-    plan = materialize(plan_mixture(rows, mixture).coalesce(1), "mix-plan")
-    discard(spark, path)
+    with scratch_tables(docs.sparkSession) as tables:
+        rows = tables.write(sized(docs), "mix-rows")
+        plan = materialize(plan_mixture(rows, tables, mixture).coalesce(1), "mix-plan")
     plan = plan.select(*[F.col(c).alias(f"__mix_{c}") for c in plan.columns])
     joined = docs.withColumn("__mix_key", random_key(F.col("doc_id"), F.col("text"))).where(
         word_count(F.col("text")) > 0

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm.suffix_sort import sort_suffixes
-from millwright.sources.scratch import discard, fresh_path, materialize
+from millwright.sources.scratch import discard, fresh_path, materialize, scratch_tables
 
 WIDTH = 50
 GRAM = 20
@@ -489,14 +489,16 @@ def _judged(docs: DataFrame, rows: DataFrame, text: str, width: int, gram: int,
         return _result(_Work(group, sent, width, gram, ranges))
 
     try:
-        ids = _ids(rows, width, slices)
-        keys = by_slice.applyInArrow(send_keys, "slice long, range long, blob binary")
-        shared = keys.groupBy("range").applyInArrow(lambda g: _find_shared(g, hot_slices), MESSAGE)
-        known = materialize(ids.union(shared), "suffix-shared")
-        stretches = by_slice.cogroup(known.groupBy("slice")).applyInArrow(send_stretches, "slice long, range long, blob binary")
-        gone = stretches.groupBy("range").applyInArrow(lambda g: _sort_range(g, width), MESSAGE)
-        known = known.union(materialize(gone, "suffix-gone"))
-        return materialize(by_slice.cogroup(known.groupBy("slice")).applyInArrow(finish, RESULT), "suffix-result")
+        with scratch_tables(spark) as tables:
+            ids = _ids(rows, width, slices)
+            keys = by_slice.applyInArrow(send_keys, "slice long, range long, blob binary")
+            shared = keys.groupBy("range").applyInArrow(lambda g: _find_shared(g, hot_slices), MESSAGE)
+            known = tables.write(ids.union(shared), "suffix-shared")
+            stretches = by_slice.cogroup(known.groupBy("slice")).applyInArrow(
+                send_stretches, "slice long, range long, blob binary")
+            gone = stretches.groupBy("range").applyInArrow(lambda g: _sort_range(g, width), MESSAGE)
+            known = known.union(tables.write(gone, "suffix-gone"))
+            return materialize(by_slice.cogroup(known.groupBy("slice")).applyInArrow(finish, RESULT), "suffix-result")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         discard(spark, path)

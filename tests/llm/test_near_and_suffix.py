@@ -11,6 +11,7 @@ from millwright.llm.near_dedup import (
 )
 from millwright.llm.suffix_dedup import repeated_passages
 from millwright.llm.suffix_sort import BlindTrie, sort_suffixes
+from millwright.sources.scratch import Scratch
 from tests.conftest import SF_DIR
 from tests.llm import cases
 from tests.llm.cases import clashing, docs, edge_rows, words
@@ -83,9 +84,11 @@ def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 50)] + [(130, 60)]
     links = spark.createDataFrame(chain + star + [(7, 7), (None, 3), (3, 2)], "a long, b long")
-    found = dict(components(links).collect())
+    tables = Scratch(spark)
+    found = dict(components(links, tables).collect())
     assert found == {**{i: 0 for i in range(1, 41)}, **{i: 60 for i in range(100, 150)}}
-    assert components(links.limit(0)).collect() == []
+    assert components(links.limit(0), tables).collect() == []
+    tables.clear()
 
 
 def test_passages_of_the_documents(spark):
