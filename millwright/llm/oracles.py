@@ -69,7 +69,8 @@ b as (
     + 64 * (100 * n_upper > 50 * word_chars)::bigint as failures
   from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, failures = 0 as kept, failures
+  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  failures & (1 + 2 + 4 + 8 + 16 + 64) = 0 as kept, failures
 from b
 """
 
