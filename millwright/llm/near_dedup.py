@@ -30,8 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm.components import components
-from millwright.llm.text import worker_cache
-from millwright.sources.scratch import materialize
+from millwright.sources.scratch import Scratch, materialize, scratch_tables
 
 SHINGLE_WORDS = 5
 #: A link: intersection * 100 >= union * PERCENT.
@@ -48,15 +47,14 @@ LEAST_ESTIMATE = PERCENT / 100 - DEVIATIONS * (PERCENT / 100 * (1 - PERCENT / 10
 MEMBERS_PER_HUB = 512
 #: Members of a block of an open group.
 BLOCK_MEMBERS = 256
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1 << 62, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 # ---- sets and sketches ----------------------------------------------------
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    known = worker_cache("word hashes")
+def _word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     if len(known) > CACHED_WORDS:
         known.clear()
     try:
@@ -71,12 +69,15 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; fewer words than ``size`` are one shingle."""
+def shingle_set(text: bytes, size: int = SHINGLE_WORDS, known: dict[bytes, int] | None = None) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct shingles; fewer words than ``size`` are one shingle.
+
+    ``known`` remembers the hashes of words from text to text.
+    """
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    w = _word_hashes(words)
+    w = _word_hashes(words, {} if known is None else known)
     size = min(size, len(w))
     h = np.full(len(w) - size + 1, size, np.uint64)
     for i in range(size):
@@ -116,10 +117,11 @@ def _sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, n_shingles, digest, small, dealt) of every row."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
         for batch in batches:
             sizes, digests, small, dealt = [], [], [], []
             for value in batch.column(1):
-                found = shingle_set((value.as_py() or "").encode())
+                found = shingle_set((value.as_py() or "").encode(), known=known)
                 n = len(found)
                 sizes.append(n)
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if n else None)
@@ -159,23 +161,23 @@ def _bands(classes: DataFrame) -> DataFrame:
 # ---- pairs ----------------------------------------------------------------
 
 
-def _chance(n: np.ndarray, m: np.ndarray, buckets: int) -> np.ndarray:
-    """How likely a register of independent sets of n and m shingles agrees by chance."""
+def _levels(n: np.ndarray, buckets: int) -> np.ndarray:
+    """How likely the smallest of each number of values has 0, 1, ... leading zeros."""
     level = np.arange(63)
-    low, high = 0.5 ** (level + 1), 0.5**level
+    k = np.maximum(np.asarray(n) / buckets, 1.0)[:, None]
+    return (1 - 0.5 ** (level + 1)) ** k - (1 - 0.5**level) ** k
 
-    def at_level(k):
-        k = np.maximum(k / buckets, 1.0)[:, None]
-        return (1 - low) ** k - (1 - high) ** k
 
-    return (at_level(n) * at_level(m)).sum(axis=1) / (1 << MANTISSA)
+def _chance(n: np.ndarray, m: np.ndarray, buckets: int) -> np.ndarray:
+    """How likely a register of independent sets of n and m shingles agrees by chance, for all pairs."""
+    return _levels(n, buckets) @ _levels(m, buckets).T / (1 << MANTISSA)
 
 
 def estimated_jaccard(a: np.ndarray, b: np.ndarray, n: int, m: int, buckets: int = 1) -> float:
     """From the share of registers that agree, less what agrees by chance; both empty say nothing."""
     used = (a != EMPTY) | (b != EMPTY)
     agree = np.count_nonzero((a == b) & used) / max(1, np.count_nonzero(used))
-    chance = float(_chance(np.array([n]), np.array([m]), buckets)[0])
+    chance = float(_chance([n], [m], buckets)[0, 0])
     return max(0.0, (agree - chance) / (1 - chance))
 
 
@@ -202,7 +204,9 @@ def _linked(hub: tuple, member: tuple) -> bool:
     return bool(both * 100 >= PERCENT * (len(a) + len(b) - both))
 
 
-def _chosen(pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, tuple], bool]) -> DataFrame:
+def _chosen(
+    pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, tuple], bool], tables: Scratch
+) -> DataFrame:
     """The (a, b) of ``pairs`` for which ``test`` of their payloads holds.
 
     ``a`` is a hub: its payload goes once to each block of its members, streamed
@@ -212,7 +216,7 @@ def _chosen(pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, tuple],
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_HUB).alias("blocks")).withColumnRenamed("a", "hub")
     dealt = pairs.join(sizes, F.col("a") == F.col("hub")).select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"))
-    dealt = materialize(dealt, "near-dealt")
+    dealt = tables.write(dealt, "near-dealt")
     members = dealt.join(payload, F.col("b") == F.col("id")).select("a", "block", "b", *columns)
     hubs = dealt.select("a", "block").distinct().join(payload, F.col("a") == F.col("id")).select(
         "a", "block", F.lit(None).cast("long").alias("b"), *columns)
@@ -328,8 +332,7 @@ def _likely(key: tuple, group: list[tuple]) -> list[tuple]:
                 there = (column != EMPTY)[:, None] | (column != EMPTY)
                 used += there
                 agree += (column[:, None] == column) & there
-            a, b = np.divmod(np.arange(len(at) ** 2), len(at))
-            chance = _chance(n[at][a], n[at][b], buckets).reshape(len(at), -1)
+            chance = _chance(n[at], n[at], buckets)
             near[np.ix_(at, at)] |= (agree / np.maximum(used, 1) - chance) / (1 - chance) >= LEAST_ESTIMATE
     near &= comp[:, None] != comp
     near &= np.minimum(n[:, None], n) * 100 >= np.maximum(n[:, None], n) * PERCENT
@@ -375,8 +378,9 @@ def _sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) -> DataFr
     """(id, shingles) of the members' documents."""
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
         for batch in batches:
-            found = [shingle_set((value.as_py() or "").encode()).tobytes() for value in batch.column(1)]
+            found = [shingle_set((value.as_py() or "").encode(), known=known).tobytes() for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
 
     ids = members.select(F.col("id").alias("__member")).distinct()
@@ -384,23 +388,23 @@ def _sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) -> DataFr
     return rows.join(ids, F.col("id") == F.col("__member"), "left_semi").mapInArrow(computed, "id long, shingles binary")
 
 
-def _links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame | None:
-    """(node, root) of the classes that are linked to others; None if there are no candidates."""
+def _linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, tables: Scratch) -> DataFrame | None:
+    """(node, root) of the classes that are linked to smaller ones; None if there are no candidates."""
     bands = _bands(classes)
     shared = bands.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    members = materialize(bands.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "near-members")
+    members = tables.write(bands.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "near-members")
     if members.isEmpty():
         return None
     sketches = classes.select("id", "n_shingles", "small", "dealt")
-    sets = materialize(_sets(docs, members, doc_id, text), "near-sets")
-    links = _chosen(_chosen(_first_pairs(members), sketches, _may_link), sets, _linked)
-    labels = materialize(components(links), "near-labels")
+    sets = tables.write(_sets(docs, members, doc_id, text), "near-sets")
+    likely = _chosen(_first_pairs(members), sketches, _may_link, tables)
+    labels = tables.write(components(_chosen(likely, sets, _linked, tables), tables), "near-labels")
     blocks = _open_blocks(members, labels)
     likely = _in_blocks(blocks, sketches, _likely, "bucket long, i long, k long, id long, comp long",
                         ["bucket", "i", "k", "id", "comp"])
     joining = _in_blocks(likely, sets, _joining, "a long, b long", ["a", "b"])
     known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return materialize(components(known.union(joining)), "near-labels")
+    return components(known.union(joining), tables)
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -416,12 +420,14 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
         F.first("small").alias("small"), F.first("dealt").alias("dealt"))
-    classes = materialize(classes, "near-classes")
-    labels = _links(docs, classes, doc_id, text)
-    roots = classes.select(F.col("digest").alias("__digest"), F.col("id").alias("__root"))
-    if labels is not None:
-        roots = roots.join(labels, F.col("__root") == F.col("node"), "left").select(
-            "__digest", F.coalesce("root", "__root").alias("__root"))
+    with scratch_tables(docs.sparkSession) as tables:
+        classes = tables.write(classes, "near-classes")
+        labels = _linked_classes(docs, classes, doc_id, text, tables)
+        roots = classes.select(F.col("digest").alias("__digest"), F.col("id").alias("__root"))
+        if labels is not None:
+            roots = roots.join(labels, F.col("__root") == F.col("node"), "left").select(
+                "__digest", F.coalesce("root", "__root").alias("__root"))
+        roots = materialize(roots, "near-roots")
     found = rows.select("doc_id", "n_shingles", "digest").join(
         roots, F.col("digest") == F.col("__digest"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("__root", "doc_id"))
