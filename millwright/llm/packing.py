@@ -14,7 +14,8 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,10 +30,10 @@ CAPACITY = 2048
 END_OF_DOCUMENT = 0
 #: Pieces of one length that are ranked together.
 BUCKET_ROWS = 4_096
-#: Strings whose ids a worker remembers.
+#: Strings whose ids a worker remembers, in each of two generations.
 CACHED_STRINGS = 500_000
 
-Encoder = Callable[[list[str]], list[bytes]]
+_STOPS = b".,"
 
 
 # ---- tokens ---------------------------------------------------------------
@@ -42,42 +43,68 @@ class WordTokens:
     """Ids (little-endian, 32 bits) of texts under a tokenizer that never joins across blanks.
 
     Such a tokenizer gives a text the ids of its blank-separated strings, one after
-    the other, and lower-cases, so the ids of a lower-cased string are remembered.
-    A text with ``<|`` may hold a special token, which counts case, and is encoded whole.
+    the other, and lower-cases, so the ids of a lower-cased string are remembered.  It
+    also parts a letter from the full stop or comma behind it, so a word with one
+    needs the word's ids only.  A text with ``<|`` may hold a special token, which
+    counts case, and is encoded whole.
+
+    Strings are remembered in two generations: when the young one is full it becomes
+    the old one, and what is used again moves over.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, capacity: int = CACHED_STRINGS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.capacity = capacity
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _learn(self, strings: set[bytes]) -> None:
+        """Bring all strings into the young generation."""
+        if len(self.young) > self.capacity:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for s in strings.difference(young):
+            if (ids := old.get(s)) is not None:
+                young[s] = ids
+            else:
+                new.append(s)
+        ended = [s for s in new if len(s) > 1 and s[-1] in _STOPS and 97 <= s[-2] <= 122]  # a-z
+        rest = set(new).difference(ended)
+        rest.update(core for s in ended if (core := s[:-1]) not in young)
+        rest = list(rest)
+        young.update(zip(rest, self._ids([s.decode() for s in rest]), strict=True))
+        stops = dict(zip(_STOPS, self._ids([chr(c) for c in _STOPS]), strict=True))
+        for s in ended:
+            young[s] = young[s[:-1]] + stops[s[-1]]
+
+    def forget(self) -> None:
+        """Let all strings go; workers that wait for a task hold none."""
+        self.young, self.old = {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if "<|" in t else t.encode().lower().split() for t in texts]
-        needed = set().union(*[s for s in split if s])
-        new = [s for s in needed if s not in self.known]
-        if len(self.known) + len(new) > CACHED_STRINGS:
-            self.known.clear()
-            new = list(needed)
-        self.known.update(zip(new, self._ids([s.decode() for s in new]), strict=True))
-        ids = self.known
+        self._learn(set().union(*[s for s in split if s]))
+        ids = self.young
         return [
             self._ids([text])[0] if strings is None else b"".join([ids[s] for s in strings])
             for text, strings in zip(texts, split, strict=True)
         ]
 
 
-def word_tokens(path: str) -> Encoder:
+def word_tokens(path: str) -> WordTokens:
     """The encoder of a vocabulary file; a worker loads it once."""
     loaded = worker_cache("tokens")
     if path not in loaded:
         loaded[path] = WordTokens(path)
-    return loaded[path].encode
+    return loaded[path]
 
 
 def _texts(column: pa.Array, size: int = 1 << 22) -> Iterator[list[str]]:
@@ -109,12 +136,12 @@ def token_pieces(
     width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_tokens(vocabulary)
+        tokens = word_tokens(vocabulary)
         for batch in batches:
             done = 0
             for texts in _texts(batch.column(1)):
                 at, piece, start, length, crc, kept = [], [], [], [], [], []
-                for i, ids in enumerate(encode(texts), done):
+                for i, ids in enumerate(tokens.encode(texts), done):
                     ids += last
                     for n, first in enumerate(range(0, len(ids), width)):
                         part = ids[first : first + width]
@@ -130,6 +157,7 @@ def token_pieces(
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                      pa.array(kept, pa.binary())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+        tokens.forget()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, ids binary")
