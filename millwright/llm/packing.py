@@ -28,6 +28,7 @@ from millwright.sources.scratch import materialize
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
+ENCODED_AT_ONCE = 5_000
 #: Pieces of one length that are ranked together.
 BUCKET_ROWS = 4_096
 #: Strings whose ids a worker remembers, in each of two generations.
@@ -62,8 +63,11 @@ class WordTokens:
         self.old: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        ids = []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):  # an encoding is far larger than its ids
+            found = self.tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
+            ids += [array("I", x.ids).tobytes() for x in found]
+        return ids
 
     def _learn(self, strings: set[bytes]) -> None:
         """Bring all strings into the young generation."""
@@ -107,7 +111,7 @@ def word_tokens(path: str) -> WordTokens:
     return loaded[path]
 
 
-def _texts(column: pa.Array, size: int = 1 << 22) -> Iterator[list[str]]:
+def _texts(column: pa.Array, size: int = 1 << 21) -> Iterator[list[str]]:
     """The texts in runs of some MB, null as empty."""
     run, held = [], 0
     for value in column:
