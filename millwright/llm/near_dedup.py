@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm.components import components
+from millwright.llm.text import releasing
 from millwright.sources.scratch import Scratch, materialize, scratch_tables
 
 SHINGLE_WORDS = 5
@@ -132,7 +133,7 @@ def _sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 names=["doc_id", "n_shingles", "digest", "small", "dealt"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(sketched, "doc_id long, n_shingles long, digest binary, small binary, dealt binary")
+    return rows.mapInArrow(releasing(sketched), "doc_id long, n_shingles long, digest binary, small binary, dealt binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -155,7 +156,7 @@ def _bands(classes: DataFrame) -> DataFrame:
                     [pa.array(bucket[full].view(np.int64)), pa.array(np.repeat(ids[at], n)[full.ravel()])],
                     names=["bucket", "id"])
 
-    return classes.select("id", "small", "dealt").mapInArrow(banded, "bucket long, id long")
+    return classes.select("id", "small", "dealt").mapInArrow(releasing(banded), "bucket long, id long")
 
 
 # ---- pairs ----------------------------------------------------------------
@@ -239,7 +240,7 @@ def _chosen(
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return rows.mapInArrow(choose, "a long, b long")
+    return rows.mapInArrow(releasing(choose), "a long, b long")
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
@@ -314,7 +315,7 @@ def _in_blocks(rows: DataFrame, payload: DataFrame, work: Callable, schema: str,
         columns = list(zip(*found, strict=True)) or [()] * len(fields)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=fields)
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(releasing(run), schema)
 
 
 def _likely(key: tuple, group: list[tuple]) -> list[tuple]:
@@ -385,7 +386,7 @@ def _sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) -> DataFr
 
     ids = members.select(F.col("id").alias("__member")).distinct()
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.join(ids, F.col("id") == F.col("__member"), "left_semi").mapInArrow(computed, "id long, shingles binary")
+    return rows.join(ids, F.col("id") == F.col("__member"), "left_semi").mapInArrow(releasing(computed), "id long, shingles binary")
 
 
 def _linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, tables: Scratch) -> DataFrame | None:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.text import worker_cache
+from millwright.llm.text import releasing, worker_cache
 from millwright.sources.scratch import materialize
 
 CAPACITY = 2048
@@ -32,7 +32,7 @@ ENCODED_AT_ONCE = 5_000
 #: Pieces of one length that are ranked together.
 BUCKET_ROWS = 4_096
 #: Strings whose ids a worker remembers, in each of two generations.
-CACHED_STRINGS = 500_000
+CACHED_STRINGS = 200_000
 
 _STOPS = b".,"
 
@@ -164,7 +164,7 @@ def token_pieces(
         tokens.forget()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, ids binary")
+        releasing(cut), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 # ---- plan -----------------------------------------------------------------

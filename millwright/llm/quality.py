@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.text import BLANKS
+from millwright.llm.text import BLANKS, releasing
 
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -115,7 +115,7 @@ def ledger(
     """
     read = [*keep, *([] if text in keep else [text])]
     measured = _numbered(docs, read).mapInArrow(
-        lambda batches: _measured(batches, read.index(text)),
+        releasing(lambda batches: _measured(batches, read.index(text))),
         ", ".join([f"__keep_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(read)]
                   + [f"__{m} bigint" for m in MEASURES]))
     bits = F.lit(0).cast("long")
