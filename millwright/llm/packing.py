@@ -28,11 +28,11 @@ from millwright.sources.scratch import materialize
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-ENCODED_AT_ONCE = 5_000
+ENCODED_AT_ONCE = 200_000
 #: Pieces of one length that are ranked together.
 BUCKET_ROWS = 4_096
 #: Strings whose ids a worker remembers, in each of two generations.
-CACHED_STRINGS = 200_000
+CACHED_STRINGS = 500_000
 
 _STOPS = b".,"
 
@@ -111,7 +111,7 @@ def word_tokens(path: str) -> WordTokens:
     return loaded[path]
 
 
-def _texts(column: pa.Array, size: int = 1 << 21) -> Iterator[list[str]]:
+def _texts(column: pa.Array, size: int = 1 << 22) -> Iterator[list[str]]:
     """The texts in runs of some MB, null as empty."""
     run, held = [], 0
     for value in column:
