@@ -28,7 +28,6 @@ from millwright.sources.scratch import materialize
 END = b"\r\n\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MEMBER = b"\x1f\x8b\x08"
-MAX_HEADER = 1 << 16
 RECORDS_PER_FILE = 2_000
 #: Bodies shorter than this are written again rather than referred to.
 MIN_REVISIT_BYTES = 100
@@ -108,35 +107,43 @@ class Gap:
 
 
 class Failed(ValueError):
-    """A check that a record or member did not pass."""
+    """A check that a record did not pass; version lines from its own to ``past`` do not pass either."""
+
+    def __init__(self, reason: str, past: int):
+        super().__init__(reason)
+        self.past = past
 
 
 def _parse(data: bytes, at: int, member: int) -> Record:
     version = VERSION.match(data, at)
     if version is None:
-        raise Failed("no version line")
-    head_end = data.find(END, version.end() - 2, at + MAX_HEADER)
-    if head_end < 0:
-        raise Failed("the header does not end")
+        raise Failed("no version line", at + 1)
     headers: dict[str, str] = {}
-    for line in data[version.end() : head_end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if line and not colon:
-            raise Failed("a header line without a colon")
-        headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+    lines: dict[str, int] = {}
+    line = version.end()
+    while (line_end := data.find(b"\r\n", line)) != line:  # to the blank line, however far
+        if line_end < 0:
+            raise Failed("the header does not end", len(data))
+        name, colon, value = data[line:line_end].partition(b":")
+        if not colon:
+            raise Failed("a header line without a colon", line)
+        key = name.decode("latin-1").strip().lower()
+        headers[key], lines[key] = value.decode("utf-8", "replace").strip(), line
+        line = line_end + 2
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
-        raise Failed("no content length")
-    start, end = head_end + len(END), head_end + len(END) + int(length)
+        raise Failed("no content length", line)
+    start = line + 2
+    end = start + int(length)
     if data[end : end + len(END)] != END:
-        raise Failed("truncated" if end > len(data) else "no end mark after the block")
+        raise Failed("truncated" if end > len(data) else "no end mark after the block", line)
     payload = data[start:end]
     if headers.get("content-type", "").startswith("application/http"):
         payload = payload.partition(END)[2]
     stated = headers.get("warc-payload-digest", "")
     if stated.startswith("sha256:") and headers.get("warc-type") != "revisit":
         if hashlib.sha256(payload).hexdigest() != stated.removeprefix("sha256:").lower():
-            raise Failed("payload digest differs")
+            raise Failed("payload digest differs", min(lines[k] for k in ("warc-payload-digest", "content-type") if k in lines))
     return Record(member, at, end + len(END), headers, payload)
 
 
@@ -147,13 +154,15 @@ def _records(data: bytes, member: int, whole: bool = True) -> Iterator[Record |
         try:
             record = _parse(data, at, member)
         except Failed as failure:
-            found = None
+            found, past = None, failure.past
             for version in VERSION.finditer(data, at + 1):  # after lost bytes not at a line's start
+                if version.start() < past:
+                    continue
                 try:
                     found = _parse(data, version.start(), member)
                     break
-                except Failed:
-                    continue
+                except Failed as later:
+                    past = later.past
             end = len(data) if found is None else found.start
             yield Gap(member, at, end, str(failure) if whole or found else "the member breaks off")
             if found is None:
@@ -185,7 +194,7 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
     Takes plain files and files of gzip members, one record each or many.  Offsets
     of a gap with ``member`` -1 are of the file, else of the inflated member.
     """
-    at, broken, reason = 0, -1, ""
+    at, broken, reason, past = 0, -1, "", 0
     while at < len(data):
         start = at
         if data.startswith(MEMBER, at):
@@ -212,10 +221,10 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
                 at = record.end
                 continue
             except Failed as failure:
-                wrong = str(failure)
+                wrong, past = str(failure), failure.past
         if broken < 0:
             broken, reason = at, wrong
-        at = _next_start(data, at + 1)
+        at = _next_start(data, at + 1, past)
     if broken >= 0:
         yield Gap(-1, broken, len(data), reason)
 
@@ -223,9 +232,12 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 
-def _next_start(data: bytes, at: int) -> int:
-    found = _START.search(data, at)
-    return len(data) if found is None else found.start()
+def _next_start(data: bytes, at: int, past: int) -> int:
+    """The next member, or version line from ``past`` on."""
+    for found in _START.finditer(data, at):
+        if found.start() >= past or data.startswith(MEMBER, found.start()):
+            return found.start()
+    return len(data)
 
 
 READ_SCHEMA = (

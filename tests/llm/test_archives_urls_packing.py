@@ -124,6 +124,30 @@ def test_pages_come_back(spark, folder, compression):
     assert bodies["<urn:page:11>"] == "é" * 60 and bodies["<urn:page:4>"] == ""
 
 
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_pages_with_long_urls_come_back(spark, folder, compression):
+    same = "<html>" + "same " * 40 + "</html>"
+    rows = [(1, "data:" + "x" * 100_000, same), (2, "http://a/" + "\t." * 50_000, same), (3, "u", same)]
+    table = spark.createDataFrame(rows, PAGES).coalesce(1)
+    found = archived(table, f"{folder}/long", compression=compression)
+    assert cases.rows_of(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) == \
+        expected_pages(table.collect())
+    read = {r.record_id: r for r in read_archives(spark, f"{folder}/long").collect()}
+    assert {r.kind for r in read.values()} == {"record"}
+    assert [len(read[f"<urn:page:{i}>"].target_uri) for i in (1, 2, 3)] == [100_005, 9 + 4 * 50_000, 1]
+
+
+def test_long_headers_are_found_behind_damage_and_many_version_lines_cost_no_more():
+    long = record(2).replace(b"WARC-Type", b"WARC-Target-URI: " + b"u" * 200_000 + b"\r\nWARC-Type", 1)
+    for hurt in (b"WARC/1.1\r\n" * 100_000, b"WARC/1.1\r\n" + b"a: WARC/1.1\r\n" * 100_000 + b"\r\n"):
+        for data in (record(1) + hurt + long, gzip.compress(record(1) + hurt + long)):
+            found = list(salvage(data))
+            assert ids(found) == ["1", "2"]
+            assert gaps(found) == [(len(record(1)), len(record(1)) + len(hurt))]
+    member = gzip.compress(record(3), mtime=0)
+    assert ids(salvage(b"WARC/1.1\r\na: " + member + b"\r\nno colon\r\n" + long)) == ["3", "2"]
+
+
 def test_no_pages(spark, folder):
     table = spark.createDataFrame([], PAGES)
     assert archived(table, f"{folder}/none").collect() == []
