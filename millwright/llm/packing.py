@@ -35,6 +35,8 @@ BUCKET_ROWS = 4_096
 CACHED_STRINGS = 500_000
 
 _STOPS = b".,"
+#: A-Z as A, bytes of U+0300 and above as their first, others as 0.
+_KINDS = bytes(65 if 65 <= c <= 90 else 0xCC if c >= 0xCC else 0 for c in range(256))
 
 
 # ---- tokens ---------------------------------------------------------------
@@ -45,6 +47,8 @@ class WordTokens:
 
     Such a tokenizer gives a text the ids of its blank-separated strings, one after
     the other, and lower-cases, so the ids of a lower-cased string are remembered.  It
+    composes first, and what a letter of A-Z and a mark behind it compose to depends
+    on the letter's case, so a string with such a pair keeps its case.  It
     also parts a letter from the full stop or comma behind it, so a word with one
     needs the word's ids only.  A text with ``<|`` may hold a special token, which
     counts case, and is encoded whole.
@@ -94,7 +98,7 @@ class WordTokens:
         self.young, self.old = {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if "<|" in t else t.encode().lower().split() for t in texts]
+        split = [None if "<|" in t else _strings(t) for t in texts]
         self._learn(set().union(*[s for s in split if s]))
         ids = self.young
         return [
@@ -103,6 +107,19 @@ class WordTokens:
         ]
 
 
+def _may_compose(data: bytes) -> bool:
+    """Is a letter of A-Z followed by a character of U+0300 or above?  Those below compose with nothing before them."""
+    return b"A\xcc" in data.translate(_KINDS)
+
+
+def _strings(text: str) -> list[bytes]:
+    """The blank-separated strings of a text, A-Z as a-z where the ids are the same."""
+    data = text.encode()
+    if text.isascii() or not _may_compose(data):
+        return data.lower().split()
+    return [s if _may_compose(s) else s.lower() for s in data.split()]
+
+
 def word_tokens(path: str) -> WordTokens:
     """The encoder of a vocabulary file; a worker loads it once."""
     loaded = worker_cache("tokens")

@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import random
+import string
+import unicodedata
 import zlib
 from pathlib import Path
 
@@ -11,7 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from millwright.llm.packing import best_fit, pack_documents, sequences, slots, token_pieces
+from millwright.llm.packing import WordTokens, best_fit, pack_documents, sequences, slots, token_pieces
 from millwright.llm.url_filter import BLOCK, UrlRule, find_rule, judge_urls, rule_trie, split_url
 from millwright.llm.warc import Gap, Record, archived, read_archives, salvage, write_archives
 from tests.conftest import SF_DIR
@@ -239,6 +241,18 @@ def test_pieces_have_the_tokenizers_ids(spark):
             assert (r.length, r.ids_crc32, bytes(r.ids)) == (len(own), zlib.crc32(own.tobytes()), own.tobytes())
 
 
+def test_letters_with_marks_have_the_tokenizers_ids():
+    """All of A-Z and a-z before every mark that composes with a letter, alone, two in a row and between others."""
+    marks = sorted({unicodedata.normalize("NFD", chr(c))[1:] for c in range(0xC0, 0x1F00)
+                    if unicodedata.normalize("NFD", chr(c))[0] in string.ascii_letters} - {""})
+    pairs = [letter + mark for letter in string.ascii_letters for mark in marks]
+    texts = ["H\u0331a", "J\u030ca", "T\u0308", "W\u030a", "Y\u030a", "H\u0323\u0331", "J\u0323\u030c", "\u00c9H\u0331A. H\u0331a,"]
+    texts += pairs + [f"Ab{p}Cd. \u00c9{p}, x{p}" for p in pairs] + [" ".join(pairs), " ".join(p + "a." for p in pairs)]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    for text, ids in zip(texts, WordTokens(VOCABULARY).encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_of_the_documents(spark):
     rows = cases.documents(spark, SF_DIR)
     table = clashing(docs(spark, rows)).repartition(5)
