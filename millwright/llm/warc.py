@@ -1,9 +1,11 @@
 """WARC archives: a writer for pages and a reader that salvages what is left of damaged files.
 
-The writer makes each record a string and lets Spark's text source write it: its
-line separator is the blank lines that end a record, so the files are plain WARC
-1.1, on whatever file system the path names, and a lost task's file is written
-again.  Files hold a bounded number of records.
+The writer lets Spark's text source write the records, on whatever file system the
+path names, and a lost task's file is written again.  Each record is a gzip member of
+its own, so damage costs the records it meets and no later ones; the text source's
+line separator is a member of no bytes.  Without compression a record is a string and
+the separator the blank lines that end it, which gives plain WARC 1.1.  Files hold a
+bounded number of records.
 
 The reader takes whole files, which that bound keeps small.  Where a gzip member or
 a record fails its checks (gzip's own, version line, length, end mark, payload
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millwright.llm.text import releasing
 from millwright.sources.scratch import materialize
 
 END = b"\r\n\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MEMBER = b"\x1f\x8b\x08"
+EMPTY_MEMBER = zlib.compress(b"", wbits=31)
 RECORDS_PER_FILE = 2_000
 #: Bodies shorter than this are written again rather than referred to.
 MIN_REVISIT_BYTES = 100
@@ -60,10 +64,22 @@ def _record(kind: Column, body: Column, date: str) -> Column:
         F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block)
 
 
+def _members(records: DataFrame) -> DataFrame:
+    """(record) as the bytes of a gzip member, in a string column as the text source takes them."""
+
+    def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [zlib.compress(value.as_py() + END, wbits=31) for value in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["record"])
+
+    packed = records.select(F.col("record").cast("binary")).mapInArrow(releasing(compressed), "record binary")
+    return packed.select(F.col("record").cast("string"))
+
+
 def write_archives(
     pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html",
     min_revisit_bytes: int = MIN_REVISIT_BYTES, date: str = "2000-01-01T00:00:00Z",
-    records_per_file: int = RECORDS_PER_FILE, compression: str = "gzip",
+    records_per_file: int = RECORDS_PER_FILE, compression: str = "member",
 ) -> None:
     """Write a record per row of ``pages`` below ``path``.
 
@@ -72,6 +88,10 @@ def write_archives(
     that id and carry the digest of the body.  Shorter bodies are all responses.
     A null body is empty, a null url too; a null id gives a record id without a
     number and never the smallest one.
+
+    ``compression``: 'member' makes each record a gzip member, 'none' leaves records
+    as they are, and any other codec of the text source compresses a file as a whole,
+    of which damage can cost all that follows.
     """
     rows = pages.select(
         F.col(page_id).alias("__id"), F.col(url).alias("__url"),
@@ -82,7 +102,10 @@ def write_archives(
     again = F.col("__first").isNotNull() & ~F.col("__id").eqNullSafe(F.col("__first"))
     record = F.when(again, _record(F.lit("revisit"), F.lit(""), date)).otherwise(
         _record(F.lit("response"), F.col("__html"), date))
-    joined.select(record.alias("record")).write.option("lineSep", END.decode()).option(
+    records, separator, encoding = joined.select(record.alias("record")), END.decode(), "utf-8"
+    if compression == "member":
+        records, separator, encoding, compression = _members(records), EMPTY_MEMBER.decode("latin-1"), "iso-8859-1", "none"
+    records.write.option("lineSep", separator).option("encoding", encoding).option(
         "compression", compression).option("maxRecordsPerFile", records_per_file).text(path)
 
 

@@ -150,6 +150,28 @@ def test_long_headers_are_found_behind_damage_and_many_version_lines_cost_no_mor
     assert ids(salvage(b"WARC/1.1\r\na: " + member + b"\r\nno colon\r\n" + long)) == ["3", "2"]
 
 
+def test_damage_to_an_archive_as_written_costs_one_record(spark, folder):
+    pick = random.Random(2)
+    rows = [(i, f"http://a/{i}", "".join(pick.choices("abcdefgh <>/", k=3_000)) + "\u00e9") for i in range(30)]
+    write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), f"{folder}/hurt")
+    file, = Path(f"{folder}/hurt").glob("part-*")
+    data = bytearray(file.read_bytes())
+    assert gzip.decompress(bytes(data)).count(b"WARC/1.1\r\n") == 30
+    whole = ids(salvage(bytes(data)))
+    assert sorted(map(int, whole)) == list(range(30)) and gaps(salvage(bytes(data))) == []
+    data[len(data) // 4] ^= 0xFF
+    left = ids(salvage(bytes(data)))
+    assert len(left) == 29 and left[-1] == whole[-1] and len(gaps(salvage(bytes(data)))) == 1
+
+
+def test_pages_come_back_from_members(spark, folder):
+    table = pages(spark)
+    found = archived(table, f"{folder}/members", records_per_file=4)
+    assert cases.rows_of(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) == \
+        expected_pages(table.collect())
+    assert read_archives(spark, f"{folder}/members").where("kind = 'gap'").count() == 0
+
+
 def test_no_pages(spark, folder):
     table = spark.createDataFrame([], PAGES)
     assert archived(table, f"{folder}/none").collect() == []
