@@ -350,14 +350,14 @@ def _joining(key: tuple, group: list[tuple]) -> list[tuple]:
     column = np.cumsum(shared) - 1
     kept = shared[place]
     owner, place = owner[kept], column[place[kept]]
-    both = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2 ** 24 are exact
+    both = np.zeros((len(sets), len(sets)), np.int64)
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
     for first in range(0, int(shared.sum()), 4096):
         a, b = np.searchsorted(place, [first, first + 4096])
         held = np.zeros((len(sets), 4096), np.float32)
         held[owner[a:b], place[a:b] - first] = 1
-        both += held @ held.T
+        both += (held @ held.T).astype(np.int64)  # up to 4096 each, which is exact
     linked = both * 100 >= PERCENT * (n[:, None] + n - both)
     root = {row[1]: row[1] for row in group}
 

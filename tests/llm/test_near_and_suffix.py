@@ -7,7 +7,7 @@ import pytest
 
 from millwright.llm.components import components
 from millwright.llm.near_dedup import (
-    DEALT_FROM, dealt_sketch, estimated_jaccard, near_dedup, shingle_set, small_sketch, without_near_copies,
+    _joining, _linked, DEALT_FROM, dealt_sketch, estimated_jaccard, near_dedup, shingle_set, small_sketch, without_near_copies,
 )
 from millwright.llm.suffix_dedup import repeated_passages
 from millwright.llm.suffix_sort import BlindTrie, sort_suffixes
@@ -54,6 +54,15 @@ def test_a_large_group_whose_copies_are_far_from_each_other(spark):
     assert found_near(docs(spark, rows)) == cases.near(rows)
 
 
+def test_joining_is_exact_at_the_threshold_of_very_long_documents():
+    """671,097 shared of 894,796 shingles are 75 %; one less is not."""
+    values = np.arange(894_796, dtype=np.uint64)
+    for shared, found in ((671_097, [(1, 2)]), (671_096, [])):
+        a, b = values[:shared], values
+        assert _joining((0, 0, 0), [(1, 1, a.tobytes()), (2, 2, b.tobytes())]) == found
+        assert _linked((a.tobytes(),), (b.tobytes(),)) == bool(found)
+
+
 def test_near_edges(spark):
     table = clashing(docs(spark, edge_rows()))
     rows = near_dedup(table).collect()
