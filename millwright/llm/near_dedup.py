@@ -437,11 +437,31 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame | None:
+    """``docs`` with __name: a number for each (id, text), in the order of ids; None if no id has several texts."""
+    digest = F.coalesce(F.md5(F.col(text)), F.lit(""))  # a null text is none of the empty ones
+    keys = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__key"), digest.alias("__digest"))
+    several = keys.groupBy("__key").agg(F.min("__digest").alias("lo"), F.max("__digest").alias("hi")).where("lo < hi")
+    if several.isEmpty():
+        return None
+    names = keys.distinct().orderBy("__key", "__digest").withColumn("__name", F.monotonically_increasing_id())
+    names = materialize(names, "near-names")
+    found = docs.join(names, (F.col(doc_id) == F.col("__key")) & (digest == F.col("__digest")))
+    return materialize(found.drop("__key", "__digest"), "near-named")
+
+
 def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component; of repeated rows of its id, one.
+    """``docs`` with one document of each component; of repeated rows of its id and text, one.
 
+    Rows of one id and different texts are documents of their own.  Of repeated rows
+    that differ in other columns, the one whose columns come first as JSON stays.
     Rows without an id stay.
     """
-    kept = materialize(near_dedup(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("__kept")), "near-kept")
-    stay = docs.join(kept, F.col(doc_id) == F.col("__kept"), "left_semi").dropDuplicates([doc_id])
-    return stay.unionByName(docs.where(F.col(doc_id).isNull()))
+    named = _named(docs, doc_id, text)
+    rows, name = (docs.where(F.col(doc_id).isNotNull()), doc_id) if named is None else (named, "__name")
+    kept = materialize(near_dedup(rows, name, text).where("kept").select(F.col("doc_id").alias("__kept")), "near-kept")
+    stay = rows.join(kept, F.col(name) == F.col("__kept"), "left_semi")
+    others = [F.col(c) for c in docs.columns if c not in (doc_id, text)]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    one = stay.groupBy(F.col(name).alias("__one")).agg(F.min_by(F.struct(*docs.columns), order).alias("__row"))
+    return one.select("__row.*").unionByName(docs.where(F.col(doc_id).isNull()))

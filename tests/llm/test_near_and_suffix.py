@@ -79,6 +79,29 @@ def test_near_edges(spark):
     assert near_dedup(docs(spark, [])).collect() == []
 
 
+def test_rows_of_one_id_and_different_texts_are_documents_of_their_own(spark):
+    original, unique, other = words(200, 5), words(200, 6), words(200, 7)
+    rows = [(3, original), (5, unique), (5, edited(original, 2, 1)), (5, None), (5, ""), (7, other), (7, edited(other, 2, 2)),
+            (8, edited(unique, 2, 3)), (9, words(200, 8), "b"), (9, words(200, 8), "a"), (9, words(200, 8), "c"), (None, unique)]
+    left = without_near_copies(docs(spark, rows).repartition(7))
+    found = sorted(((r.doc_id, r.text, r.source) for r in left.collect()), key=repr)
+    seven = [x for x in found if x[0] == 7]
+    assert len(seven) == 1 and seven[0][1] in (rows[5][1], rows[6][1])
+    assert [x for x in found if x[0] != 7] == sorted([
+        (3, original, "src0"), (5, unique, "src0"), (5, None, "src0"), (5, "", "src0"),
+        (9, words(200, 8), "a"), (None, unique, "src0")], key=repr)
+    again = without_near_copies(docs(spark, rows[::-1]).repartition(3))
+    assert sorted(((r.doc_id, r.text, r.source) for r in again.collect()), key=repr) == found
+
+
+def test_of_repeated_rows_one_stays_in_a_fixed_order(spark):
+    rows = [(9, words(200, 8), s) for s in "dbac"] + [(10, words(200, 9), "x")]
+    for table in (docs(spark, rows).coalesce(1), docs(spark, rows[::-1]).coalesce(1)):
+        left = without_near_copies(table)
+        assert left.columns == table.columns
+        assert sorted((r.doc_id, r.source) for r in left.collect()) == [(9, "a"), (10, "x")]
+
+
 def test_sketches_estimate_jaccard():
     for n, make, buckets in ((400, small_sketch, 1), (6_000, dealt_sketch, 128)):
         a, b = shingle_set(words(n, 1, 10**6).encode()), shingle_set(edited(words(n, 1, 10**6), n // 50, 3).encode())
