@@ -1,9 +1,12 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
 from check import compare, sql_connection
+from workload import queries
 from workload.oracles import ORACLES
 from tests.conftest import SF_DIR
 
@@ -31,3 +34,12 @@ def test_entry(spark):
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert SLOW <= set(contract.queries())
+
+
+def test_short_rows_are_written_by_as_many_tasks_as_there_are(spark, folder):
+    rows = spark.range(0, 40, 1, 4).selectExpr(
+        *[f"case when id % 7 = 0 then 'n/a' else cast(id + {i} as string) end as `{h}`" for i, h in enumerate(queries._HEADERS)])
+    queries._write_short(rows, f"{folder}/in")
+    files = [path.read_text().splitlines() for path in Path(f"{folder}/in").glob("part-*")]
+    assert len(files) == 4 and {f[0] for f in files} == {",".join(queries._HEADERS)}
+    assert sorted(line for f in files for line in f[1:]) == sorted(",".join(r[:-1]) for r in rows.collect())

@@ -219,15 +219,19 @@ def _spoilt(spark, sf_dir) -> DataFrame:
         .otherwise(F.col(TARGET).cast("string")).alias("Engine Condition"))
 
 
+def _write_short(rows: DataFrame, inbox: str) -> None:
+    """Lines that lack their last cell, below the full header, in a file per task."""
+    cells = F.concat_ws(",", *[F.col(h) for h in _HEADERS[:-1]])
+    rows.select(cells.alias(",".join(_HEADERS))).write.mode("append").option("header", True).option(
+        "sep", "\x01").csv(inbox)  # the line is one cell
+
+
 def _ingest_spoilt(spark, sf_dir) -> DatasetStore:
     """Bad labels, unreadable sensors, and files of rows that lack their last cell."""
     rows, inbox = _spoilt(spark, sf_dir), fresh_path(spark, "inbox")
     short = F.col("src_key") % 43 == 0
     rows.where(~short).select(*_HEADERS).write.option("header", True).csv(inbox)
-    cells = F.concat_ws(",", *[F.col(h) for h in _HEADERS[:-1]])
-    lines = rows.where(short).select(cells.alias("line"))
-    header = spark.createDataFrame([(",".join(_HEADERS),)], "line string")
-    header.union(lines).coalesce(1).write.mode("append").text(inbox)  # one file, the header first
+    _write_short(rows.where(short), inbox)
     store = DatasetStore(spark, fresh_path(spark, "store"))
     ingest(store, inbox, fx.file_schema())
     return store
