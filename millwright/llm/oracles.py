@@ -203,6 +203,57 @@ from (
 where n = 1
 """
 
+TRIE = """
+with t as (
+  select conv_id as c, octet_length(encode(coalesce(text, '')))::bigint as b, turn,
+    sha256(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, '')))[:32] as dg
+  from conversations where conv_id is not null),
+o as (select c, b, dg, row_number() over (partition by c order by turn nulls first, dg) - 1 as i from t),
+h as (
+  select c, c - (c % 5 + 5) % 5 as base, n,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda d: ord(d)::bigint)),
+      lambda x, y: list_reduce(list_prepend(xor(x, y), range(8)),
+        lambda z, k: case when z & 1 = 1 then xor(z >> 1, 3988292384::bigint) else z >> 1 end)), 4294967295::bigint) % 9 as h
+  from (select c, count(*) as n from o group by c)),
+g as (select h.c, h.base, h.h, least(h.h, coalesce(f.n, 0)) as taken from h left join h as f on f.c = h.base),
+s as (
+  select g.c, o.i as i, dg, b from g join o on o.c = g.base and o.i < g.h
+  union all
+  select g.c, g.taken + o.i - g.h as i, dg, b from g join o on o.c = g.c and o.i >= g.h),
+m as (
+  select c, i + 1 as d, b, sha256(string_agg(dg, '') over (partition by c order by i)) as k from s
+  union all
+  select c, 0 as d, 0 as b, sha256('') as k from g),
+p as (
+  select *, lag(k) over (partition by c order by d) as pk, lead(k) over (partition by c order by d) is null as ending from m),
+n as (
+  select k, any_value(pk) as pk, any_value(d) as d, min(c) as c, count(*) as n, any_value(b) as b,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ending), '')) as ends_sha256
+  from p group by k),
+w as (select pk as k, count(*) as n_children from n where pk is not null group by pk),
+v as (
+  select p.k, sum(case when w.k is null then 1 else 0 end) as n_leaves, sum((n.n - 1) * n.b) as saved_tokens
+  from n left join w on w.k = n.k join p on p.c = n.c and p.d <= n.d group by p.k)
+select n.c as conv_id, n.d::bigint as depth, f.c as parent_conv_id, n.n::bigint as n_convs,
+  coalesce(w.n_children, 0)::bigint as n_children, v.n_leaves::bigint as n_leaves, v.saved_tokens::bigint as saved_tokens, n.ends_sha256
+from n join v on v.k = n.k left join w on w.k = n.k left join n as f on f.k = n.pk
+"""
+
+TOPK = """
+with v as (
+  select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(64 * x::double)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+p as (
+  select q.r, q.vec_id as query_id, c.vec_id,
+    coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0)::bigint as score
+  from v as q join v as c on q.r <> c.r and q.vec_id % 20 = 0)
+select query_id, rank, vec_id, score
+from (select *, (row_number() over (partition by r order by score desc, vec_id))::int as rank from p)
+where rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mix_sources": MIX,
     "op2_quality_rules": QUALITY,
@@ -211,4 +262,6 @@ ORACLES: dict[str, str] = {
     "op7_warc": WARC,
     "op8_secret_scan": SECRETS,
     "op10_url_filter": URLS,
+    "op11_conversation_trie": TRIE,
+    "op13_topk_search": TOPK,
 }

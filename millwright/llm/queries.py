@@ -13,15 +13,20 @@ from millwright.llm.line_dedup import line_dedup
 from millwright.llm.mixing import words_taken
 from millwright.llm.near_dedup import near_dedup
 from millwright.llm.packing import pack_documents
+from millwright.llm.prefix_trie import conversation_trie
 from millwright.llm.quality import apply_policy, ledger
 from millwright.llm.secret_scan import scan_secrets
 from millwright.llm.suffix_dedup import repeated_passages
 from millwright.llm.text import table
+from millwright.llm.token_alignment import align_tokens
+from millwright.llm.topk_search import top_scores
 from millwright.llm.url_filter import judge_urls
 from millwright.llm.warc import archived
 from millwright.sources.scratch import fresh_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,10 +79,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+
+
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_scores(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_quality_rules, op3_line_dedup, op4_suffix_dedup, op5_near_dedup, op6_exact_dedup, op7_warc,
-        op8_secret_scan, op9_packing, op10_url_filter,
+        op8_secret_scan, op9_packing, op10_url_filter, op11_conversation_trie, op12_token_alignment, op13_topk_search,
     )
 }
