@@ -27,6 +27,8 @@ QUERY_ROWS = 512
 #: Candidates of a block, and dimensions that are added up before the bound is asked again.
 BLOCK_ROWS = 1_024
 BLOCK_DIMS = 16
+#: Candidates that pass a group in one task, at least: every task keeps lists of its own.
+SHARE_ROWS = 4_096
 #: Share of open pairs below which they are gathered one by one.
 SPARSE = 0.02
 #: Whole numbers below this are exact in a double.
@@ -249,7 +251,7 @@ def top_scores(vectors: DataFrame, asks: Column, k: int = 20, vec_id: str = "vec
         whole_vectors(vectors.where(asks), vec_id, embedding).withColumn("query_row", F.monotonically_increasing_id()), "topk-queries")
     groups = max(1, -(-queries.count() // GROUP_QUERIES))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    shares = -(-tasks // groups)
+    shares = max(1, min(-(-tasks // groups), -(-vectors.count() // SHARE_ROWS)))
     norm = F.aggregate("vector", F.lit(0.0), lambda sum_, x: sum_ + x * x)
     group = F.pmod(F.xxhash64("query_row"), F.lit(groups))
     asked = queries.select(

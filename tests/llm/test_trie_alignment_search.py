@@ -243,7 +243,7 @@ def vectors(seed, n=700, dims=24):
 @pytest.mark.parametrize("small", [False, True])
 def test_search_is_that_of_brute_force(spark, monkeypatch, small):
     if small:
-        for name, value in (("GROUP_QUERIES", 7), ("QUERY_ROWS", 3), ("BLOCK_ROWS", 16), ("BLOCK_DIMS", 4)):
+        for name, value in (("GROUP_QUERIES", 7), ("QUERY_ROWS", 3), ("BLOCK_ROWS", 16), ("BLOCK_DIMS", 4), ("SHARE_ROWS", 100)):
             monkeypatch.setattr(topk_search, name, value)
         monkeypatch.setattr(topk_search, "SPARSE", 0.5)
     rows = vectors(3)
