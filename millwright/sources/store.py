@@ -3,6 +3,7 @@
 Layout below ``root``::
 
     rows/<segment>/        parquet, never changed once committed
+    filters/<segment>/     Bloom filter of the segment's rows: a bucket a row, with its file
     rejects/tag=<tag>/     rows that a batch could not use, with their reason
     splits/v=<version>/    parquet partitioned by ``split``
     log/                   one JSON row per committed version
@@ -12,7 +13,9 @@ A version is a list of segments.  Merging a batch into a table that is known to
 be free of duplicates adds one segment with the new rows only, so the cost of
 writing follows the batch and not the table.  Segments of similar size are
 compacted when there are several, so a row is written again once per size tier
-and not once per batch.  The log row is written last: data without a log row is
+and not once per batch.  Rows of one filter bucket lie in one file, so a batch that
+is merged reads the filters, some two bytes a row, and of the rows only the files
+that may hold some of its own.  The log row is written last: data without a log row is
 invisible and is overwritten by the retry.  One writer at a time; readers are
 never disturbed until :meth:`DatasetStore.vacuum` deletes what old versions read.
 """
@@ -28,15 +31,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millwright.operators.merging import merge_distinct, new_rows, union_all
+from millwright.operators import bloom
+from millwright.operators.merging import absent_rows, distinct_batch, merge_distinct
 from millwright.sources.readings import SPLIT
-from millwright.sources.scratch import children, discard, size_on_disk
+from millwright.sources.scratch import Scratch, children, discard, scratch_tables, size_on_disk
 
 #: Segments of one size tier that are compacted into one; a tier is this many times the one below.
 TIER_SEGMENTS = 8
 #: Segments below this size are one tier.
 TIER_BYTES = 1 << 20
 
+#: Files of a segment that are named one by one; of more, all are read.
+LISTED_FILES = 1_000
+
 CREATE, MERGE, COMPACT = "create", "merge", "compact"
 
 _LOG = T.StructType([
@@ -46,7 +53,13 @@ _LOG = T.StructType([
     T.StructField("is_distinct", T.BooleanType()),
     T.StructField("tag", T.StringType()),
     T.StructField("kind", T.StringType()),
+    T.StructField("filters", T.ArrayType(T.StructType([
+        T.StructField("segment", T.StringType()),
+        T.StructField("buckets", T.LongType()),
+        T.StructField("kinds", T.MapType(T.StringType(), T.StringType())),
+    ]))),
 ])
+_FILTER = "bucket long, file string, rows long, words array<bigint>"
 _REJECTS = "file string, raw string, reason string, tag string"
 _SPLIT_LOG = T.StructType([
     T.StructField("version", T.LongType()),
@@ -54,6 +67,21 @@ _SPLIT_LOG = T.StructType([
 ])
 
 
+@dataclass(frozen=True)
+class Filter:
+    segment: str
+    buckets: int
+    kinds: dict[str, str]  # see millwright.operators.bloom
+
+
+@dataclass(frozen=True)
+class Holding:
+    """Where a version may hold some of the rows that were asked about."""
+
+    paths: tuple[str, ...]  # files, and folders of segments without a filter for such rows
+    hits: DataFrame | None  # (hash) of the rows that may be there; None: any of them
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
@@ -61,6 +89,7 @@ class Version:
     schema: T.StructType
     is_distinct: bool
     tag: str
+    filters: tuple[Filter, ...] = ()  # of the segments that have one
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -93,7 +122,8 @@ class DatasetStore:
             return None
         row = last[0]
         schema = T.StructType.fromJson(json.loads(row.row_schema))
-        return Version(row.version, tuple(row.segments), schema, row.is_distinct, row.tag)
+        filters = tuple(Filter(f.segment, f.buckets, f.kinds) for f in row.filters or ())
+        return Version(row.version, tuple(row.segments), schema, row.is_distinct, row.tag, filters)
 
     def has_merged(self, tag: str) -> bool:
         return not self.versions().where(F.col("tag") == tag).isEmpty()
@@ -109,8 +139,8 @@ class DatasetStore:
     def create(self, rows: DataFrame, dedupe: bool = False, tag: str = "create") -> Version:
         """Commit ``rows`` as the next version, replacing the earlier contents."""
         if dedupe:
-            rows = rows.dropDuplicates()
-        return self._commit_segment(rows, (), dedupe, tag, CREATE)
+            return self._commit_segment(rows.dropDuplicates(), (), True, tag, CREATE, rows.count())
+        return self._commit_segment(rows, (), False, tag, CREATE)
 
     def merge(self, batch: DataFrame, tag: str) -> Version:
         """Commit current rows and ``batch`` without duplicate rows.
@@ -121,35 +151,97 @@ class DatasetStore:
         """
         current = self.current()
         if current is None:
-            return self._commit_segment(batch.dropDuplicates(), (), True, tag, MERGE)
+            return self._commit_segment(batch.dropDuplicates(), (), True, tag, MERGE, batch.count())
         if self.has_merged(tag):
             return current
         base = self.read(current)
         if not current.is_distinct:
-            return self._commit_segment(merge_distinct(base, batch), (), True, tag, MERGE)
-        added = new_rows(base, batch, base_is_distinct=True)
-        version = self._commit_segment(added, current.segments, True, tag, MERGE)
+            most = base.count() + batch.count()
+            return self._commit_segment(merge_distinct(base, batch), (), True, tag, MERGE, most)
+        with scratch_tables(self.spark) as tables:
+            rows = tables.write(distinct_batch(base, batch), "distinct-batch")
+            added = self._absent(current, rows, tables)
+            version = self._commit_segment(added, current.segments, True, tag, MERGE, rows.count())
         return self.compact() or version
 
+    # ---- what a batch has to be held against ----------------------------
+
+    def holding(self, version: Version, rows: DataFrame, tables: Scratch) -> Holding:
+        """The files of ``version`` that may hold some of ``rows``, by the filters of its segments."""
+        asked = [f for f in version.filters if bloom.comparable(f.kinds, bloom.kinds(rows.schema))]
+        known = {f.segment for f in asked}
+        rest = tuple(f"{self.root}/rows/{s}" for s in version.segments if s not in known)
+        if not asked:
+            return Holding(rest, None)
+        filters = self.spark.read.schema(_FILTER).parquet(*[f"{self.root}/filters/{f.segment}" for f in asked])
+        filters = filters.select(
+            F.regexp_extract(F.col("_metadata.file_path"), "/filters/([^/]+)/", 1).alias("segment"), "bucket", "file", "words")
+        hash_ = F.col("__hash")
+        # segments with as many buckets are asked with one row
+        sizes = sorted({f.buckets for f in asked})
+        size = F.create_map(*[F.lit(x) for f in asked for x in (f.segment, f.buckets)])
+        hashed = rows.select(bloom.row_hash(rows.schema).alias("__hash")).distinct()
+        placed = hashed.select("__hash", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("__buckets")).withColumn(
+            "__bucket", bloom.bucket(hash_, F.col("__buckets")))
+        met = placed.join(
+            filters.withColumn("__size", F.element_at(size, F.col("segment"))),
+            (F.col("__bucket") == F.col("bucket")) & (F.col("__buckets") == F.col("__size")))
+        hits = tables.write(met.where(bloom.may_hold(hash_)).select("__hash", "segment", "file").distinct(), "filter-hits")
+        many = hits.groupBy("segment").agg(F.countDistinct("file").alias("n")).collect()
+        few = [r.segment for r in many if r.n <= LISTED_FILES]
+        paths = [f"{self.root}/rows/{r.segment}" for r in many if r.n > LISTED_FILES]
+        listed = hits.where(F.col("segment").isin(few)).select("segment", "file").distinct().collect() if few else []
+        paths += [f"{self.root}/rows/{r.segment}/{r.file}" for r in listed]
+        return Holding((*rest, *sorted(paths)), None if rest else hits.select("__hash").distinct())
+
+    def _absent(self, version: Version, rows: DataFrame, tables: Scratch) -> DataFrame:
+        """The distinct, written ``rows`` that ``version`` does not have."""
+        found = self.holding(version, rows, tables)
+        if not found.paths:
+            return rows
+        stored = self.spark.read.schema(version.schema).parquet(*found.paths)
+        if found.hits is None:
+            return absent_rows(stored, rows)
+        marked = rows.withColumn("__row", bloom.row_hash(rows.schema))
+        same = F.col("__row") == F.col("__hash")
+        doubtful = tables.write(marked.join(found.hits, same, "left_semi").drop("__row"), "doubtful-rows")
+        sure = marked.join(found.hits, same, "left_anti").drop("__row")
+        return sure.unionByName(absent_rows(stored, doubtful))
+
     def _commit_segment(
-        self, rows: DataFrame, kept: tuple[str, ...], is_distinct: bool, tag: str, kind: str
+        self, rows: DataFrame, kept: tuple[str, ...], is_distinct: bool, tag: str, kind: str, most: int = 0
     ) -> Version:
+        """Write ``rows``, ``most`` at most, as a segment and commit it behind those ``kept``."""
         current = self.current()
         number = 0 if current is None else current.number + 1
         segment = f"{number:08d}-{tag}"
         path = f"{self.root}/rows/{segment}"
+        buckets = bloom.buckets_for(most)
+        if is_distinct:
+            rows = rows.repartition(bloom.bucket(bloom.row_hash(rows.schema), buckets))
         rows.write.mode("overwrite").parquet(path)
         schema = _nullable(rows.schema)
+        filters = tuple(f for f in (current.filters if current else ()) if f.segment in kept)
         if kept and self.spark.read.schema(schema).parquet(path).isEmpty():
             discard(self.spark, path)
             schema, segments = current.schema, kept
         else:
             segments = (*kept, segment)
+            if is_distinct:
+                self._write_filter(segment, schema, buckets)
+                filters = (*filters, Filter(segment, buckets, bloom.kinds(schema)))
         append_log(
             self.spark, f"{self.root}/log", _LOG,
-            (number, list(segments), schema.json(), is_distinct, tag, kind),
+            (number, list(segments), schema.json(), is_distinct, tag, kind, [(f.segment, f.buckets, f.kinds) for f in filters]),
         )
-        return Version(number, segments, schema, is_distinct, tag)
+        return Version(number, segments, schema, is_distinct, tag, filters)
+
+    def _write_filter(self, segment: str, schema: T.StructType, buckets: int) -> None:
+        """The filter of a segment that is written, from its files."""
+        stored = self.spark.read.schema(schema).parquet(f"{self.root}/rows/{segment}")
+        named = stored.withColumn("file", F.col("_metadata.file_name"))
+        found = bloom.build(named, bloom.row_hash(schema), buckets, by=("file",))
+        found.select("bucket", "file", "rows", "words").write.mode("overwrite").parquet(f"{self.root}/filters/{segment}")
 
     def compact(self, tier_segments: int = TIER_SEGMENTS) -> Version | None:
         """Commit a version in which a tier's small segments are one; None if no tier has enough.
@@ -167,7 +259,7 @@ class DatasetStore:
         merged = tiers[full[0]]
         rows = self.spark.read.schema(current.schema).parquet(*[f"{self.root}/rows/{s}" for s in merged])
         kept = tuple(s for s in current.segments if s not in set(merged))
-        return self._commit_segment(rows, kept, current.is_distinct, "compact", COMPACT)
+        return self._commit_segment(rows, kept, current.is_distinct, "compact", COMPACT, rows.count())
 
     def vacuum(self, keep_versions: int = 2, keep_splits: int = 2) -> int:
         """Delete segments and splits that only older versions use; returns how many.
@@ -185,6 +277,9 @@ class DatasetStore:
                 stale.append(path)
         for path in stale:
             discard(self.spark, path)
+        for path in children(self.spark, f"{self.root}/filters"):
+            if path.rsplit("/", 1)[1] not in used:
+                discard(self.spark, path)
         return len(stale)
 
     # ---- rejected rows ----------------------------------------------------

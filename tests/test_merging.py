@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from millwright.operators import merging
+from millwright.operators import bloom, merging
 
 NAN = float("nan")
 SCHEMA = "a double, b string"
@@ -75,3 +75,31 @@ def test_small_batch_leaves_the_base_unshuffled(spark):
     for step, kind in ((known, "LeftSemi"), (fresh, "LeftAnti")):
         plan = step._jdf.queryExecution().executedPlan().toString()
         assert f"{kind}, BuildRight" in plan and "hashpartitioning" not in plan
+
+
+def test_a_large_batch_meets_only_what_its_filter_lets_through(spark):
+    base = spark.range(300_000).selectExpr("cast(id as double) a", "if(id % 5 = 0, null, concat('r', id)) b")
+    batch = spark.range(299_000, 301_000).selectExpr("cast(id as double) a", "if(id % 5 = 0, null, concat('r', id)) b").repartition(3)
+    passed = merging.through_filter(base, batch, merging.FILTER_BYTES)
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan  # the base is scanned where it lies
+    found = bag(passed)
+    assert 1_000 <= sum(found.values()) <= 2 * batch.count()
+    assert bag(batch.where("a < 300000")).keys() <= found.keys()
+    fresh = merging.new_rows(base, batch, base_is_distinct=True, broadcast_bytes=merging.size_in_bytes(batch) // 2)
+    assert bag(fresh) == bag(batch.where("a >= 300000"))
+    assert merging.through_filter(base, batch, 1) is None
+    assert merging.new_rows(base, batch.limit(0), True, -1).count() == 0
+    assert merging.new_rows(base.limit(0), batch, True, 0).count() == 2_000
+
+
+def test_filters_hold_every_row_and_few_others(spark):
+    rows = spark.range(40_000).selectExpr("id", "cast(id % 13 as float) f", "cast(if(id % 3 = 0, null, id) as string) s")
+    for hashes in (1, bloom.HASHES, bloom.MOST_HASHES):
+        n = bloom.buckets_for(40_000, 2 * hashes)
+        bits = bloom.build(rows, bloom.row_hash(rows.schema), n, hashes)
+        asked = rows.unionByName(rows.selectExpr("id + 100000 id", "f", "s")).withColumn("h", bloom.row_hash(rows.schema))
+        met = asked.withColumn("bucket", bloom.bucket(F.col("h"), n)).join(bits, "bucket").where(bloom.may_hold(F.col("h"), hashes))
+        assert met.where("id < 100000").count() == 40_000
+        assert met.where("id >= 100000").count() <= (40_000 if hashes == 1 else 100)
+        assert bits.agg(F.sum("rows")).first()[0] == 40_000

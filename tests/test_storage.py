@@ -1,13 +1,16 @@
 from collections import Counter
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
 
 from millwright.operators.evaluation import Flags
+from millwright.operators.merging import distinct_batch
 from millwright.plans.preparation import prepare
 from millwright.schema import FEATURES, SENSORS, TARGET
 from millwright.sources import readings as files
+from millwright.sources.scratch import scratch_tables
 from millwright.sources.store import DatasetStore
 from millwright.streaming.ingest import Ingested, header_lines, ingest, read_csv_stream
 
@@ -133,6 +136,83 @@ def test_a_batch_of_known_rows_adds_no_segment(spark, folder):
     assert len(list(Path(f"{store.root}/rows").iterdir())) == 1
 
 
+# ---- filters of segments ------------------------------------------------------
+
+
+def held(store, rows):
+    """Segments and files that a merge of ``rows`` would read."""
+    with scratch_tables(store.spark) as tables:
+        written = tables.write(distinct_batch(store.read(), rows), "rows")
+        return [p.removeprefix(f"{store.root}/rows/").split("/") for p in store.holding(store.current(), written, tables).paths]
+
+
+def test_a_merge_reads_only_what_may_hold_its_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(DatasetStore.compact, "__defaults__", (100,))
+    store = DatasetStore(spark, f"{folder}/store")
+    for n in range(8):
+        store.merge(table(spark, range(1_000 * n, 1_000 * n + 500)), f"t-{n}")
+    assert len(store.current().segments) == 8
+    batch = table(spark, [3_007, 3_007, *range(20_000, 20_300)])
+    assert {segment for segment, *_ in held(store, batch)} == {store.current().segments[3]}
+    assert held(store, table(spark, [-5])) == []
+    store.merge(batch, "t-8")
+    assert store.read().count() == 8 * 500 + 300
+    assert bag(store.read()) == bag(table(spark, [*(x for n in range(8) for x in range(1_000 * n, 1_000 * n + 500)), *range(20_000, 20_300)]))
+
+
+def test_of_a_segment_only_files_that_may_hold_a_row_are_read(spark, folder):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = DatasetStore(spark, f"{folder}/store")
+        store.create(table(spark, range(30_000)), dedupe=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (segment, files), = segment_files(store).items()
+    assert len(files) > 1
+    (found,) = held(store, table(spark, [17]))
+    assert found[0] == segment
+    assert spark.read.parquet(f"{store.root}/rows/{'/'.join(found)}").where("engine_rpm = 17").count() == 1
+    monkey = store.merge(table(spark, [17, 29_999, 30_000]), "t-0")
+    assert len(monkey.segments) == 2 and store.read().count() == 30_001
+
+
+def test_many_hit_files_are_read_as_their_segment(spark, folder, monkeypatch):
+    monkeypatch.setattr("millwright.sources.store.LISTED_FILES", 0)
+    store = DatasetStore(spark, f"{folder}/store")
+    store.create(table(spark, [1, 2]), dedupe=True)
+    assert held(store, table(spark, [2])) == [list(store.current().segments)]
+    assert store.merge(table(spark, [2]), "t-0").segments == store.current().segments
+
+
+def test_filters_know_rows_across_schemas(spark, folder):
+    """Absent columns are NULL; a column of another kind is not asked about but read."""
+    store = DatasetStore(spark, f"{folder}/store")
+    store.create(spark.createDataFrame([(0.0, 1), (None, 2), (float("nan"), 3)], "x double, y int"), dedupe=True)
+    same = spark.createDataFrame([(3, float("nan"), None), (1, -0.0, None), (2, None, None), (2, None, "u")], "Y bigint, X double, unit string")
+    assert len(held(store, same)) == 1
+    store.merge(same, "t-0")
+    assert store.read().count() == 4 and store.read().where("unit = 'u'").count() == 1
+    other = DatasetStore(spark, f"{folder}/other")
+    other.create(spark.createDataFrame([(5,), (6,)], "x int"), dedupe=True)
+    as_double = spark.createDataFrame([(5.0,), (7.5,)], "x double")
+    assert held(other, as_double) == [list(other.current().segments)]
+
+
+def test_a_store_without_filters_is_read_whole(spark, folder):
+    store = DatasetStore(spark, f"{folder}/store")
+    store.create(table(spark, [1, 2]), dedupe=True)
+    current = store.current()
+    bare = replace(current, filters=())
+    monkey = store.current
+    store.current = lambda: bare
+    try:
+        assert held(store, table(spark, [9])) == [list(current.segments)]
+        assert store.merge(table(spark, [2, 9]), "t-0").number == 1
+    finally:
+        store.current = monkey
+    assert store.read().count() == 3 and len(store.current().filters) == 1
+
+
 # ---- headers and bad rows ---------------------------------------------------
 
 

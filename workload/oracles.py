@@ -359,3 +359,5 @@ from scored s join advice_lines a on s.prediction = a.prediction""",
 }
 ORACLES["new_rows_distinct_base"] = ORACLES["new_rows"]
 ORACLES["stream_ingest_incremental"] = ORACLES["stream_ingest_merge"]
+ORACLES["new_rows_large_batch"] = ORACLES["new_rows"]
+ORACLES["stream_ingest_segments"] = ORACLES["stream_ingest_merge"]

@@ -159,6 +159,26 @@ def new_rows_distinct_base(spark, sf_dir):
     return merging.new_rows(stored, batch, base_is_distinct=True)
 
 
+@query
+def new_rows_large_batch(spark, sf_dir):
+    """A batch beyond the broadcast: the base is scanned through the batch's Bloom filter."""
+    base, batch = fx.base_and_batch(spark, sf_dir)
+    stored = materialize(base.dropDuplicates(), "distinct-base")
+    return merging.new_rows(stored, batch, base_is_distinct=True, broadcast_bytes=0)
+
+
+@query
+def stream_ingest_segments(spark, sf_dir):
+    """Three batches, of which each meets only the files that may hold its rows."""
+    base, batch = fx.base_and_batch(spark, sf_dir)
+    store = DatasetStore(spark, fresh_path(spark, "store"))
+    third = F.col("lub_oil_temp").cast("int") % 3
+    for digit in range(3):
+        store.merge(base.where(third == digit), f"part-{digit}")
+    store.merge(batch, "batch")
+    return store.read()
+
+
 def _written_inbox(spark, rows: DataFrame) -> str:
     inbox = fresh_path(spark, "inbox")
     files.write_csv(rows, inbox)
