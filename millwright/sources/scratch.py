@@ -14,7 +14,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -115,6 +116,11 @@ def size_on_disk(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(target).getLength()
 
 
+def as_named(path: Column) -> Column:
+    """A path of ``_metadata``, which comes percent-encoded, as it is in the file system."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """What a folder holds; nothing if there is no such folder."""
     system, target = _located(spark, path)

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from millwright.operators import bloom
 from millwright.operators.merging import absent_rows, distinct_batch, merge_distinct
 from millwright.sources.readings import SPLIT
-from millwright.sources.scratch import Scratch, children, discard, scratch_tables, size_on_disk
+from millwright.sources.scratch import Scratch, as_named, children, discard, scratch_tables, size_on_disk
 
 #: Segments of one size tier that are compacted into one; a tier is this many times the one below.
 TIER_SEGMENTS = 8
@@ -175,7 +175,7 @@ class DatasetStore:
             return Holding(rest, None)
         filters = self.spark.read.schema(_FILTER).parquet(*[f"{self.root}/filters/{f.segment}" for f in asked])
         filters = filters.select(
-            F.regexp_extract(F.col("_metadata.file_path"), "/filters/([^/]+)/", 1).alias("segment"), "bucket", "file", "words")
+            F.regexp_extract(as_named(F.col("_metadata.file_path")), ".*/filters/([^/]+)/", 1).alias("segment"), "bucket", "file", "words")
         hash_ = F.col("__hash")
         # segments with as many buckets are asked with one row
         sizes = sorted({f.buckets for f in asked})

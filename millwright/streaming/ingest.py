@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,12 +21,15 @@ from pyspark.sql import types as T
 
 from millwright.schema import FEATURES, HEADERS, TARGET, header_schema
 from millwright.sources.readings import MISSING_TEXTS, parse_text_columns
-from millwright.sources.scratch import scratch_tables
+from millwright.sources.scratch import as_named, scratch_tables
 from millwright.sources.store import DatasetStore
 
 #: Files of a batch; their paths and header lines are on the driver.
 MAX_FILES = 100
 
+#: Bytes in which a header line has to end.
+HEADER_BYTES = 1 << 20
+
 FILE, RAW, REASON = "__file", "__raw", "__reason"
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -79,14 +83,31 @@ def _types(schema: T.StructType) -> dict[str, str]:
 
 
 def header_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """The first line of each file that has one; a task per file reads no further."""
-    if not paths:
-        return {}
-    firsts = [
-        spark.read.text(path).limit(1).select(F.lit(path).alias("path"), F.col("value").alias("line"))
-        for path in paths
-    ]
-    return {r.path: r.line for r in reduce(DataFrame.union, firsts).collect()}
+    """The first line of each file that has one; no more of a file is read.
+
+    A line beyond ``HEADER_BYTES`` is given as empty: no header is as long.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found = {}
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        stream = target.getFileSystem(conf).open(target)
+        try:
+            codec = codecs.getCodec(target)
+            lines = jvm.org.apache.hadoop.util.LineReader(stream if codec is None else codec.createInputStream(stream))
+            line = jvm.org.apache.hadoop.io.Text()
+            taken = lines.readLine(line, HEADER_BYTES, HEADER_BYTES)
+            if taken:
+                found[path] = line.toString() if taken < HEADER_BYTES else ""
+        finally:
+            stream.close()
+    return found
+
+
+def literal(path: str) -> str:
+    """A path for Spark's readers, which take some characters of a name as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def _columns(header: str) -> list[str] | None:
@@ -102,19 +123,19 @@ def _texts(spark: SparkSession, names: list[str], paths: list[str]) -> DataFrame
     rows = (
         spark.read.schema(T.StructType([*fields, T.StructField(RAW, T.StringType())]))
         .option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
-        .csv(paths)
+        .csv([literal(p) for p in paths])
     )
     cells = F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names]))
     reason = F.when(F.col(RAW).isNotNull(), F.lit("wrong number of cells"))
     return rows.withColumns({
-        FILE: F.col("_metadata.file_name"), REASON: reason, RAW: F.coalesce(F.col(RAW), cells),
+        FILE: as_named(F.col("_metadata.file_name")), REASON: reason, RAW: F.coalesce(F.col(RAW), cells),
     })
 
 
 def _unreadable_file(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
-    lines = spark.read.text(paths).where((F.trim("value") != "") & (F.col("value") != header))
+    lines = spark.read.text([literal(p) for p in paths]).where((F.trim("value") != "") & (F.col("value") != header))
     return lines.select(
-        F.col("value").alias(RAW), F.col("_metadata.file_name").alias(FILE),
+        F.col("value").alias(RAW), as_named(F.col("_metadata.file_name")).alias(FILE),
         F.lit("the header does not name each column once").alias(REASON))
 
 

@@ -1,3 +1,4 @@
+import gzip
 from collections import Counter
 from dataclasses import replace
 from pathlib import Path
@@ -12,7 +13,7 @@ from millwright.schema import FEATURES, SENSORS, TARGET
 from millwright.sources import readings as files
 from millwright.sources.scratch import scratch_tables
 from millwright.sources.store import DatasetStore
-from millwright.streaming.ingest import Ingested, header_lines, ingest, read_csv_stream
+from millwright.streaming.ingest import HEADER_BYTES, Ingested, header_lines, ingest, read_csv_stream
 
 HEADER = ",".join([s.header for s in SENSORS] + ["Engine Condition"])
 
@@ -233,6 +234,27 @@ def test_files_are_taken_by_name(spark, folder):
     assert list(lines.values()) == [HEADER]
 
 
+def test_any_file_name_is_read(spark, folder):
+    names = ["a[1].csv", "b{1}.csv", "c{1.csv", "d].csv", "e*.csv", "f?.csv", "g\\h.csv", "i j.csv", "k%20l.csv", "m[!a].csv", "good.csv"]
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    for n, name in enumerate(names):
+        put(inbox, name, line(float(n), n % 2))
+    put(inbox, "bad[x].csv", "1,2", header="Engine rpm,engine_rpm")
+    assert ingest(store, inbox) == Ingested(1, 1)
+    assert bag(store.read()) == bag(table(spark, range(len(names))))
+    assert store.rejects().first().file == "bad[x].csv"
+
+
+def test_header_lines_are_read_and_no_more(spark, folder):
+    put(folder, "long.csv", header="x" * (HEADER_BYTES + 1))
+    put(folder, "plain.csv", line(1), header="a,b")
+    with gzip.open(f"{folder}/packed.csv.gz", "wt") as out:
+        out.write("c,d\r\n1,2\r\n")
+    Path(f"{folder}/none.csv").touch()
+    paths = [f"{folder}/{n}" for n in ("long.csv", "plain.csv", "packed.csv.gz", "none.csv")]
+    assert list(header_lines(spark, paths).values()) == ["", "a,b", "c,d"]
+
+
 def test_bad_rows_are_kept_back_with_their_reason(spark, folder):
     store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
     put(inbox, "a.csv", line(1.0, 1), line("fast", 0), line(3.0, "x"), line(4.0, ""), line(5.0, 2),
