@@ -60,8 +60,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 class Scratch:
     """Tables of one job; see :func:`scratch_tables`."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, reader: SparkSession | None = None):
         self.spark = spark
+        self.reader = reader or spark  # the session that reads what is written
         self._paths: list[str] = []
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -69,7 +70,7 @@ class Scratch:
         path = fresh_path(self.spark, name)
         self._paths.append(path)  # a failed write leaves files too
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.reader.read.schema(df.schema).parquet(path)
 
     def replace(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and delete the tables before it, which only it has read."""
@@ -87,12 +88,12 @@ class Scratch:
 
 
 @contextmanager
-def scratch_tables(spark: SparkSession) -> Iterator[Scratch]:
+def scratch_tables(spark: SparkSession, reader: SparkSession | None = None) -> Iterator[Scratch]:
     """Tables that are deleted when the block ends, by an error too.
 
     For intermediates only: what a lazy result still reads is for :func:`materialize`.
     """
-    tables = Scratch(spark)
+    tables = Scratch(spark, reader)
     try:
         yield tables
     finally:
