@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -123,6 +124,43 @@ def test_newton_learns_a_side_for_absent_values(spark, rows):
     assert evaluate_model(models[0], gapped, ["engine_rpm"]).first().unusable_test_rows == 0
 
 
+def test_masks_score_as_a_walk_does(spark):
+    """To the bit, for thresholds that trees share, absent and infinite values, and trees of one leaf."""
+    pick, numbers = random.Random(1), np.random.default_rng(1)
+
+    def grow(tree, node, depth):
+        tree.value[node] = pick.uniform(-1, 1)
+        if depth < 6 and pick.random() < 0.9:
+            tree.feature[node], tree.absent_left[node] = pick.randrange(3), pick.random() < 0.5
+            tree.threshold[node] = pick.choice([pick.randrange(250) / 10, 3.5, math.inf])
+            grow(tree, 2 * node + 1, depth + 1)
+            grow(tree, 2 * node + 2, depth + 1)
+
+    trees_ = [bo.Tree.empty(6) for _ in range(60)]
+    for tree in trees_:
+        grow(tree, 0, 0)
+    x = numbers.uniform(-2, 27, (5_000, 3)).round(1)
+    x[numbers.random(x.shape) < 0.1] = np.nan
+    x[:20], x[20:40] = math.inf, -math.inf
+    walk = bo.walked(x, trees_, 0.25, 6)
+    assert (bo.Forest.of(trees_, 3).margins(x, 0.25) == walk).all()
+    assert (bo.Forest.of([], 3).margins(x, 0.25) == 0.25).all()
+    rows = spark.createDataFrame(x[:300].tolist(), "a double, b double, c double")
+    model = bo.NewtonModel(["a", "b", "c"], 0.25, 6, trees_)
+    assert [r.probability for r in model.transform(rows).collect()] == (1 / (1 + np.exp(-walk[:300]))).tolist()
+    deeper = bo.NewtonModel(["a", "b", "c"], 0.25, 7, trees_)
+    assert deeper.transform(rows).exceptAll(model.transform(rows)).isEmpty()
+
+
+def test_margins_survive_a_rewrite_of_the_state(rows, monkeypatch):
+    edges = bo._bin_edges(rows, FEATURES, 32)
+    params = bo.BoostParams(n_trees=5, max_depth=2, learning_rate=0.3)
+    kept = bo.train_newton(rows, params=params, edges=edges)
+    for trees_ in (1, 2, 3):
+        monkeypatch.setattr(bo, "REWRITE_TREES", trees_)
+        assert bo.train_newton(rows, params=params, edges=edges) == kept
+
+
 def test_newton_leaves_no_scratch_tables(spark, rows):
     before = len(children(spark, scratch_root(spark)))
     with pytest.raises(ValueError):

@@ -26,6 +26,34 @@ def test_matches_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name).startswith("ok")
 
 
+@pytest.fixture(scope="module")
+def few_trees(tmp_path_factory):
+    """The model queries with few trees, whose models are kept in a folder of the tests."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(queries, "N_TREES", 3)
+        patch.setattr(queries.tempfile, "gettempdir", lambda: str(tmp_path_factory.getbasetemp() / "models"))
+        yield
+
+
+@pytest.mark.parametrize("name", sorted(SLOW - {"model_facts", "promote_model"}))
+def test_model_queries_of_few_trees(spark, few_trees, name):
+    assert compare(spark, None, SF_DIR, name).startswith("rows only")
+
+
+@pytest.mark.parametrize("name", ["model_facts", "promote_model"])
+def test_model_queries_match_sql(spark, few_trees, con, name, monkeypatch):
+    monkeypatch.setattr(contract, "oracle_sql", lambda: {name: ORACLES[name].replace("cast(250 as", "cast(3 as")})
+    assert compare(spark, con, SF_DIR, name).startswith("ok")
+
+
+def test_only_training_queries_train_again(spark, few_trees, monkeypatch):
+    first = queries.QUERIES["score_newton"](spark, SF_DIR).count()
+    monkeypatch.setattr(queries.boosting, "train_newton", None)
+    assert queries.QUERIES["score_newton"](spark, SF_DIR).count() == first
+    with pytest.raises(TypeError):
+        queries.QUERIES["train_newton"](spark, SF_DIR)
+
+
 def test_entry(spark):
     row = contract.entry(spark).first()
     assert 0.5 < row.roc_auc <= 1.0

@@ -267,6 +267,10 @@ from reasons where reason <> '' group by reason"""),
     "model_facts": with_sql(*_F1K_SPLIT, select="""select trainer, cast(250 as bigint) n_trees, count(*) scored_rows,
   count(*) chances, 'forced without comparison' first_reason
 from parts cross join (values ('gbt'), ('newton')) t(trainer) where split = 'test' group by trainer"""),
+    "promote_model": with_sql(*_F1K_SPLIT, select="""select version, kind, 'forced without comparison' reason, n test_rows,
+  cast(0 as bigint) unusable_test_rows, cast(0 as bigint) unusable_train_rows, version + 1 data_version
+from (values (cast(0 as bigint), 'spark_ml'), (1, 'newton')) t(version, kind)
+cross join (select count(*) n from parts where split = 'test')"""),
     "stratified_split": with_sql(
         "ev as (select event_id, user_id, event_type, value from events)",
         split_sql("ev", "event_type", "event_id"),

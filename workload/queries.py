@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import os
+import tempfile
 from collections.abc import Callable
 from itertools import product
 
@@ -16,7 +20,7 @@ from millwright.plans.training import evaluate_model, train_and_promote
 from millwright.schema import FEATURES, TARGET
 from millwright.sources import readings as files
 from millwright.sources.registry import ModelRegistry
-from millwright.sources.scratch import fresh_path, materialize
+from millwright.sources.scratch import SETTING, fresh_path, materialize, scratch_root
 from millwright.sources.store import DatasetStore
 from millwright.streaming.ingest import ingest, read_csv_stream
 from millwright.streaming.scoring import start_scoring
@@ -25,7 +29,8 @@ from workload import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-_MODELS: dict[tuple, object] = {}
+#: Trees of the trained models; fewer only in tests.
+N_TREES = trees.N_TREES
 
 
 def query(function: Query) -> Query:
@@ -503,26 +508,46 @@ def score_tree_model(spark, sf_dir):
     })
 
 
+def _trained(spark, sf_dir, trainer) -> ModelRegistry:
+    """Where the models of a trainer for the readings of ``sf_dir`` are kept, for later sessions too.
+
+    Other input files, parameters or code of the trainers have a place of their own.
+    """
+    files_ = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct().collect()
+    sources = [inspect.getsource(module) for module in (boosting, trees, fx)]
+    key = repr((trainer.__name__, N_TREES, sorted(map(tuple, files_)), sources))
+    root = spark.sparkContext.getConf().get(SETTING)
+    if root is None:
+        scratch_root(spark)  # raises on a cluster; that of a local session goes with it
+        root = f"{tempfile.gettempdir()}/millwright-{os.getuid()}"
+    return ModelRegistry(spark, f"{root}/trained/{hashlib.sha256(key.encode()).hexdigest()[:24]}")
+
+
+def _fitted(spark, sf_dir, trainer):
+    """A model that is trained here and now, and kept."""
+    model = trainer(fx.train_test(spark, sf_dir)[0])
+    _trained(spark, sf_dir, trainer).publish(model, {}, "trained")
+    return model
+
+
 def _model(spark, sf_dir, trainer):
-    """A model of the full preset; the queries of a session share it."""
-    name = (spark.sparkContext.applicationId, sf_dir, trainer)
-    if name not in _MODELS:
-        train, _ = fx.train_test(spark, sf_dir)
-        _MODELS[name] = trainer(train)
-    return _MODELS[name]
+    """The kept model; one is trained only where there is none yet."""
+    current = _trained(spark, sf_dir, trainer).current()
+    return _fitted(spark, sf_dir, trainer) if current is None else current[1]
 
 
 def _gbt(train):
-    return trees.train_gbt(train)
+    return trees.train_gbt(train, n_trees=N_TREES)
 
 
 def _newton(train):
-    return boosting.train_newton(train, key=[fx.KEY])
+    return boosting.train_newton(train, params=boosting.BoostParams(n_trees=N_TREES), key=[fx.KEY])
 
 
 @query
 def train_gbt(spark, sf_dir):
-    importances = trees.feature_importances(_model(spark, sf_dir, _gbt))
+    importances = trees.feature_importances(_fitted(spark, sf_dir, _gbt))
     return spark.createDataFrame(list(importances.items()), "feature string, importance double")
 
 
@@ -538,7 +563,7 @@ def evaluate_gbt(spark, sf_dir):
 
 @query
 def train_newton(spark, sf_dir):
-    return _model(spark, sf_dir, _newton).tree_table(spark)
+    return _fitted(spark, sf_dir, _newton).tree_table(spark)
 
 
 @query
@@ -553,7 +578,7 @@ def evaluate_newton(spark, sf_dir):
 
 @query
 def promote_model(spark, sf_dir):
-    """Publish a first model, then a run that has to beat it; the registry log."""
+    """Publish a first model, then one of updated data; what the registry's log says but for the metrics."""
     train, test = fx.train_test(spark, sf_dir)
     registry = ModelRegistry(spark, fresh_path(spark, "registry"))
 
@@ -565,7 +590,8 @@ def promote_model(spark, sf_dir):
 
     train_and_promote(train, test, registry, evaluation.Flags(force=True), first, data_version=1)
     train_and_promote(train, test, registry, evaluation.Flags(), second, data_version=2)
-    return registry.log()
+    return registry.log().select(
+        "version", "kind", "reason", "test_rows", "unusable_test_rows", "unusable_train_rows", "data_version")
 
 
 @query
