@@ -56,10 +56,11 @@ CLASSES = (
     CharClass("entropy_base64", "A-Za-z0-9+/_-", 24, 4.0),
 )
 #: Strings that look random and are none: words, numbers, paths and ruled lines, examples.
+#: A repeated group has to be possessive: the pattern engine goes one call deeper for each repeat of another.
 ALLOWED = (
     r"^[A-Za-z_-]*$",
     r"^[0-9_+/-]*$",
-    r"^[A-Za-z]+([/_-][A-Za-z]+)*([/_-][0-9]+)?$",
+    r"^[A-Za-z]++(?:[/_-][A-Za-z]++)*+(?:[/_-][0-9]+)?$",
     r"(?i)example|placeholder|xxxxxxxx|0123456789|abcdefghij",
 )
 
@@ -183,7 +184,8 @@ def scan_secrets(
 
     A finding is (start, rank, end, kind) in code points, end exclusive.  Base spans
     are never suppressed; a random window that lies inside one is not told again.
-    A null or empty text has no findings, empty ``base`` and ``spans``.  Repeated
+    A null or empty text has no findings, empty ``base`` and ``spans``; texts and runs
+    in them may be of any length.  Repeated
     rows are rows of their own; other columns are not read.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))

@@ -239,3 +239,18 @@ def test_matches_are_placed_in_code_points(spark):
     table = spark.createDataFrame([("éé ab é ab",), ("",), (None,)], "t string")
     found = [r[0] for r in table.select(matches(F.col("t"), "ab")).collect()]
     assert [(m.start, m.end) for m in found[0]] == [(3, 5), (8, 10)] and found[1] == [] and found[2] == []
+
+
+def test_long_runs_reach_every_pattern_and_end(spark):
+    """A megabyte for each pattern and allow-list entry; a repeated group that recurses would end the process."""
+    runs = {
+        "path": "ab/" * 200_000 + "9", "words": "ab/" * 350_000, "numbered": "ab-" * 350_000 + "x-12", "letters": "Ab_-" * 250_000,
+        "digits": "09_+/-" * 170_000, "example": "xxxxxxxx" * 120_000 + "7", "near": "ab/" * 200_000 + "9!", "blank": " \n" * 500_000,
+    }
+    base = {"assign": "password=" + "aB" * 500_000, "access": "AKIA" + "AA" * 500_000, "hex": "aa" * 500_000}
+    rows = list(enumerate([*runs.values(), *base.values()]))
+    found = {r.doc_id: r for r in scan_secrets(docs(spark, rows)).collect()}
+    for i, (name, text) in enumerate(runs.items()):
+        assert found[i].base == found[i].spans == "", name
+    for i, (kind, text) in enumerate(base.items(), len(runs)):
+        assert found[i].base == f"{kind}:0:{len(text)}"
