@@ -17,9 +17,11 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ from millwright.sources.scratch import materialize
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
 ENCODED_AT_ONCE = 200_000
+#: Words of letters that are encoded as one text.
+JOINED_WORDS = 1_000
+WORD_END = "</w>"
 #: Pieces of one length that are ranked together.
 BUCKET_ROWS = 4_096
 #: Strings whose ids a worker remembers, in each of two generations.
@@ -62,6 +67,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.ends_word = np.array([name is not None and name.endswith(WORD_END) for name in names])
         self.capacity = capacity
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -73,13 +80,27 @@ class WordTokens:
             ids += [array("I", x.ids).tobytes() for x in found]
         return ids
 
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters, which are encoded many to a text: each ends with the next token that ends a word."""
+        ids = []
+        for at in range(0, len(words), ENCODED_AT_ONCE):
+            parts = [words[i : i + JOINED_WORDS] for i in range(at, min(at + ENCODED_AT_ONCE, len(words)), JOINED_WORDS)]
+            found = self.tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)
+            for part, one in zip(parts, found, strict=True):
+                flat = np.array(one.ids, "<u4")
+                ends = (4 * (np.flatnonzero(self.ends_word[flat]) + 1)).tolist()
+                if len(ends) != len(part):  # a letter whose lower case is more than a letter
+                    ids += self._ids([s.decode() for s in part])
+                    continue
+                raw = flat.tobytes()
+                ids += [raw[first:end] for first, end in zip([0, *ends], ends, strict=False)]
+        return ids
+
     def _learn(self, strings: set[bytes]) -> None:
-        """Bring all strings into the young generation."""
-        if len(self.young) > self.capacity:
-            self.old, self.young = self.young, {}
+        """Bring strings that are not there into the young generation."""
         young, old = self.young, self.old
         new = []
-        for s in strings.difference(young):
+        for s in strings:
             if (ids := old.get(s)) is not None:
                 young[s] = ids
             else:
@@ -87,7 +108,9 @@ class WordTokens:
         ended = [s for s in new if len(s) > 1 and s[-1] in _STOPS and 97 <= s[-2] <= 122]  # a-z
         rest = set(new).difference(ended)
         rest.update(core for s in ended if (core := s[:-1]) not in young)
-        rest = list(rest)
+        plain = [s for s in rest if s.isalpha() or _is_latin(s)]  # of bytes: A-Z, a-z
+        young.update(zip(plain, self._word_ids(plain), strict=True))
+        rest = list(rest.difference(plain))
         young.update(zip(rest, self._ids([s.decode() for s in rest]), strict=True))
         stops = dict(zip(_STOPS, self._ids([chr(c) for c in _STOPS]), strict=True))
         for s in ended:
@@ -98,13 +121,43 @@ class WordTokens:
         self.young, self.old = {}, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if "<|" in t else _strings(t) for t in texts]
-        self._learn(set().union(*[s for s in split if s]))
-        ids = self.young
-        return [
-            self._ids([text])[0] if strings is None else b"".join([ids[s] for s in strings])
-            for text, strings in zip(texts, split, strict=True)
-        ]
+        if len(self.young) > self.capacity:
+            self.old, self.young = self.young, {}
+        usual = [i for i, t in enumerate(texts) if "<|" not in t and (t.isascii() or not _may_compose(t.encode()))]
+        done: list[bytes | None] = [None] * len(texts)
+        for i, ids in zip(usual, self._looked_up([texts[i] for i in usual]), strict=True):
+            done[i] = ids
+        for i, text in enumerate(texts):
+            if done[i] is None and "<|" in text:
+                done[i] = self._ids([text])[0]
+            elif done[i] is None:
+                strings = _strings(text)
+                self._learn(set(strings).difference(self.young))
+                done[i] = b"".join(map(self.young.__getitem__, strings))
+        return done
+
+    def _looked_up(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts whose strings have those of their lower case: each string is asked for once, Arrow knows where it stands."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+        strings = split.flatten().dictionary_encode()
+        distinct = strings.dictionary.cast(pa.large_binary()).to_pylist()
+        self.young[b""] = b""  # stands before and behind blanks at the ends
+        self._learn(set(filterfalse(self.young.__contains__, distinct)))
+        found = list(map(self.young.__getitem__, distinct))
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        code = strings.indices.to_numpy()
+        first, many = (size.cumsum() - size)[code], size[code]
+        end = many.cumsum()
+        raw = flat[np.repeat(first - end + many, many) + np.arange(int(many.sum()))].tobytes()
+        of_text = np.concatenate([[0], end])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
+        return [raw[a:b] for a, b in zip(of_text.tolist(), of_text[1:].tolist(), strict=False)]
+
+
+def _is_latin(string: bytes) -> bool:
+    """Are all characters letters below U+0250?  Nothing there composes with a letter or parts from one."""
+    text = string.decode()
+    return text.isalpha() and max(text) < "\u0250"
 
 
 def _may_compose(data: bytes) -> bool:
@@ -115,8 +168,6 @@ def _may_compose(data: bytes) -> bool:
 def _strings(text: str) -> list[bytes]:
     """The blank-separated strings of a text, A-Z as a-z where the ids are the same."""
     data = text.encode()
-    if text.isascii() or not _may_compose(data):
-        return data.lower().split()
     return [s if _may_compose(s) else s.lower() for s in data.split()]
 
 

@@ -330,3 +330,16 @@ def test_a_length_that_most_pieces_have(spark):
     found = pack_documents(docs(spark, rows), VOCABULARY, capacity=64).collect()
     check_places(found, 64)
     assert len(found) == len(rows)
+
+
+def test_joined_words_have_the_ids_of_each_alone():
+    """Every letter below U+0250, in either case and beside others, and texts that need a path of their own."""
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    texts = ["", " ", " ".join(letters), " ".join(f"a{x}B" for x in letters), " ".join(x + y for x, y in zip(letters, letters[7:], strict=False))]
+    texts += ["\u0130x \u0130", "H\u0331a J\u030c", "<|endoftext|> a", "\x0bx\x0c y\r\nz\t", "a\xa0b \u3000 c", "one, two. three.\n" * 300, *texts[2:]]
+    coder = WordTokens(VOCABULARY, capacity=100)
+    for _ in range(3):
+        for text, ids in zip(texts, coder.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert coder.encode([]) == [] and coder.encode(["<|"])[0] and coder.encode([""]) == [b""]
