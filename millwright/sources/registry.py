@@ -1,19 +1,21 @@
 """Versioned models on a shared path.
 
-``models/v=<n>/`` holds a fitted model, ``model_log/`` one JSON row per
-published version with its kind and test metrics.  The log row is written last.
+``models/<n>-<id>/`` holds a fitted model, ``model_log/`` one row per published
+version with its kind and test metrics, see millwright.sources.log.  The log row is
+written last; of two writers each gets a version of its own.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.operators.boosting import NewtonModel
 from millwright.operators.evaluation import METRICS
-from millwright.sources.store import append_log, read_log
+from millwright.sources.log import ATTEMPTS, Conflict, VersionLog
 
 _LOG = T.StructType([
     T.StructField("version", T.LongType()),
@@ -24,6 +26,7 @@ _LOG = T.StructType([
     T.StructField("unusable_test_rows", T.LongType()),
     T.StructField("unusable_train_rows", T.LongType()),
     T.StructField("data_version", T.LongType()),
+    T.StructField("folder", T.StringType()),
 ])
 
 
@@ -40,38 +43,48 @@ class ModelRegistry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._log = VersionLog(spark, f"{self.root}/model_log", _LOG)
 
     def log(self) -> DataFrame:
         """One row per published version with its test metrics."""
-        return read_log(self.spark, f"{self.root}/model_log", _LOG)
+        return self._log.rows()
 
     def current(self):
         """(version, model) of the last published model, or None."""
-        last = self.log().orderBy(F.desc("version")).limit(1).collect()
-        if not last:
+        last = self._log.last()
+        if last is None:
             return None
-        path = self._path(last[0].version)
-        if last[0].kind == "spark_ml":
-            return last[0].version, PipelineModel.load(path)
-        return last[0].version, NewtonModel.load(self.spark, path)
+        path = f"{self.root}/models/{last['folder']}"
+        if last["kind"] == "spark_ml":
+            return last["version"], PipelineModel.load(path)
+        return last["version"], NewtonModel.load(self.spark, path)
+
+    def current_version(self) -> int | None:
+        """The number of the last published model, without the model."""
+        last = self._log.last()
+        return None if last is None else last["version"]
 
     def data_version(self) -> int | None:
         """The version of the rows that the last published model learned from."""
-        return self.log().agg(F.max_by("data_version", "version").alias("v")).first().v
+        last = self._log.last()
+        return None if last is None else last["data_version"]
 
     def publish(
         self, model, metrics: dict, reason: str,
         unusable_train_rows: int | None = None, data_version: int | None = None,
     ) -> int:
-        last = self.log().agg(F.max("version").alias("v")).first().v
-        version = 0 if last is None else last + 1
-        kind = save_model(self.spark, model, self._path(version))
-        row = (
-            version, kind, reason, *[metrics.get(m) for m in METRICS], metrics.get("test_rows"),
-            metrics.get("unusable_test_rows"), unusable_train_rows, data_version,
-        )
-        append_log(self.spark, f"{self.root}/model_log", _LOG, row)
-        return version
-
-    def _path(self, version: int) -> str:
-        return f"{self.root}/models/v={version}"
+        version = (-1 if (last := self.current_version()) is None else last) + 1
+        folder = f"{version:08d}-{uuid.uuid4().hex[:8]}"
+        kind = save_model(self.spark, model, f"{self.root}/models/{folder}")
+        row = {
+            "kind": kind, "reason": reason, **{m: metrics.get(m) for m in METRICS}, "test_rows": metrics.get("test_rows"),
+            "unusable_test_rows": metrics.get("unusable_test_rows"), "unusable_train_rows": unusable_train_rows,
+            "data_version": data_version, "folder": folder,
+        }
+        for _ in range(ATTEMPTS):
+            try:
+                self._log.commit({"version": version, **row})
+                return version
+            except Conflict:
+                version = self.current_version() + 1
+        raise Conflict(f"{self.root}: a model that {ATTEMPTS} others have overtaken")

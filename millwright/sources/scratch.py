@@ -100,20 +100,21 @@ def scratch_tables(spark: SparkSession, reader: SparkSession | None = None) -> I
         tables.clear()
 
 
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table that nothing reads any more."""
-    system, target = _located(spark, path)
+    system, target = located(spark, path)
     system.delete(target, True)
 
 
 def size_on_disk(spark: SparkSession, path: str) -> int:
     """Bytes of the files below ``path``."""
-    system, target = _located(spark, path)
+    system, target = located(spark, path)
     return system.getContentSummary(target).getLength()
 
 
@@ -124,7 +125,7 @@ def as_named(path: Column) -> Column:
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """What a folder holds; nothing if there is no such folder."""
-    system, target = _located(spark, path)
+    system, target = located(spark, path)
     if not system.exists(target):
         return []
     return [str(found.getPath()) for found in system.listStatus(target)]

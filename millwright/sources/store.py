@@ -5,9 +5,9 @@ Layout below ``root``::
     rows/<segment>/        parquet, never changed once committed
     filters/<segment>/     Bloom filter of the segment's rows: a bucket a row, with its file
     rejects/tag=<tag>/     rows that a batch could not use, with their reason
-    splits/v=<version>/    parquet partitioned by ``split``
-    log/                   one JSON row per committed version
-    split_log/             one JSON row per published split
+    splits/<version>-<id>/ parquet partitioned by ``split``
+    log/                   the committed versions, see millwright.sources.log
+    split_log/             the published splits
 
 A version is a list of segments.  Merging a batch into a table that is known to
 be free of duplicates adds one segment with the new rows only, so the cost of
@@ -16,7 +16,8 @@ compacted when there are several, so a row is written again once per size tier
 and not once per batch.  Rows of one filter bucket lie in one file, so a batch that
 is merged reads the filters, some two bytes a row, and of the rows only the files
 that may hold some of its own.  The log row is written last: data without a log row is
-invisible and is overwritten by the retry.  One writer at a time; readers are
+invisible, and :meth:`DatasetStore.vacuum` deletes it.  Several writers may commit:
+one that another has overtaken merges again into the newer version.  Readers are
 never disturbed until :meth:`DatasetStore.vacuum` deletes what old versions read.
 """
 
@@ -24,7 +25,9 @@ from __future__ import annotations
 
 import json
 import math
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable
+from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +36,7 @@ from pyspark.sql import types as T
 
 from millwright.operators import bloom
 from millwright.operators.merging import absent_rows, distinct_batch, merge_distinct
+from millwright.sources.log import ATTEMPTS, Conflict, VersionLog
 from millwright.sources.readings import SPLIT
 from millwright.sources.scratch import Scratch, as_named, children, discard, scratch_tables, size_on_disk
 
@@ -64,6 +68,7 @@ _REJECTS = "file string, raw string, reason string, tag string"
 _SPLIT_LOG = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("data_version", T.LongType()),
+    T.StructField("folder", T.StringType()),
 ])
 
 
@@ -92,38 +97,26 @@ class Version:
     filters: tuple[Filter, ...] = ()  # of the segments that have one
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A log as a table; a log that was never written is empty."""
-    try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def append_log(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(path)
-
-
 class DatasetStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = VersionLog(spark, f"{self.root}/log", _LOG, ("version", "is_distinct", "tag", "kind"))
+        self.split_log = VersionLog(spark, f"{self.root}/split_log", _SPLIT_LOG)
 
     # ---- versions -------------------------------------------------------
 
     def versions(self) -> DataFrame:
-        return read_log(self.spark, f"{self.root}/log", _LOG)
+        """One row per version; those long past keep version, is_distinct, tag and kind."""
+        return self.log.rows()
 
     def current(self) -> Version | None:
-        last = self.versions().orderBy(F.desc("version")).limit(1).collect()
-        if not last:
+        row = self.log.last()
+        if row is None:
             return None
-        row = last[0]
-        schema = T.StructType.fromJson(json.loads(row.row_schema))
-        filters = tuple(Filter(f.segment, f.buckets, f.kinds) for f in row.filters or ())
-        return Version(row.version, tuple(row.segments), schema, row.is_distinct, row.tag, filters)
+        schema = T.StructType.fromJson(json.loads(row["row_schema"]))
+        filters = tuple(Filter(**f) for f in row["filters"] or ())
+        return Version(row["version"], tuple(row["segments"]), schema, row["is_distinct"], row["tag"], filters)
 
     def has_merged(self, tag: str) -> bool:
         return not self.versions().where(F.col("tag") == tag).isEmpty()
@@ -138,31 +131,47 @@ class DatasetStore:
 
     def create(self, rows: DataFrame, dedupe: bool = False, tag: str = "create") -> Version:
         """Commit ``rows`` as the next version, replacing the earlier contents."""
+        return self._retried(lambda: self._create(rows, dedupe, tag))
+
+    def _create(self, rows: DataFrame, dedupe: bool, tag: str) -> Version:
+        current = self.current()
         if dedupe:
-            return self._commit_segment(rows.dropDuplicates(), (), True, tag, CREATE, rows.count())
-        return self._commit_segment(rows, (), False, tag, CREATE)
+            return self._commit_segment(current, rows.dropDuplicates(), (), True, tag, CREATE, rows.count())
+        return self._commit_segment(current, rows, (), False, tag, CREATE)
 
     def merge(self, batch: DataFrame, tag: str) -> Version:
         """Commit current rows and ``batch`` without duplicate rows.
 
         ``tag`` names the batch: merging the same tag again changes nothing, so
         a retried micro-batch is harmless.  A batch of known rows commits its tag
-        and no segment.
+        and no segment.  If another writer commits meanwhile, the batch is held against
+        the newer version, so no row is lost or stored twice.
         """
+        version = self._retried(lambda: self._merge(batch, tag))
+        return self.compact() or version
+
+    def _retried(self, work: Callable[[], Version]) -> Version:
+        for attempt in range(ATTEMPTS):
+            try:
+                return work()
+            except Conflict:
+                if attempt + 1 == ATTEMPTS:
+                    raise
+
+    def _merge(self, batch: DataFrame, tag: str) -> Version:
         current = self.current()
         if current is None:
-            return self._commit_segment(batch.dropDuplicates(), (), True, tag, MERGE, batch.count())
+            return self._commit_segment(None, batch.dropDuplicates(), (), True, tag, MERGE, batch.count())
         if self.has_merged(tag):
             return current
         base = self.read(current)
         if not current.is_distinct:
             most = base.count() + batch.count()
-            return self._commit_segment(merge_distinct(base, batch), (), True, tag, MERGE, most)
+            return self._commit_segment(current, merge_distinct(base, batch), (), True, tag, MERGE, most)
         with scratch_tables(self.spark) as tables:
             rows = tables.write(distinct_batch(base, batch), "distinct-batch")
             added = self._absent(current, rows, tables)
-            version = self._commit_segment(added, current.segments, True, tag, MERGE, rows.count())
-        return self.compact() or version
+            return self._commit_segment(current, added, current.segments, True, tag, MERGE, rows.count())
 
     # ---- what a batch has to be held against ----------------------------
 
@@ -209,12 +218,12 @@ class DatasetStore:
         return sure.unionByName(absent_rows(stored, doubtful))
 
     def _commit_segment(
-        self, rows: DataFrame, kept: tuple[str, ...], is_distinct: bool, tag: str, kind: str, most: int = 0
+        self, current: Version | None, rows: DataFrame, kept: tuple[str, ...], is_distinct: bool, tag: str, kind: str,
+        most: int = 0,
     ) -> Version:
-        """Write ``rows``, ``most`` at most, as a segment and commit it behind those ``kept``."""
-        current = self.current()
+        """Write ``rows``, ``most`` at most, as a segment and commit it behind those ``kept``, next after ``current``."""
         number = 0 if current is None else current.number + 1
-        segment = f"{number:08d}-{tag}"
+        segment = f"{number:08d}-{tag}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/rows/{segment}"
         buckets = bloom.buckets_for(most)
         if is_distinct:
@@ -230,10 +239,13 @@ class DatasetStore:
             if is_distinct:
                 self._write_filter(segment, schema, buckets)
                 filters = (*filters, Filter(segment, buckets, bloom.kinds(schema)))
-        append_log(
-            self.spark, f"{self.root}/log", _LOG,
-            (number, list(segments), schema.json(), is_distinct, tag, kind, [(f.segment, f.buckets, f.kinds) for f in filters]),
-        )
+        row = (number, list(segments), schema.json(), is_distinct, tag, kind, [asdict(f) for f in filters])
+        try:
+            self.log.commit(dict(zip(_LOG.names, row, strict=True)))
+        except Conflict:
+            discard(self.spark, path)
+            discard(self.spark, f"{self.root}/filters/{segment}")
+            raise
         return Version(number, segments, schema, is_distinct, tag, filters)
 
     def _write_filter(self, segment: str, schema: T.StructType, buckets: int) -> None:
@@ -259,7 +271,10 @@ class DatasetStore:
         merged = tiers[full[0]]
         rows = self.spark.read.schema(current.schema).parquet(*[f"{self.root}/rows/{s}" for s in merged])
         kept = tuple(s for s in current.segments if s not in set(merged))
-        return self._commit_segment(rows, kept, current.is_distinct, "compact", COMPACT, rows.count())
+        try:
+            return self._commit_segment(current, rows, kept, current.is_distinct, "compact", COMPACT, rows.count())
+        except Conflict:
+            return None  # the next merge finds the tier full again
 
     def vacuum(self, keep_versions: int = 2, keep_splits: int = 2) -> int:
         """Delete segments and splits that only older versions use; returns how many.
@@ -268,20 +283,21 @@ class DatasetStore:
         """
         if keep_versions < 1 or keep_splits < 1:
             raise ValueError("the current version must stay")
-        last = self.versions().orderBy(F.desc("version")).limit(keep_versions).collect()
+        last = self.versions().where("segments is not null").orderBy(F.desc("version")).limit(keep_versions).collect()
         used = {segment for row in last for segment in row.segments}
-        stale = [p for p in children(self.spark, f"{self.root}/rows") if p.rsplit("/", 1)[1] not in used]
-        newest = self.current_split()
-        for path in children(self.spark, f"{self.root}/splits") if newest is not None else ():
-            if int(path.rsplit("=", 1)[1]) <= newest - keep_splits:
-                stale.append(path)
-        for path in stale:
+        newest = max((row.version for row in last), default=-1)
+        stale = self._unused("rows", used, newest)
+        splits = self.split_log.rows().orderBy(F.desc("version")).limit(keep_splits).collect()
+        stale += self._unused("splits", {row.folder for row in splits}, max((row.version for row in splits), default=-1))
+        for path in stale + self._unused("filters", used, newest):
             discard(self.spark, path)
-        for path in children(self.spark, f"{self.root}/filters"):
-            if path.rsplit("/", 1)[1] not in used:
-                discard(self.spark, path)
         return len(stale)
 
+    def _unused(self, folder: str, used: set[str], newest: int) -> list[str]:
+        """What is neither used nor being written: a writer names its folder by a version that is not there yet."""
+        named = {path: path.rsplit("/", 1)[1] for path in children(self.spark, f"{self.root}/{folder}")}
+        return [path for path, name in named.items() if name not in used and int(name.split("-", 1)[0]) <= newest]
+
     # ---- rejected rows ----------------------------------------------------
 
     def reject(self, rows: DataFrame, tag: str) -> int:
@@ -302,23 +318,24 @@ class DatasetStore:
     # ---- splits ---------------------------------------------------------
 
     def current_split(self) -> int | None:
-        log = read_log(self.spark, f"{self.root}/split_log", _SPLIT_LOG)
-        return log.agg(F.max("version").alias("v")).first().v
-
-    def split_path(self, version: int) -> str:
-        return f"{self.root}/splits/v={version}"
+        last = self.split_log.last()
+        return None if last is None else last["version"]
 
     def publish_split(self, rows: DataFrame) -> int:
         """Write a table with a ``split`` column and make it the current split."""
+        data = self.current()
         last = self.current_split()
         number = 0 if last is None else last + 1
-        rows.write.mode("overwrite").partitionBy(SPLIT).parquet(self.split_path(number))
-        data = self.current()
-        append_log(
-            self.spark, f"{self.root}/split_log", _SPLIT_LOG,
-            (number, None if data is None else data.number),
-        )
-        return number
+        folder = f"{number:08d}-{uuid.uuid4().hex[:8]}"
+        rows.write.partitionBy(SPLIT).parquet(f"{self.root}/splits/{folder}")
+        for _ in range(ATTEMPTS):
+            try:
+                self.split_log.commit({
+                    "version": number, "data_version": None if data is None else data.number, "folder": folder})
+                return number
+            except Conflict:  # what was written is the split of the next version
+                number = self.current_split() + 1
+        raise Conflict(f"{self.root}: a split that {ATTEMPTS} others have overtaken")
 
     def unpublished_merge(self) -> bool:
         """Whether a batch was merged since the last published split."""
@@ -328,15 +345,16 @@ class DatasetStore:
 
     def published_data_version(self) -> int | None:
         """The version of the rows behind the current split."""
-        log = read_log(self.spark, f"{self.root}/split_log", _SPLIT_LOG)
-        return log.agg(F.max_by("data_version", "version").alias("v")).first().v
+        last = self.split_log.last()
+        return None if last is None else last["data_version"]
 
     def read_split(self, part: str | None = None, version: int | None = None) -> DataFrame:
         """The current split; with ``part`` only that partition's files are read."""
-        number = self.current_split() if version is None else version
-        if number is None:
+        last = self.split_log.last() if version is None else (
+            self.split_log.rows().where(F.col("version") == version).first())
+        if last is None:
             raise LookupError(f"no published split below {self.root}")
-        rows = self.spark.read.parquet(self.split_path(number))
+        rows = self.spark.read.parquet(f"{self.root}/splits/{last['folder']}")
         return rows if part is None else rows.where(F.col(SPLIT) == part)
 
 

@@ -124,6 +124,7 @@ def test_vacuum_deletes_what_only_old_versions_use(spark, folder):
     assert store.vacuum(keep_versions=2, keep_splits=1) == 2 + 3
     assert store.read().count() == 4 and store.read_split().count() == 4
     assert spark.read.parquet(f"{store.root}/rows/{old.segments[0]}").count() == 3
+    assert len(list(Path(f"{store.root}/splits").iterdir())) == 1
     assert store.vacuum() == 0
     with pytest.raises(ValueError):
         store.vacuum(0)
