@@ -30,7 +30,7 @@ from millwright.sources.registry import ModelRegistry
 from millwright.sources.scratch import children
 from millwright.sources.store import DatasetStore
 from millwright.streaming.ingest import MAX_FILES, read_csv_stream
-from millwright.streaming.scoring import start_scoring
+from millwright.streaming.scoring import start_registry_scoring
 
 
 def _read(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
@@ -89,16 +89,17 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> dict:
 
 
 def _score(spark: SparkSession, args: argparse.Namespace) -> dict:
-    current = ModelRegistry(spark, args.registry).current()
-    if current is None:
-        raise LookupError(f"no published model below {args.registry}")
+    registry = ModelRegistry(spark, args.registry)
     if args.stream:
         rows = read_csv_stream(spark, args.input, header_schema(labelled=False), max_files=args.max_files)
         checkpoint = args.checkpoint or f"{args.output}-checkpoint"
-        start_scoring(rows, current[1], args.output, checkpoint).awaitTermination()
-    else:
-        rows = score(_read(spark, args.input, args.format), current[1], use_defaults=args.defaults)
-        rows.write.mode("overwrite").parquet(args.output)
+        start_registry_scoring(rows, registry, args.output, checkpoint, use_defaults=args.defaults).awaitTermination()
+        return {"model": registry.current_version(), "output": args.output}
+    current = registry.current()
+    if current is None:
+        raise LookupError(f"no published model below {args.registry}")
+    rows = score(_read(spark, args.input, args.format), current[1], use_defaults=args.defaults)
+    rows.write.mode("overwrite").parquet(args.output)
     return {"model": current[0], "output": args.output}
 
 

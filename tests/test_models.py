@@ -12,7 +12,8 @@ from millwright.plans.training import evaluate_model, train_and_promote
 from millwright.schema import FEATURES, TARGET
 from millwright.sources.registry import ModelRegistry
 from millwright.sources.scratch import children, scratch_root
-from millwright.streaming.scoring import start_scoring
+from millwright.plans.scoring import score
+from millwright.streaming.scoring import start_registry_scoring, start_scoring
 from tests.conftest import SF_DIR
 from workload import fixtures as fx
 
@@ -229,8 +230,6 @@ def test_promotion_run(spark, rows, newton, folder):
 
 
 def test_stream_scores_like_the_batch(spark, rows, newton, folder):
-    from millwright.plans.scoring import score
-
     rows.repartition(3).write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
     start_scoring(stream, newton, f"{folder}/out", f"{folder}/check", fx.SENSORS).awaitTermination()
@@ -238,3 +237,29 @@ def test_stream_scores_like_the_batch(spark, rows, newton, folder):
     got = spark.read.schema(batch.schema).parquet(f"{folder}/out")
     assert got.exceptAll(batch).isEmpty() and got.count() == rows.count()
     assert got.where("not accepted and prediction is not null").isEmpty()
+
+
+def test_a_stream_picks_up_a_published_model(spark, rows, newton, folder):
+    """Batch by batch while it runs, and again when a batch is retried."""
+    registry = ModelRegistry(spark, f"{folder}/registry")
+    first, second = (rows.orderBy(fx.KEY).limit(n).coalesce(1) for n in (40, 30))
+    first.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+
+    def run():
+        start_registry_scoring(stream, registry, f"{folder}/out", f"{folder}/check", fx.SENSORS).awaitTermination()
+
+    with pytest.raises(Exception, match="no published model"):
+        run()
+    registry.publish(newton, {}, "first")
+    run()
+    registry.publish(bo.NewtonModel(list(FEATURES), 9.0, 3), {}, "second")
+    second.write.mode("append").parquet(f"{folder}/in")
+    run()
+    run()
+    got = spark.read.parquet(f"{folder}/out")
+    assert {r.model_version: r["count"] for r in got.groupBy("model_version").count().collect()} == {0: 40, 1: 30}
+    assert got.where("model_version = 1 and accepted and prediction = 0").isEmpty()
+    before = got.where("model_version = 0").drop("batch")
+    batch = score(first, newton, fx.SENSORS)
+    assert before.select(batch.columns).exceptAll(batch).isEmpty()

@@ -352,6 +352,17 @@ from scored s join advice_lines a on s.prediction = a.prediction""",
         *_gains("child_gains", "below"), _best("children", "child_gains"),
         select="select * from root union all select * from children",
     ),
+    "stream_score_promoted": with_sql(
+        "f1k", _scored("f1k"),
+        f"""q as (select {fx.KEY}, accepted, engine_rpm, lub_oil_pressure, cast({fx.KEY} % 2 as bigint) model_version from scored),
+p as (select *, 1.0E0 / (1.0E0 + exp(-(0.25E0
+    + case when model_version = 0 then case when engine_rpm >= 4.0E4 then 0.75E0 else -0.5E0 end
+      else case when engine_rpm >= 4.0E4 then -0.25E0 else 0.5E0 end end
+    + case when model_version = 0 then case when lub_oil_pressure >= 25.0E0 then -1.25E0 else 1.0E0 end
+      else case when lub_oil_pressure >= 25.0E0 then 0.5E0 else -1.5E0 end end))) chance from q)""",
+        select=f"""select {fx.KEY}, model_version, case when accepted then floor(chance * 1.0E3) / 1.0E3 end probability,
+  case when accepted then case when chance > 0.5E0 then 1 else 0 end end prediction from p""",
+    ),
     "score_tree_model": with_sql(
         "f1",
         """p as (select *, 1.0E0 / (1.0E0 + exp(-(0.25E0

@@ -23,7 +23,7 @@ from millwright.sources.registry import ModelRegistry
 from millwright.sources.scratch import SETTING, fresh_path, materialize, scratch_root
 from millwright.sources.store import DatasetStore
 from millwright.streaming.ingest import ingest, read_csv_stream
-from millwright.streaming.scoring import start_scoring
+from millwright.streaming.scoring import start_registry_scoring, start_scoring
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -454,6 +454,31 @@ def stream_score(spark, sf_dir):
     return spark.read.schema(score(stream, fx.scorer_a(), fx.SENSORS).schema).parquet(output)
 
 
+def _stumps(*values: float) -> boosting.NewtonModel:
+    """Two given trees of one cut each, by speed and by oil pressure."""
+    tree, (a, b, c, d) = boosting.Tree, values
+    return boosting.NewtonModel(list(FEATURES), 0.25, 1, [
+        tree([0, -1, -1], [0, 0, 0], [4.0e4, 0.0, 0.0], [0.0, a, b]),
+        tree([1, -1, -1], [0, 0, 0], [25.0, 0.0, 0.0], [0.0, c, d]),
+    ])
+
+
+@query
+def stream_score_promoted(spark, sf_dir):
+    """A stream in two runs, the second after another model was published; probabilities to three places."""
+    rows, inbox, output = fx.keyed_readings(spark, sf_dir), fresh_path(spark, "inbox"), fresh_path(spark, "scored")
+    registry = ModelRegistry(spark, fresh_path(spark, "registry"))
+    schema = fx.file_schema(keyed=True)
+    for turn, model in enumerate((_stumps(-0.5, 0.75, 1.0, -1.25), _stumps(0.5, -0.25, -1.5, 0.5))):
+        registry.publish(model, {}, "given")
+        files.to_headers(rows.where(F.col(fx.KEY) % 2 == turn)).write.mode("append").option("header", True).csv(inbox)
+        stream = read_csv_stream(spark, inbox, schema)
+        start_registry_scoring(stream, registry, output, f"{output}-checkpoint", fx.SENSORS).awaitTermination()
+    scored = spark.read.parquet(output)
+    return scored.select(
+        fx.KEY, "model_version", "prediction", F.expr("floor(probability * 1.0E3) / 1.0E3").alias("probability"))
+
+
 # ---- models ------------------------------------------------------------------
 
 
@@ -496,12 +521,7 @@ def first_tree(spark, sf_dir):
 @query
 def score_tree_model(spark, sf_dir):
     """Two given stumps over every reading; probabilities to three places."""
-    tree = boosting.Tree
-    model = boosting.NewtonModel(list(FEATURES), 0.25, 1, [
-        tree([0, -1, -1], [0, 0, 0], [4.0e4, 0.0, 0.0], [0.0, -0.5, 0.75]),
-        tree([1, -1, -1], [0, 0, 0], [25.0, 0.0, 0.0], [0.0, 1.0, -1.25]),
-    ])
-    scored = model.transform(fx.readings(spark, sf_dir))
+    scored = _stumps(-0.5, 0.75, 1.0, -1.25).transform(fx.readings(spark, sf_dir))
     return scored.withColumns({
         "prediction": F.when(F.col("probability") > 0.5, 1).otherwise(0),
         "probability": F.expr("floor(probability * 1.0E3) / 1.0E3"),
