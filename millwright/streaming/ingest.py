@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import json
 import re
 from dataclasses import dataclass
 from functools import reduce
@@ -21,7 +22,8 @@ from pyspark.sql import types as T
 
 from millwright.schema import FEATURES, HEADERS, TARGET, header_schema
 from millwright.sources.readings import MISSING_TEXTS, parse_text_columns
-from millwright.sources.scratch import as_named, scratch_tables
+from millwright.sources.log import put_if_absent, text_of
+from millwright.sources.scratch import as_named, children, discard, located, scratch_tables
 from millwright.sources.store import DatasetStore
 
 #: Files of a batch; their paths and header lines are on the driver.
@@ -197,6 +199,56 @@ def read_files(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+# ---- files of committed batches ---------------------------------------------------
+
+
+class Retired:
+    """Moves the files of committed batches into an archive on the same file system.
+
+    When a batch's rows are committed, a manifest of its files is written, and then the
+    files move, to ``archive/<tag>/``.  A job that ends between two steps leaves the
+    manifest, by which the next one goes on; what has moved is not looked for again.
+    A manifest stays until a later batch comes, so a batch that Spark repeats because
+    its own commit was lost is known to be done, though its files are gone.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, archive: str):
+        self.spark, self.folder, self.archive = spark, folder, archive.rstrip("/")
+
+    def _path(self, tag: str) -> str:
+        return f"{self.folder}/{tag}.json"
+
+    def _tags(self) -> list[str]:
+        names = [p.rsplit("/", 1)[1] for p in children(self.spark, self.folder)]
+        return sorted(n.removesuffix(".json") for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def is_done(self, tag: str) -> bool:
+        return tag in self._tags()
+
+    def done(self, tag: str, paths: list[str]) -> None:
+        """Note that a batch is committed, and move its files."""
+        put_if_absent(self.spark, self._path(tag), json.dumps(paths))
+        self.move(tag)
+
+    def move(self, tag: str) -> None:
+        for path in json.loads(text_of(self.spark, self._path(tag))):
+            system, source = located(self.spark, path)
+            if not system.exists(source):
+                continue
+            _, folder = located(self.spark, f"{self.archive}/{tag}")
+            system.mkdirs(folder)
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(folder, source.getName())
+            if not system.rename(source, target):
+                raise OSError(f"{path} could not be moved to {self.archive}")
+
+    def finish(self, but: str | None = None) -> None:
+        """Move what an earlier job has left; with ``but``, forget all batches before that one."""
+        for tag in self._tags():
+            self.move(tag)
+            if but is not None and tag != but:
+                discard(self.spark, self._path(tag))
+
+
 # ---- the job --------------------------------------------------------------------
 
 
@@ -214,14 +266,23 @@ def ingest(
     The checkpoint (default: next to the store) remembers the files, so each is
     merged once.  Duplicates are resolved against the stored rows rather than in
     stream state, which without an event time could never be dropped.  Rejected
-    rows are below the store in ``rejects`` with file, raw text and reason.
+    rows are below the store in ``rejects`` with file, raw text and reason.  With
+    ``archive`` a batch's files move there as soon as it is committed.
     """
     checkpoint = checkpoint or f"{store.root}/ingest_checkpoint"
     source = hashlib.sha256(f"{checkpoint}|{inbox}".encode()).hexdigest()[:12]
     merged, kept_back = [], []
 
+    retired = Retired(store.spark, f"{checkpoint}-retired", archive) if archive else None
+    if retired:
+        retired.finish()
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         tag = f"{source}-{batch_id}"
+        if retired:
+            retired.finish(but=tag)
+            if retired.is_done(tag):
+                return
         paths = sorted(r.path for r in batch.select("path").collect())
         with scratch_tables(store.spark) as tables:
             # read several times below; in the shared folder it outlives executors
@@ -233,9 +294,11 @@ def ingest(
                 store.merge(usable, tag)
                 merged.append(batch_id)
             kept_back.append(rejected)
+        if retired:
+            retired.done(tag, paths)
 
     reader = store.spark.readStream.format("binaryFile").schema(_LISTING)
-    for name, value in _source_options(archive, max_files).items():
+    for name, value in _source_options(None, max_files).items():
         reader = reader.option(name, value)
     query = (
         reader.load(inbox).select("path")  # the contents are never loaded here

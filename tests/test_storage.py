@@ -13,7 +13,7 @@ from millwright.schema import FEATURES, SENSORS, TARGET
 from millwright.sources import readings as files
 from millwright.sources.scratch import scratch_tables
 from millwright.sources.store import DatasetStore
-from millwright.streaming.ingest import HEADER_BYTES, Ingested, header_lines, ingest, read_csv_stream
+from millwright.streaming.ingest import HEADER_BYTES, Ingested, Retired, header_lines, ingest, read_csv_stream
 
 HEADER = ",".join([s.header for s in SENSORS] + ["Engine Condition"])
 
@@ -347,3 +347,45 @@ def test_bounded_batches_and_archive(spark, folder):
     done = ingest(store, inbox, archive=f"{folder}/done", max_files=1)
     assert done.batches == 3 and bag(store.read()) == bag(table(spark, [0, 1, 2]))
     assert len(store.current().segments) == 3
+
+
+def archived_names(folder):
+    return sorted(p.name for p in Path(f"{folder}/done").rglob("*.csv"))
+
+
+def test_files_move_as_soon_as_they_are_merged(spark, folder):
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    for n, name in enumerate(["a.csv", "b[1].csv", "c%20d.csv"]):
+        put(inbox, name, line(float(n), n % 2))
+    put(inbox, "bad.csv", line("x", "y"))
+    done = ingest(store, inbox, archive=f"{folder}/done", max_files=2)
+    assert done == Ingested(2, 1) and list(Path(inbox).glob("*.csv")) == []
+    assert archived_names(folder) == ["a.csv", "b[1].csv", "bad.csv", "c%20d.csv"]
+    assert len(list(Path(f"{store.root}/ingest_checkpoint-retired").glob("*.json"))) == 1
+    put(inbox, "e.csv", line(9.0, 1))
+    assert ingest(store, inbox, archive=f"{folder}/done") == Ingested(1, 0)
+    assert bag(store.read()) == bag(table(spark, [0, 1, 2, 9])) and len(archived_names(folder)) == 5
+
+
+@pytest.mark.parametrize("step", ["done", "move"])
+@pytest.mark.parametrize("label", [1, "bad"])
+def test_a_job_that_ends_before_its_files_have_moved(spark, folder, monkeypatch, step, label):
+    """It is gone on with: no row is lost or merged twice, and every file moves."""
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    store.create(table(spark, [1]), dedupe=True)
+    for name in "ab":
+        put(inbox, f"{name}.csv", line(5.0, label))
+
+    def stop(*_):
+        raise RuntimeError("the job ends here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Retired, step, stop)
+        with pytest.raises(Exception, match="the job ends here"):
+            ingest(store, inbox, archive=f"{folder}/done")
+    assert archived_names(folder) == []
+    ingest(store, inbox, archive=f"{folder}/done")
+    assert archived_names(folder) == ["a.csv", "b.csv"]
+    assert bag(store.read()) == bag(table(spark, [1, 5] if label == 1 else [1]))
+    assert store.rejects().count() == (0 if label == 1 else 2)
+    assert ingest(store, inbox, archive=f"{folder}/done") == Ingested(0, 0)

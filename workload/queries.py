@@ -277,11 +277,11 @@ def stream_ingest_rejects(spark, sf_dir):
 
 @query
 def stream_ingest_archive(spark, sf_dir):
-    """The files of a merged batch, as they are read in the archive when a later one has come."""
+    """The files of merged batches, as they are read in the archive."""
     base, batch = fx.base_and_batch(spark, sf_dir)
     store = DatasetStore(spark, fresh_path(spark, "store"))
     inbox, archive = fresh_path(spark, "inbox"), fresh_path(spark, "archive")
-    for rows in (base, batch, base.limit(1), base.limit(1)):  # a batch is moved when the next ones are planned
+    for rows in (base, batch):
         files.to_headers(rows).write.mode("append").option("header", True).csv(inbox)
         ingest(store, inbox, fx.file_schema(), archive)
     moved = spark.read.option("header", True).option("recursiveFileLookup", True).csv(archive)
