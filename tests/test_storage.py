@@ -389,3 +389,37 @@ def test_a_job_that_ends_before_its_files_have_moved(spark, folder, monkeypatch,
     assert bag(store.read()) == bag(table(spark, [1, 5] if label == 1 else [1]))
     assert store.rejects().count() == (0 if label == 1 else 2)
     assert ingest(store, inbox, archive=f"{folder}/done") == Ingested(0, 0)
+
+
+NOTED = "Note," + HEADER
+
+
+@pytest.mark.parametrize("split_bytes", [128 << 20, 200])
+def test_quoted_cells_may_have_line_breaks(spark, folder, monkeypatch, split_bytes):
+    """In one split and over many, beside files without breaks and with quotes that do not close."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+        notes = [f'"n{n}\n' + "more, text\n\n" * (n % 40) + f'and ""quoted"" {n}"' for n in range(60)]
+        put(inbox, "a.csv", *[f"{note},{line(float(n), n % 2)}" for n, note in enumerate(notes)], header=NOTED)
+        put(inbox, "b.csv", *[f'"plain, {n}",{line(float(n), n % 2)}' for n in range(60, 80)], header=NOTED)
+        put(inbox, "c[1].csv", f'5" wide,{line(80.0, 0)}', "", f'x,{line(81.0, 1)}', f'"open,{line(82.0, 0)}', header=NOTED)
+        done = ingest(store, inbox)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = {r.engine_rpm: r.Note for r in store.read().collect()}
+    for n, note in enumerate(notes):
+        assert rows[float(n)] == note[1:-1].replace('""', '"'), n
+    assert [rows[float(n)] for n in range(60, 80)] == [f"plain, {n}" for n in range(60, 80)]
+    assert rows[80.0] == '5" wide' and rows[81.0] == "x" and done.rejected == 1 and len(rows) == 82
+    assert store.rejects().first().file == "c[1].csv"
+
+
+def test_a_quote_that_never_closes_is_taken_line_by_line(spark, folder, monkeypatch):
+    monkeypatch.setattr("millwright.streaming.ingest.ROW_LINES", 5)
+    store, inbox = DatasetStore(spark, f"{folder}/store"), f"{folder}/inbox"
+    put(inbox, "a.csv", f'"a\nb",{line(1.0, 1)}', f'"never,{line(2.0, 1)}', *[f"x,{line(float(n), 0)}" for n in range(3, 13)], header=NOTED)
+    assert ingest(store, inbox) == Ingested(1, 1)
+    assert sorted(r.engine_rpm for r in store.read().collect()) == [1.0, *map(float, range(3, 13))]

@@ -246,6 +246,8 @@ ORACLES: dict[str, str] = {
     "stream_ingest_merge": with_sql("f1", base_and_batch_sql(), select=_MERGED),
     "stream_ingest_headers": with_sql("f1", select=f"""select distinct {fx.COLUMNS_SQL},
   case when src_key % 3 = 2 then 'u' || (src_key % 7) end as "Unit" from f1"""),
+    "stream_ingest_breaks": with_sql("f1", select=f"""select distinct {fx.COLUMNS_SQL},
+  case when src_key % 3 = 0 then concat('u', src_key % 7, chr(10), 'said "on",', chr(10), 'end') else 'plain, so' end as "Note" from f1"""),
     "stream_ingest_quarantine": with_sql("f1", select=f"""select distinct {fx.COLUMNS_SQL.replace(
         'engine_rpm', 'case when src_key % 23 <> 0 then engine_rpm end engine_rpm')}
 from f1 where {_USABLE}"""),

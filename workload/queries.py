@@ -231,6 +231,18 @@ def stream_ingest_headers(spark, sf_dir):
     return store.read()
 
 
+@query
+def stream_ingest_breaks(spark, sf_dir):
+    """Files with a column of quoted notes, of which some have line breaks and quotes."""
+    note = F.when(F.col("src_key") % 3 == 0, F.concat(F.lit("u"), F.col("src_key") % 7, F.lit('\nsaid "on",\nend'))).otherwise("plain, so")
+    rows = files.to_headers(fx.readings(spark, sf_dir).withColumn("Note", note)).select("Note", *_HEADERS)
+    inbox = fresh_path(spark, "inbox")
+    rows.write.options(header=True, escape='"').csv(inbox)
+    store = DatasetStore(spark, fresh_path(spark, "store"))
+    ingest(store, inbox, fx.file_schema())
+    return store.read()
+
+
 def _spoilt(spark, sf_dir) -> DataFrame:
     """Readings as cells of text, some of which no reading has."""
     rows = fx.readings(spark, sf_dir)
