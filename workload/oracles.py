@@ -354,6 +354,12 @@ from scored s join advice_lines a on s.prediction = a.prediction""",
         *_gains("child_gains", "below"), _best("children", "child_gains"),
         select="select * from root union all select * from children",
     ),
+    "curvature_quantiles": with_sql("f1", """w as (select *, cast(floor(least(1.0E0, engine_rpm/lub_oil_pressure/4.0E3)*1.0E3) as bigint) p from f1)""",
+        "u as (" + " union all ".join(f"select '{c}' feature, {c} x, p * (1000 - p) w from w" for c in FEATURES[1:]) + ")",
+        """g as (select feature, x, sum(w) w from u where w > 0 group by feature, x),
+c as (select feature, x, sum(w) over (partition by feature order by x) upto, sum(w) over (partition by feature) total from g)""",
+        select="""select feature, cast(k as int) step, min(x) "value" from c cross join generate_series(1, 15) t(k)
+where 16 * upto > k * total group by feature, k"""),
     "stream_score_promoted": with_sql(
         "f1k", _scored("f1k"),
         f"""q as (select {fx.KEY}, accepted, engine_rpm, lub_oil_pressure, cast({fx.KEY} % 2 as bigint) model_version from scored),

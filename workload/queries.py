@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.operators import advice, boosting, evaluation, merging, quality, splitting, trees
+from millwright.operators import advice, boosting, evaluation, merging, quality, quantiles, splitting, trees
 from millwright.plans.preparation import prepare
 from millwright.plans.scoring import score
 from millwright.plans.training import evaluate_model, train_and_promote
@@ -514,6 +514,16 @@ def split_gain(spark, sf_dir):
     return spark.createDataFrame([(f, int(b), g) for f, b, g in rows], "feature string, bin int, gain double")
 
 
+@query
+def curvature_quantiles(spark, sf_dir):
+    """The values at each sixteenth of the curvature that a scorer leaves, for sensors of few values (exact there)."""
+    chance = F.round(fx.scorer_a() * 1000)
+    names, steps = list(FEATURES[1:]), [k / 16 for k in range(1, 16)]
+    found = quantiles.summaries(fx.readings(spark, sf_dir), names, chance * (1000 - chance))
+    rows = [(n, k, v) for n, s in zip(names, found, strict=True) for k, v in enumerate(quantiles.quantiles(s, steps), 1)]
+    return spark.createDataFrame(rows, "feature string, step int, value double")
+
+
 @query
 def first_tree(spark, sf_dir):
     """The trainer's first tree from one half, two levels deep, on every row and column."""
