@@ -22,7 +22,7 @@ from millwright.llm.token_alignment import align_tokens
 from millwright.llm.topk_search import top_scores
 from millwright.llm.url_filter import judge_urls
 from millwright.llm.warc import archived
-from millwright.sources.scratch import fresh_path
+from millwright.sources.scratch import discard, fresh_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,7 +61,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archived(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+    path = fresh_path(spark, "warc")
+    try:
+        return archived(table(spark, sf_dir, "pages"), path)
+    finally:
+        discard(spark, path)  # what was read back of the archives is kept
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

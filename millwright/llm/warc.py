@@ -15,6 +15,7 @@ there, and reports the bytes between as a gap.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -33,6 +34,11 @@ VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MEMBER = b"\x1f\x8b\x08"
 EMPTY_MEMBER = zlib.compress(b"", wbits=31)
 RECORDS_PER_FILE = 2_000
+#: A file has so many bytes of bodies at most, or a single record; Spark reads files below 2 GB whole.
+FILE_BYTES = 1 << 30
+#: Digits of a content length that is taken for one, and the digests that are checked.
+MOST_DIGITS = 18
+DIGESTS = ("sha256", "sha1", "md5", "sha512")
 #: Bodies shorter than this are written again rather than referred to.
 MIN_REVISIT_BYTES = 100
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -105,6 +111,8 @@ def write_archives(
     records, separator, encoding = joined.select(record.alias("record")), END.decode(), "utf-8"
     if compression == "member":
         records, separator, encoding, compression = _members(records), EMPTY_MEMBER.decode("latin-1"), "iso-8859-1", "none"
+    longest = rows.agg(F.max("__size").alias("n")).first().n or 0
+    records_per_file = max(1, min(records_per_file, FILE_BYTES // max(longest, 1)))
     records.write.option("lineSep", separator).option("encoding", encoding).option(
         "compression", compression).option("maxRecordsPerFile", records_per_file).text(path)
 
@@ -144,9 +152,14 @@ def _parse(data: bytes, at: int, member: int) -> Record:
     headers: dict[str, str] = {}
     lines: dict[str, int] = {}
     line = version.end()
+    key = ""
     while (line_end := data.find(b"\r\n", line)) != line:  # to the blank line, however far
         if line_end < 0:
             raise Failed("the header does not end", len(data))
+        if key and data[line] in b" \t":  # a folded line goes on with the one before
+            headers[key] += " " + data[line:line_end].decode("utf-8", "replace").strip()
+            line = line_end + 2
+            continue
         name, colon, value = data[line:line_end].partition(b":")
         if not colon:
             raise Failed("a header line without a colon", line)
@@ -154,22 +167,34 @@ def _parse(data: bytes, at: int, member: int) -> Record:
         headers[key], lines[key] = value.decode("utf-8", "replace").strip(), line
         line = line_end + 2
     length = headers.get("content-length", "")
-    if not (length.isascii() and length.isdigit()):
+    if not (length.isascii() and length.isdigit() and len(length) <= MOST_DIGITS):
         raise Failed("no content length", line)
+    if not headers.get("warc-record-id") or not headers.get("warc-type"):
+        raise Failed("no record id or type", line)
     start = line + 2
     end = start + int(length)
     if data[end : end + len(END)] != END:
         raise Failed("truncated" if end > len(data) else "no end mark after the block", line)
     payload = data[start:end]
+    in_parts = False  # the digest of a body sent in chunks is that of the body put together
     if headers.get("content-type", "").startswith("application/http"):
-        payload = payload.partition(END)[2]
-    stated = headers.get("warc-payload-digest", "")
-    if stated.startswith("sha256:") and headers.get("warc-type") != "revisit":
-        if hashlib.sha256(payload).hexdigest() != stated.removeprefix("sha256:").lower():
+        head, _, payload = payload.partition(END)
+        in_parts = b"transfer-encoding" in head.lower()
+    if headers.get("warc-type") != "revisit" and not in_parts:
+        if not _agrees(payload, headers.get("warc-payload-digest", "")):
             raise Failed("payload digest differs", min(lines[k] for k in ("warc-payload-digest", "content-type") if k in lines))
     return Record(member, at, end + len(END), headers, payload)
 
 
+def _agrees(payload: bytes, stated: str) -> bool:
+    """Whether a stated digest, in hexadecimal or base 32, is the payload's; one of an unknown kind is not checked."""
+    kind, _, value = stated.partition(":")
+    if kind.lower() not in DIGESTS:
+        return True
+    own = hashlib.new(kind.lower(), payload)
+    return value.lower() == own.hexdigest() or value.rstrip("=").upper() == base64.b32encode(own.digest()).decode().rstrip("=")
+
+
 def _records(data: bytes, member: int, whole: bool = True) -> Iterator[Record | Gap]:
     """Records of an inflated member (or a plain stretch), and the gaps between them."""
     at = 0
@@ -333,6 +358,16 @@ def resolved(rows: DataFrame) -> DataFrame:
 
 
 def archived(pages: DataFrame, path: str, **columns) -> DataFrame:
-    """Write ``pages`` to ``path`` and give what can be read back of them, as :func:`resolved` does."""
+    """Write ``pages`` to ``path`` and give what can be read back of them, as :func:`resolved` does.
+
+    The rows given are read already; the archives stay for others.  Stretches that could
+    not be read back raise with their count, for a page in one would be missing.  Bodies
+    and urls may be of any length below Spark's bound of 2 GB a file; other columns are
+    not read.
+    """
     write_archives(pages, path, **columns)
-    return resolved(materialize(read_archives(pages.sparkSession, path, with_payload=False), "warc-records"))
+    rows = materialize(read_archives(pages.sparkSession, path, with_payload=False), "warc-records")
+    gaps = rows.where("kind = 'gap'").count()
+    if gaps:
+        raise ValueError(f"{gaps} stretches of the archives below {path} could not be read")
+    return resolved(rows)

@@ -1,8 +1,10 @@
 """WARC archives, URL rules and packing."""
 
+import base64
 import gzip
 import hashlib
 import random
+import re
 import string
 import unicodedata
 import zlib
@@ -343,3 +345,70 @@ def test_joined_words_have_the_ids_of_each_alone():
         for text, ids in zip(texts, coder.encode(texts), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
     assert coder.encode([]) == [] and coder.encode(["<|"])[0] and coder.encode([""]) == [b""]
+
+
+# ---- archives that others wrote, or that are damaged ----------------------------
+
+
+def test_digests_of_other_writers_are_checked():
+    body = b"<p>some page</p>"
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:0>\r\nWARC-Payload-Digest: %s\r\nContent-Length: %d\r\n\r\n"
+    sha1, sha256 = hashlib.sha1(body), hashlib.sha256(body)
+    sound = [f"sha1:{base64.b32encode(sha1.digest()).decode()}", f"SHA1:{sha1.hexdigest()}", f"sha256:{sha256.hexdigest().upper()}",
+             f"sha256:{base64.b32encode(sha256.digest()).decode().rstrip('=')}", f"md5:{hashlib.md5(body).hexdigest()}", "blake9:abc", "none"]
+    for stated in sound:
+        data = head % (stated.encode(), len(body)) + body + b"\r\n\r\n"
+        assert ids(salvage(data)) == ["0"], stated
+        changed = data.replace(b"some page", b"same page")
+        assert bool(gaps(salvage(changed))) == (stated not in sound[-2:]), stated
+    http = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5\r\n<p>so"
+    chunked = (head % (sound[0].encode(), len(http))).replace(b"Content-Length", b"Content-Type: application/http\r\nContent-Length")
+    assert ids(salvage(chunked + http + b"\r\n\r\n")) == ["0"]
+
+
+def test_folded_lines_and_absurd_lengths():
+    folded = record(1).replace(b"WARC-Type: resource\r\n", b"WARC-Type: resource\r\nWARC-Target-URI: http://a/\r\n  b\r\n\tc\r\n")
+    (found,) = salvage(folded)
+    assert found.headers["warc-target-uri"] == "http://a/ b c" and ids([found]) == ["1"]
+    absurd = re.sub(rb"Content-Length: \d+", b"Content-Length: " + b"9" * 5_000, record(2))
+    assert ids(salvage(record(1) + absurd + record(3))) == ["1", "3"]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_damage_costs_only_the_records_that_it_touches(packed):
+    """Bytes cut out, flipped and put in at random places; records behind them are found."""
+    pick = random.Random(packed)
+    records = [record(i, "".join(pick.choice("abc <>\r\n") for _ in range(pick.randrange(400)))) for i in range(12)]
+    parts = [gzip.compress(r) if packed else r for r in records]
+    starts = np.cumsum([0, *map(len, parts)])
+    for _ in range(400):
+        data, touched = bytearray(b"".join(parts)), set()
+        at = pick.randrange(len(data))
+        many = pick.randrange(1, 40)
+        first, last = np.searchsorted(starts, [at, min(at + many, len(data) - 1)], side="right") - 1
+        kind = pick.choice(["cut", "flip", "put"])
+        if kind == "cut":
+            del data[at : at + many]
+            touched = set(range(first, last + 1))
+        elif kind == "flip":
+            data[at] ^= 1 << pick.randrange(8)
+            touched = {first}
+        else:
+            data[at:at] = pick.randbytes(many)
+            touched = {first} - ({first} if at == starts[first] else set())
+        found = ids(salvage(bytes(data)))
+        assert {str(i) for i in range(12) if i not in touched} <= set(found), (kind, at, many)
+
+
+def test_lost_stretches_raise_and_files_are_bounded_by_bytes(spark, folder, monkeypatch):
+    rows = spark.createDataFrame([(i, "http://a/", f"<p>{i}</p>" + "x" * 3_000) for i in range(40)], PAGES).coalesce(1)
+    monkeypatch.setattr("millwright.llm.warc.FILE_BYTES", 10_000)
+    assert archived(rows, f"{folder}/a", compression="none").count() == 40
+    files = sorted(Path(f"{folder}/a").glob("part-*"))
+    assert len(files) >= 13 and max(f.stat().st_size for f in files) < 14_000
+    data = files[0].read_bytes()
+    monkeypatch.setattr("millwright.llm.warc.write_archives", lambda *_, **__: None)
+    files[0].write_bytes(data.replace(b"WARC/1.1", b"WARC/9.9", 1))
+    Path(f"{folder}/a/.{files[0].name}.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError, match="1 stretches"):
+        archived(rows, f"{folder}/a")
