@@ -142,7 +142,8 @@ def exact_dedup(docs: DataFrame, largest: bool = False, doc_id: str = "doc_id",
     Texts are equal when identical after lower-casing A-Z.  Of equal ones the row
     with the smallest ``doc_id`` stays, or with the largest; of repeated rows of
     that id one stays.  A null id loses against any other; a null text is an empty
-    one.  Other columns are not read.
+    one, and texts of any length go into their digest whole.  Ids are whole numbers.
+    Other columns are not read.
     """
     rows = materialize(digests(docs, doc_id, text), "exact-digests")
     groups = materialize(merged_runs(rows, largest), "exact-groups")

@@ -60,7 +60,8 @@ def line_dedup(
     with more than ``whole_page_share`` of its characters in such lines is one of
     many copies of a page, not a page with a banner: it stays as it is, and is the
     business of document dedup.  A null text stays null with 0 lines; an empty one
-    is one blank line.  Repeated rows are pages each.  Columns called n_lines or
+    is one blank line, and one of any length is cut into its lines by the task that has
+    it.  Repeated rows are pages each.  Columns called n_lines or
     n_removed are replaced.
     """
     known = materialize(boilerplate(docs, text, site, ratio, min_pages), "line-boilerplate")

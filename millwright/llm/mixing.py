@@ -144,7 +144,11 @@ def _last_pass(key: Column, prefix: str = "") -> tuple[Column, Column]:
 def words_taken(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
-    ``taken`` counts the words that the mix takes of it, repeats included.
+    ``taken`` counts the words that the mix takes of it, repeats included.  A null or
+    empty text has size 0 and gives no words; a text of any length is counted whole.
+    Null sources are one source, the last.  Repeated rows are documents each; those
+    that tie on their key at a source's cut share what is left of its budget.  Other
+    columns are not read.  An empty table gives no rows.
     """
     rows = materialize(sized(docs), "mix-rows")
     with scratch_tables(docs.sparkSession) as tables:

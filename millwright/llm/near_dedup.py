@@ -415,7 +415,8 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     smallest id that links lead to.  A text without words, null or empty, has no
     shingles and is linked with nothing, and so is a row without an id, whose
     ``component_id`` is null and which is kept.  Repeated rows have the same
-    component.  Other columns are not read.
+    component.  Texts of any length are read whole, and the set of one is the least
+    that a task holds.  Ids are whole numbers.  Other columns are not read.
     """
     rows = materialize(_sketches(docs, doc_id, text), "near-sketches")
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(

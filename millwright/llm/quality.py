@@ -110,8 +110,9 @@ def ledger(
 
     Words are runs without ASCII blanks; word_chars counts code points; a line is
     repeated if it has a word and equals an earlier line of the text.  A null text
-    has no words and fails as an empty one does.  Repeated rows are rows of their
-    own; columns not kept are not read.
+    has no words and fails as an empty one does; one of any length is read whole, by
+    the task that has it.  Repeated rows are rows of their own; columns not kept are
+    not read.
     """
     read = [*keep, *([] if text in keep else [text])]
     measured = _numbered(docs, read).mapInArrow(

@@ -421,8 +421,8 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, tex
     Every byte is judged on the input: one goes if any window of ``width`` bytes over
     it also starts in a text with a smaller id.  A null text is empty; a text shorter
     than ``width`` keeps all.  Rows of equal id and text do not remove from each
-    other.  A row without an id comes after every other.  Other columns are not
-    read.  A task holds some slices' or ranges' MB, and at least one whole text.
+    other.  A row without an id comes after every other; ids are whole numbers.  Other
+    columns are not read.  A task holds some slices' or ranges' MB, and at least one whole text.
     """
     if not gram + 12 <= width <= gram + 63 or width < 32:
         raise ValueError("a window must have at least 32 bytes, and name one of 13 to 64 grams")

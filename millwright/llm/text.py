@@ -25,11 +25,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def partitions(df: DataFrame) -> int:
-    """Shuffle partitions of the session, the least number of tasks to spread work over."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, so its later tasks find it filled."""
     holder = sys.modules.setdefault("_millwright_llm_worker", types.ModuleType("_millwright_llm_worker"))

@@ -115,7 +115,8 @@ def judge_urls(
     """(page_id, host, path, rule, verdict), a row per row of ``pages``; other columns are not read.
 
     ``rule`` is null where none fits, and ``verdict`` is then ``otherwise``.  A null
-    url, or one without ``://``, has an empty host and path, which no rule fits.
+    url, or one without ``://``, has an empty host and path, which no rule fits.  A
+    url of any length is judged whole; repeated rows are rows of their own.
     """
     spark = pages.sparkSession
     trie = rule_trie(tuple(rules))
