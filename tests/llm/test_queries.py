@@ -1,15 +1,20 @@
 """The registered queries against their SQL or brute force, and the pipeline's stages."""
 
+from collections import Counter
+
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from check import compare, sql_connection
+from millwright.llm.mixing import words_taken
 from millwright.llm.oracles import ORACLES
-from millwright.llm.queries import QUERIES
+from millwright.llm.queries import QUERIES, VOCABULARY
 from millwright.llm.text import table
 from tests.conftest import SF_DIR
 from tests.llm import cases
+from tests.llm.test_archives_urls_packing import check_places
 
 
 @pytest.fixture(scope="module")
@@ -54,7 +59,20 @@ def test_stages(spark):
     kept = {d for d, (_, _, stays) in cases.near(lines).items() if stays}
     assert sorted(r.doc_id for r in seen["near_dedup"].collect()) == sorted(kept)
     assert {r.doc_id for r in seen["mix_sources"].collect()} <= kept
-    assert seen["packing"].select("doc_id").distinct().count() == seen["mix_sources"].select("doc_id").distinct().count()
+    taken = {r.doc_id: r.taken for r in words_taken(seen["near_dedup"]).collect() if r.taken}
+    mixed, tokens = Counter(), Counter()
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    for r in seen["mix_sources"].collect():
+        mixed[r.doc_id] += len(r.text.encode().split())
+        tokens[r.doc_id] += len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1
+    assert mixed == taken
+    pieces = seen["packing"].collect()
+    held = Counter()
+    for r in pieces:
+        held[r.doc_id] += r.length
+    assert held == tokens
+    n = check_places(pieces, 2048)
+    assert n <= -(-sum(tokens.values()) // 2048) + 1
 
 
 def test_the_pipeline_of_odd_rows(spark, tmp_path):
