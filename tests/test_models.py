@@ -162,6 +162,32 @@ def test_margins_survive_a_rewrite_of_the_state(rows, monkeypatch):
         assert bo.train_newton(rows, params=params, edges=edges) == kept
 
 
+def test_a_tree_level_is_one_stage(spark, rows):
+    edges = bo._bin_edges(rows, FEATURES, 32)
+
+    def stages(n_trees):
+        context, group = spark.sparkContext, f"boost-{n_trees}"
+        context.setJobGroup(group, "boosting")
+        bo.train_newton(rows, params=bo.BoostParams(n_trees=n_trees, max_depth=3, learning_rate=0.3), edges=edges)
+        context.setJobGroup("rest", "")
+        jobs = [context.statusTracker().getJobInfo(job) for job in context.statusTracker().getJobIdsForGroup(group)]
+        return sum(len(job.stageIds) for job in jobs)
+
+    assert 0 < stages(3) - stages(2) <= 3
+
+
+def test_draws_and_sums_are_those_of_spark(spark, rows, monkeypatch):
+    keyed = rows.select(F.xxhash64(fx.KEY).alias("id"))
+    found = keyed.select(F.xxhash64("id", F.lit(42)), F.pmod(F.xxhash64("id", F.lit(42), F.lit(7)), F.lit(10_000)) < 8_000).collect()
+    assert bo._drawn(np.array([r[0] for r in found]), 7, 0.8).tolist() == [r[1] for r in found]
+    edges = bo._bin_edges(rows, FEATURES, 32)
+    params = bo.BoostParams(n_trees=2, max_depth=3, learning_rate=0.3)
+    kept = bo.train_newton(rows, params=params, edges=edges)
+    monkeypatch.setattr(bo, "GATHER_BYTES", 0)
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 100)
+    assert bo.train_newton(rows, params=params, edges=edges) == kept
+
+
 def test_newton_leaves_no_scratch_tables(spark, rows):
     before = len(children(spark, scratch_root(spark)))
     with pytest.raises(ValueError):
