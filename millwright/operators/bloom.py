@@ -2,14 +2,20 @@
 
 A filter is cut into buckets of 32,768 bits.  A row's hash names one bucket and some
 bits in it, so a bucket is one row of the filter's table, and asking about many rows is
-an equi-join on the bucket.  No bit array passes through the driver, and a filter of
-any size is built with partial aggregation in one shuffle of buckets.
+an equi-join on the bucket.  No bit array passes through the driver.  A filter of any
+size is built in one shuffle: tasks set the bits of their rows, bucket by bucket, and
+Spark joins those of a bucket, some two bytes a row.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +29,12 @@ MOST_HASHES = 24
 #: Bytes of a bucket in memory: 1,024 words of 32 bits, each held in a long.
 BUCKET_BYTES = 8 * BUCKET_BITS // 32
 
+#: Buckets that a task holds at once when it builds a filter.
+HELD_BUCKETS = 1 << 12
+
+# task functions travel by value: executors need no installed copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BUCKET, WORDS = "bucket", "words"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType)
@@ -84,10 +96,46 @@ def build(rows: DataFrame, hash_: Column, buckets: int, hashes: int = HASHES, by
 
     ``words`` are the bucket's bits, 32 to a word.  Equal rows count once each in ``rows``.
     """
-    placed = rows.select(*by, hash_.alias("__hash")).select(
-        *by, bucket(F.col("__hash"), buckets).alias(BUCKET), F.explode(F.array(*_positions(F.col("__hash"), hashes))).alias("__bit"))
-    bits = placed.groupBy(*by, BUCKET).agg(
-        (F.count(F.lit(1)) / hashes).cast("long").alias("rows"), F.bitmap_construct_agg("__bit").alias("__bits"))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, int] = {}  # (*by, bucket) -> its place
+        bits, counts = np.zeros((HELD_BUCKETS, BUCKET_BITS // 8), np.uint8), np.zeros(HELD_BUCKETS, np.int64)
+
+        def closed() -> pa.RecordBatch:
+            columns = [pa.array(c, k) for c, k in zip(zip(*held, strict=True), key_types, strict=True)]
+            made = [pa.array(counts[: len(held)]), pa.array([bits[i].tobytes() for i in held.values()], pa.binary())]
+            return pa.RecordBatch.from_arrays([*columns, *made], names=[*by, BUCKET, "rows", "bits"])
+
+        for batch in batches:
+            key_types = [batch.column(name).type for name in (*by, BUCKET)]
+            code = batch.column(BUCKET).to_numpy()
+            for name in by:
+                place = batch.column(name).dictionary_encode()
+                code = code * (len(place.dictionary) + 1) + place.indices.fill_null(len(place.dictionary)).to_numpy()
+            _, first, of_row = np.unique(code, return_index=True, return_inverse=True)
+            keys = list(zip(*[batch.column(name).take(pa.array(first)).to_pylist() for name in (*by, BUCKET)], strict=True))
+            for at in range(0, len(keys), HELD_BUCKETS):
+                some = keys[at : at + HELD_BUCKETS]
+                if len(held) + len(some) > HELD_BUCKETS:
+                    yield closed()
+                    held.clear()
+                    bits[:], counts[:] = 0, 0
+                places = np.array([held.setdefault(k, len(held)) for k in some])
+                mine = np.flatnonzero((of_row >= at) & (of_row < at + len(some)))
+                place = places[of_row[mine] - at]
+                np.add.at(counts, place, 1)
+                for i in range(hashes):
+                    bit = batch.column(f"h{i // 4}").to_numpy()[mine] >> (15 * (i % 4)) & (BUCKET_BITS - 1)
+                    np.bitwise_or.at(bits, (place, bit >> 3), (1 << (bit & 7)).astype(np.uint8))
+        if held:
+            yield closed()
+
+    _positions(hash_, hashes)  # checks their number
+    drawn = [F.xxhash64(hash_, F.lit(1 + i)).alias(f"h{i}") for i in range(-(-hashes // 4))]
+    placed = rows.select(*by, bucket(hash_, buckets).alias(BUCKET), *drawn)
+    kinds_ = "".join(f"`{name}` {rows.schema[name].dataType.simpleString()}, " for name in by)
+    parts = placed.mapInArrow(partial, f"{kinds_}{BUCKET} long, rows long, bits binary")
+    bits = parts.groupBy(*by, BUCKET).agg(F.sum("rows").alias("rows"), F.bitmap_or_agg("bits").alias("__bits"))
     word = F.transform(
         F.sequence(F.lit(0), F.lit(BUCKET_BITS // 32 - 1)),
         lambda i: F.conv(F.hex(F.substring("__bits", i * 4 + 1, F.lit(4))), 16, 10).cast("long"))

@@ -38,7 +38,7 @@ from millwright.operators import bloom
 from millwright.operators.merging import absent_rows, distinct_batch, merge_distinct
 from millwright.sources.log import ATTEMPTS, Conflict, VersionLog
 from millwright.sources.readings import SPLIT
-from millwright.sources.scratch import Scratch, as_named, children, discard, scratch_tables, size_on_disk
+from millwright.sources.scratch import Scratch, as_named, bounded_tasks, children, discard, scratch_tables, size_on_disk
 
 #: Segments of one size tier that are compacted into one; a tier is this many times the one below.
 TIER_SEGMENTS = 8
@@ -228,7 +228,8 @@ class DatasetStore:
         buckets = bloom.buckets_for(most)
         if is_distinct:
             rows = rows.repartition(bloom.bucket(bloom.row_hash(rows.schema), buckets))
-        rows.write.mode("overwrite").parquet(path)
+        with bounded_tasks(self.spark, most):
+            rows.write.mode("overwrite").parquet(path)
         schema = _nullable(rows.schema)
         filters = tuple(f for f in (current.filters if current else ()) if f.segment in kept)
         if kept and self.spark.read.schema(schema).parquet(path).isEmpty():
@@ -237,7 +238,8 @@ class DatasetStore:
         else:
             segments = (*kept, segment)
             if is_distinct:
-                self._write_filter(segment, schema, buckets)
+                with bounded_tasks(self.spark, most):
+                    self._write_filter(segment, schema, buckets)
                 filters = (*filters, Filter(segment, buckets, bloom.kinds(schema)))
         row = (number, list(segments), schema.json(), is_distinct, tag, kind, [asdict(f) for f in filters])
         try:

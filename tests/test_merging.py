@@ -4,6 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from millwright.operators import bloom, merging
+from millwright.sources.scratch import ROWS_PER_TASK, SPLIT_BYTES, bounded_tasks
 
 NAN = float("nan")
 SCHEMA = "a double, b string"
@@ -103,3 +104,27 @@ def test_filters_hold_every_row_and_few_others(spark):
         assert met.where("id < 100000").count() == 40_000
         assert met.where("id >= 100000").count() <= (40_000 if hashes == 1 else 100)
         assert bits.agg(F.sum("rows")).first()[0] == 40_000
+
+
+def test_filters_are_built_without_sorting_rows(spark, monkeypatch):
+    """The bits are those that Spark's own bitmap has, also when a task lets buckets go."""
+    monkeypatch.setattr(bloom, "HELD_BUCKETS", 3)
+    rows = spark.range(0, 20_000, 1, 3).select("id", (F.col("id") % 2).cast("string").alias("file"))
+    hash_, n = F.xxhash64("id"), 8
+    found = bloom.build(rows, hash_, n, by=("file",))
+    placed = rows.select("file", bloom.bucket(hash_, n).alias("bucket"), F.explode(F.array(*bloom._positions(hash_, 8))).alias("bit"))
+    want = placed.groupBy("file", "bucket").agg(
+        (F.count("bit") / 8).cast("long").alias("rows"), F.bitmap_construct_agg("bit").alias("bits"))
+    word = F.array_join(F.transform("words", lambda w: F.lpad(F.hex(w), 8, "0")), "")
+    got = found.select("file", "bucket", "rows", F.unhex(word).alias("bits"))
+    assert bag(got) == bag(want) and got.count() == 16
+    # the sort that is left is of whole buckets
+    assert found._jdf.queryExecution().executedPlan().toString().count("Generate") == 0
+
+
+def test_bounded_tasks_ends_with_the_block(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(n) for n in names]
+    with bounded_tasks(spark, 100 * ROWS_PER_TASK):
+        assert spark.conf.get(names[0]) == str(SPLIT_BYTES) and spark.conf.get(names[1]) == "100"
+    assert [spark.conf.get(n) for n in names] == before
