@@ -16,7 +16,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from millwright.sources.readings import MISSING_TEXTS, parse_text_columns
 from millwright.sources.log import put_if_absent, text_of
 from millwright.sources.scratch import as_named, children, discard, located, scratch_tables
 from millwright.sources.store import DatasetStore
+from millwright.streaming.lines import Split, rows_of_lines, same_file, splits, steady_splits
 
 #: Files of a batch; their paths and header lines are on the driver.
 MAX_FILES = 100
@@ -123,8 +124,13 @@ def _columns(header: str) -> list[str] | None:
 
 def _texts(spark: SparkSession, names: list[str], paths: list[str]) -> DataFrame:
     """Files of one header as text cells, with file, raw line and, for a malformed row, a reason."""
-    broken = _with_breaks(spark, paths)
+    found = splits(spark, [literal(p) for p in paths])
+    # only where a line has an odd number of quotes a cell may go on in the next line
+    odd = {same_file(spark, file) for file in {s.file for s in found if s.odd}}
+    broken = [p for p in paths if same_file(spark, p) in odd]
     whole = [p for p in paths if p not in broken]
+    if broken and whole:  # fewer files are split in another way
+        found = splits(spark, [literal(p) for p in broken])
     schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(RAW, T.StringType())])
     parts = []
     if whole:
@@ -135,7 +141,7 @@ def _texts(spark: SparkSession, names: list[str], paths: list[str]) -> DataFrame
         )
         parts.append(rows.withColumn(FILE, as_named(F.col("_metadata.file_name"))))
     if broken:
-        parts.append(_joined_lines(spark, schema, sorted(broken)))
+        parts.append(_joined_lines(spark, schema, broken, found))
     cells = F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names]), {"escape": '"'})
     reason = F.when(F.col(RAW).isNotNull(), F.lit("wrong number of cells"))
     return reduce(DataFrame.unionByName, parts).withColumns({REASON: reason, RAW: F.coalesce(F.col(RAW), cells)})
@@ -144,64 +150,21 @@ def _texts(spark: SparkSession, names: list[str], paths: list[str]) -> DataFrame
 # ---- quoted line breaks ---------------------------------------------------------
 
 
-def _quotes(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-
-
-def _with_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
-    """The files in which a line has an odd number of quotes: only there a cell may go on in the next line."""
-    lines = spark.read.text([literal(p) for p in paths])
-    found = lines.where(_quotes(F.col("value")) % 2 == 1).select(as_named(F.col("_metadata.file_path")).alias("path")).distinct()
-    same = {re.sub("^([a-z0-9]+):/+", r"\1:/", p): p for p in paths}
-    return {same[re.sub("^([a-z0-9]+):/+", r"\1:/", r.path)] for r in found.collect()}
-
-
-def _joined_lines(spark: SparkSession, schema: T.StructType, paths: list[str]) -> DataFrame:
+def _joined_lines(spark: SparkSession, schema: T.StructType, paths: list[str], found: list[Split]) -> DataFrame:
     """Rows of files in which quoted cells have line breaks; large files are read in splits all the same.
 
-    A line begins a row if the quotes before it in its file are even.  They are counted
-    within a split and, over the few sums of all splits, before it.  Lines of a row are
-    joined by a line feed.  What does not close within ``ROW_LINES`` lines, or is no row
-    of the header's width, is taken line by line.
+    Lines of a row are joined by a line feed.  What does not close within ``ROW_LINES``
+    lines, or is no row of the header's width, is taken line by line.
     """
-    place = Window.partitionBy("file", "split").orderBy("at")
-    lines = spark.read.text([literal(p) for p in paths]).select(
-        "value", as_named(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("at"), (_quotes(F.col("value")) % 2).alias("odd"))
-    splits = lines.groupBy("file", "split").agg(F.sum("odd").alias("odd"))
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    sums = splits.select("file", "split", F.coalesce(F.sum("odd").over(before), F.lit(0)).alias("earlier"))
-    earlier = F.coalesce(F.sum("odd").over(place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counted = lines.join(sums, ["file", "split"]).withColumn("__inside", (F.col("earlier") + earlier) % 2 == 1)
-    counted = counted.withColumn("__header", (F.col("split") == 0) & (F.row_number().over(place) == 1))
-    # a row that began in an earlier split goes on under that split's last beginning
-    starts = F.when(~F.col("__inside"), F.col("at"))
-    in_split = F.last(starts, ignorenulls=True).over(place.rowsBetween(Window.unboundedPreceding, 0))
-    begun = counted.withColumn("__own", in_split)
-    last = begun.groupBy("file", "split").agg(F.max("__own").alias("__last")).select(
-        "file", "split", F.last("__last", ignorenulls=True).over(before).alias("__carried"))
-    rows = begun.join(last, ["file", "split"]).where(~F.col("__header")).select(
-        "file", "value", F.struct("split", "at").alias("place"), "odd", "__inside", F.coalesce("__own", "__carried").alias("row"))
-    alone = ~F.col("__inside") & (F.col("odd") == 0)
-    single = rows.where(alone).select("file", F.array("value").alias("lines"))
-    longer = rows.where(~alone)
-    sizes = longer.groupBy("file", "row").agg(F.count(F.lit(1)).alias("__n"))
-    longer = longer.join(sizes, (longer["file"].eqNullSafe(sizes["file"])) & (longer["row"].eqNullSafe(sizes["row"]))).drop(
-        sizes["file"], sizes["row"])
-    joined = longer.where(F.col("__n") <= ROW_LINES).groupBy("file", "row").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("lines"))
-    endless = longer.where(F.col("__n") > ROW_LINES).select("file", F.explode(F.array("value")).alias("line"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW, "multiLine": "true", "escape": '"'}
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
-    parsed = single.union(joined.select("file", "lines")).withColumn(
-        "__row", F.from_csv(F.array_join("lines", "\n"), ddl, options))
-    is_row = F.col(f"__row.{RAW}").isNull() | (F.size("lines") == 1)
-    apart = parsed.where(~is_row).select("file", F.explode("lines").alias("line")).union(endless)
-    whole = parsed.where(is_row).withColumn("line", F.array_join("lines", "\n")).select("file", "line", "__row").union(
-        apart.withColumn("__row", F.from_csv("line", ddl, options)))
+    row = F.array_join("lines", "\n")
+    is_row = (F.size("lines") == 1) | F.from_csv(row, ddl, options)[RAW].isNull()
+    texts = rows_of_lines(spark, [literal(p) for p in paths], found, ROW_LINES).select(
+        "file", F.explode(F.when(is_row, F.array(row)).otherwise(F.col("lines"))).alias("line")).where(F.trim("line") != "")
+    cells = texts.withColumn("__row", F.from_csv("line", ddl, options))
     name = F.regexp_extract("file", "[^/]*$", 0)
-    return whole.where(F.trim("line") != "").select(
-        *[F.col(f"__row.`{f.name}`").alias(f.name) for f in schema.fields], name.alias(FILE))
+    return cells.select(*[F.col(f"__row.`{f.name}`").alias(f.name) for f in schema.fields], name.alias(FILE))
 
 
 def _unreadable_file(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
@@ -356,7 +319,8 @@ def ingest(
         paths = sorted(r.path for r in batch.select("path").collect())
         with scratch_tables(store.spark) as tables:
             # read several times below; in the shared folder it outlives executors
-            rows = tables.write(read_files(store.spark, paths, schema, label), "batch")
+            with steady_splits(store.spark):
+                rows = tables.write(read_files(store.spark, paths, schema, label), "batch")
             rejected = store.reject(rows.where(F.col(REASON).isNotNull()).select(
                 F.col(FILE).alias("file"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason")), tag)
             usable = rows.where(F.col(REASON).isNull()).drop(FILE, RAW, REASON)
