@@ -320,7 +320,9 @@ def ingest(
         with scratch_tables(store.spark) as tables:
             # read several times below; in the shared folder it outlives executors
             with steady_splits(store.spark):
-                rows = tables.write(read_files(store.spark, paths, schema, label), "batch")
+                read = read_files(store.spark, paths, schema, label)
+                raw = F.when(F.col(REASON).isNotNull(), F.col(RAW))  # that of usable rows is not asked for
+                rows = tables.write(read.withColumn(RAW, raw), "batch")
             rejected = store.reject(rows.where(F.col(REASON).isNotNull()).select(
                 F.col(FILE).alias("file"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason")), tag)
             usable = rows.where(F.col(REASON).isNull()).drop(FILE, RAW, REASON)

@@ -4,7 +4,9 @@ import random
 
 import pytest
 
-from millwright.streaming.ingest import read_files
+from millwright.sources.scratch import Scratch
+from millwright.sources.store import DatasetStore
+from millwright.streaming.ingest import Ingested, ingest, read_files
 from millwright.streaming.lines import rows_of_lines, splits, steady_splits
 from tests.test_storage import NOTED, line, put
 
@@ -53,3 +55,19 @@ def test_lines_are_not_shuffled(spark, folder):
     rows = read_files(spark, [f"{folder}/inbox/a.csv"])
     assert "Window" not in rows._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.engine_rpm for r in rows.collect()) == [float(n) for n in range(20)]
+
+
+def test_a_batch_keeps_the_text_of_unusable_rows_only(spark, folder, monkeypatch):
+    held = []
+
+    def write(self, df, name, plain=Scratch.write):
+        rows = plain(self, df, name)
+        held.extend(r.asDict() for r in rows.collect() if name == "batch")
+        return rows
+
+    monkeypatch.setattr(Scratch, "write", write)
+    put(f"{folder}/inbox", "a.csv", line(1.0), line(2.0, 1), "fast" + line(3.0))
+    store = DatasetStore(spark, f"{folder}/store")
+    assert ingest(store, f"{folder}/inbox") == Ingested(1, 1)
+    assert sorted((r["__reason"] is None, r["__raw"] is None) for r in held) == [(False, False), (True, True), (True, True)]
+    assert store.rejects().first().raw.startswith("fast3.0,")
