@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import threading
+from functools import wraps
 from pathlib import Path
 
 import pytest
@@ -54,6 +56,40 @@ def test_only_training_queries_train_again(spark, few_trees, monkeypatch):
         queries.QUERIES["train_newton"](spark, SF_DIR)
 
 
+@pytest.fixture
+def untrained(monkeypatch, folder):
+    """The model queries with a tree each and no kept models."""
+    monkeypatch.setattr(queries, "N_TREES", 1)
+    monkeypatch.setattr(queries, "_trained", lambda spark, sf_dir, trainer: queries.ModelRegistry(
+        spark, f"{folder}/{trainer.__name__}"))
+
+
+@pytest.mark.parametrize("name", ["model_facts", "promote_model"])
+def test_both_models_are_trained_at_the_same_time(spark, monkeypatch, untrained, name):
+    both, n_rows = threading.Barrier(2), []
+
+    def met(trainer):
+        @wraps(trainer)
+        def trained(train):
+            both.wait(60)
+            n_rows.append(train.count())
+            return trainer(train)
+        return trained
+
+    for trainer in ("_gbt", "_newton"):
+        monkeypatch.setattr(queries, trainer, met(getattr(queries, trainer)))
+    assert queries.QUERIES[name](spark, SF_DIR).count() == 2
+    assert len(n_rows) == 2 and n_rows[0] == n_rows[1] > 0
+
+
+@pytest.mark.parametrize("name", ["score_gbt", "evaluate_gbt", "score_newton", "evaluate_newton"])
+def test_a_model_and_the_rows_it_meets_come_of_one_split(spark, monkeypatch, untrained, name):
+    splits, split = [], queries.fx.split_readings
+    monkeypatch.setattr(queries.fx, "split_readings", lambda *a: splits.append(a) or split(*a))
+    assert queries.QUERIES[name](spark, SF_DIR).count() > 0
+    assert len(splits) == 1
+
+
 def test_entry(spark):
     row = contract.entry(spark).first()
     assert 0.5 < row.roc_auc <= 1.0
