@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.sources.scratch import Scratch
+from millwright.sources.scratch import Scratch, in_few_files
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -33,20 +33,23 @@ def _sign(edges: DataFrame) -> tuple:
     return row.n, row.h
 
 
-def components(links: DataFrame, tables: Scratch, left: str = "a", right: str = "b") -> DataFrame:
+def components(
+    links: DataFrame, tables: Scratch, left: str = "a", right: str = "b", most: int | None = None
+) -> DataFrame:
     """(node, root) of every node of ``links`` that is not the smallest of its component.
 
     Links between a node and itself, repeated links and either direction are fine;
     rows with a null end are left out.  Each round is one of ``tables``, which the
     result reads, and makes some shuffles of as many rows as there are links at most;
     a node that most links share is summed on the map side, and its side of the join
-    is split.
+    is split.  ``most`` says how many links there may be, where that is known.
     """
     a, b = F.col(left), F.col(right)
-    edges = tables.write(
-        links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
+    edges = links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    edges = tables.write(edges if most is None else in_few_files(edges, most), "links")
     sign, before = _sign(edges), None
     while sign[0] and sign != before:
-        edges = tables.write(_small_star(_large_star(edges).distinct()).distinct(), "stars")
+        stars = _small_star(_large_star(edges).distinct()).distinct()
+        edges = tables.write(in_few_files(stars, 2 * sign[0]), "stars")
         sign, before = _sign(edges), sign
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from millwright.llm.components import components
 from millwright.llm.text import releasing
-from millwright.sources.scratch import Scratch, materialize, scratch_tables
+from millwright.sources.scratch import Scratch, in_few_files, materialize, scratch_tables
 
 SHINGLE_WORDS = 5
 #: A link: intersection * 100 >= union * PERCENT.
@@ -206,9 +206,9 @@ def _linked(hub: tuple, member: tuple) -> bool:
 
 
 def _chosen(
-    pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, tuple], bool], tables: Scratch
+    pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, tuple], bool], tables: Scratch, most: int
 ) -> DataFrame:
-    """The (a, b) of ``pairs`` for which ``test`` of their payloads holds.
+    """The (a, b) of ``pairs``, ``most`` of them or fewer, for which ``test`` of their payloads holds.
 
     ``a`` is a hub: its payload goes once to each block of its members, streamed
     before them, so a task holds one hub at a time however many members there are.
@@ -217,7 +217,7 @@ def _chosen(
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_HUB).alias("blocks")).withColumnRenamed("a", "hub")
     dealt = pairs.join(sizes, F.col("a") == F.col("hub")).select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"))
-    dealt = tables.write(dealt, "near-dealt")
+    dealt = tables.write(in_few_files(dealt, most), "near-dealt")
     members = dealt.join(payload, F.col("b") == F.col("id")).select("a", "block", "b", *columns)
     hubs = dealt.select("a", "block").distinct().join(payload, F.col("a") == F.col("id")).select(
         "a", "block", F.lit(None).cast("long").alias("b"), *columns)
@@ -389,17 +389,21 @@ def _sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str) -> DataFr
     return rows.join(ids, F.col("id") == F.col("__member"), "left_semi").mapInArrow(releasing(computed), "id long, shingles binary")
 
 
-def _linked_classes(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, tables: Scratch) -> DataFrame | None:
+def _linked_classes(
+    docs: DataFrame, classes: DataFrame, n_classes: int, doc_id: str, text: str, tables: Scratch
+) -> DataFrame | None:
     """(node, root) of the classes that are linked to smaller ones; None if there are no candidates."""
     bands = _bands(classes)
     shared = bands.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    members = tables.write(bands.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "near-members")
-    if members.isEmpty():
+    members = bands.join(shared.select("bucket"), "bucket", "left_semi").distinct()
+    members = tables.write(in_few_files(members, n_classes * (REGISTERS // BAND)), "near-members")
+    most = members.count()  # a member is in a pair with its hub
+    if not most:
         return None
     sketches = classes.select("id", "n_shingles", "small", "dealt")
     sets = tables.write(_sets(docs, members, doc_id, text), "near-sets")
-    likely = _chosen(_first_pairs(members), sketches, _may_link, tables)
-    labels = tables.write(components(_chosen(likely, sets, _linked, tables), tables), "near-labels")
+    likely = _chosen(_first_pairs(members), sketches, _may_link, tables, most)
+    labels = tables.write(components(_chosen(likely, sets, _linked, tables, most), tables, most=most), "near-labels")
     blocks = _open_blocks(members, labels)
     likely = _in_blocks(blocks, sketches, _likely, "bucket long, i long, k long, id long, comp long",
                         ["bucket", "i", "k", "id", "comp"])
@@ -419,21 +423,22 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     that a task holds.  Ids are whole numbers.  Other columns are not read.
     """
     rows = materialize(_sketches(docs, doc_id, text), "near-sketches")
+    n_rows = rows.count()
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
         F.first("small").alias("small"), F.first("dealt").alias("dealt"))
     with scratch_tables(docs.sparkSession) as tables:
-        classes = tables.write(classes, "near-classes")
-        labels = _linked_classes(docs, classes, doc_id, text, tables)
+        classes = tables.write(in_few_files(classes, n_rows), "near-classes")
+        labels = _linked_classes(docs, classes, n_rows, doc_id, text, tables)
         roots = classes.select(F.col("digest").alias("__digest"), F.col("id").alias("__root"))
         if labels is not None:
             roots = roots.join(labels, F.col("__root") == F.col("node"), "left").select(
                 "__digest", F.coalesce("root", "__root").alias("__root"))
-        roots = materialize(roots, "near-roots")
+        roots = materialize(in_few_files(roots, n_rows), "near-roots")
     found = rows.select("doc_id", "n_shingles", "digest").join(
         roots, F.col("digest") == F.col("__digest"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("__root", "doc_id"))
-    return found.select(
+    return in_few_files(found, n_rows).select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

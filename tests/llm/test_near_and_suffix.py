@@ -54,6 +54,31 @@ def test_a_large_group_whose_copies_are_far_from_each_other(spark):
     assert found_near(docs(spark, rows)) == cases.near(rows)
 
 
+def test_small_tables_are_written_in_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has; every file costs a task, and a local file system a process or more."""
+    rows = [(10 * i + j, edited(words(300, i), j, 10 * i + j)) for i in range(60) for j in range(3)]
+    files, write = {}, Scratch.write
+
+    def counted(tables, df, name):
+        done = write(tables, df, name)
+        files[name] = max(files.get(name, 0), len(done.inputFiles()))
+        return done
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert found_near(docs(spark, rows)) == cases.near(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    few = {"near-classes", "near-members", "near-dealt", "stars", "near-labels"}
+    assert few <= set(files)
+    assert max(files[name] for name in few) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_joining_is_exact_at_the_threshold_of_very_long_documents():
     """671,097 shared of 894,796 shingles are 75 %; one less is not."""
     values = np.arange(894_796, dtype=np.uint64)
