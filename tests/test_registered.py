@@ -82,6 +82,24 @@ def test_both_models_are_trained_at_the_same_time(spark, monkeypatch, untrained,
     assert len(n_rows) == 2 and n_rows[0] == n_rows[1] > 0
 
 
+@pytest.mark.parametrize("name", ["model_facts", "promote_model"])
+def test_kept_models_do_not_stand_in_for_training(spark, monkeypatch, untrained, name):
+    trained = []
+
+    def counted(trainer):
+        @wraps(trainer)
+        def counts(train):
+            trained.append(trainer.__name__)
+            return trainer(train)
+        return counts
+
+    for trainer in ("_gbt", "_newton"):
+        queries.QUERIES[f"train{trainer}"](spark, SF_DIR).count()  # kept from now on
+        monkeypatch.setattr(queries, trainer, counted(getattr(queries, trainer)))
+    assert queries.QUERIES[name](spark, SF_DIR).count() == 2
+    assert sorted(trained) == ["_gbt", "_newton"]
+
+
 @pytest.mark.parametrize("name", ["score_gbt", "evaluate_gbt", "score_newton", "evaluate_newton"])
 def test_a_model_and_the_rows_it_meets_come_of_one_split(spark, monkeypatch, untrained, name):
     splits, split = [], queries.fx.split_readings
