@@ -204,6 +204,36 @@ def test_unusable_rows_are_counted(spark, rows):
     assert (row.test_rows, row.unusable_test_rows) == (gapped.count() - absent, absent)
 
 
+def test_spark_ml_meets_the_rows_in_even_tasks(spark, monkeypatch):
+    """A partition more than there are cores, or a fuller one, is dealt out; what lies evenly stays."""
+    met, cores = [], spark.sparkContext.defaultParallelism
+
+    class Met:
+        def fit(self, df):
+            at = df.withColumn("at", F.spark_partition_id()).groupBy("at").count().collect()
+            met.append((sorted(r["count"] for r in at), df.collect()))
+
+    monkeypatch.setattr(trees, "gbt_pipeline", lambda *a, **k: Met())
+    monkeypatch.setattr(trees, "ROWS_PER_TASK", 50, raising=False)
+    names = [*FEATURES, TARGET]
+    data = [tuple(float((i * (j + 3)) % 17) for j in range(len(FEATURES))) + (i % 2,) for i in range(1_000)]
+    schema = ", ".join(f"{c} double" for c in FEATURES) + f", {TARGET} int"
+    even = spark.createDataFrame(spark.sparkContext.parallelize(data, cores), schema)
+    one_more = spark.createDataFrame(spark.sparkContext.parallelize(data, cores + 1), schema)
+    fuller = spark.createDataFrame(spark.sparkContext.parallelize(data, 2 * cores), schema).coalesce(cores - 1)
+    before = len(children(spark, scratch_root(spark)))
+    for df in (even, one_more, fuller):
+        trees.train_gbt(df)
+    for sizes, rows_ in met:
+        assert len(sizes) == cores and sizes[-1] - sizes[0] <= 2 * cores
+        assert sorted(tuple(r) for r in rows_) == sorted(data)
+    assert [tuple(r) for r in met[0][1]] == data  # not dealt again
+    assert len(children(spark, scratch_root(spark))) == before
+    few = spark.createDataFrame(spark.sparkContext.parallelize(data[:40], 1), schema)
+    trees.train_gbt(few)
+    assert [tuple(r) for r in met[-1][1]] == data[:40]
+
+
 def test_a_scored_table_can_be_scored_again(rows):
     model = trees.train_gbt(rows, n_trees=1, maxDepth=2)
     once = trees.with_probability(model, rows.withColumn("prediction", F.lit(7)))
